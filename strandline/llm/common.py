@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
     if not n:
         return
     data = batch.column(column)
-    sizes = pa.compute.fill_null(pa.compute.binary_length(data), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.cumsum(sizes)
     at = 0
     while at < n:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -53,7 +54,7 @@ def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = pa.compute.fill_null(column, "" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
+        column = pc.fill_null(column, "" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offs, data = column.buffers()
     if not len(column):

@@ -6,21 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import mixing, sharding
+from strandline.llm import decontamination, mixing, pii, quality, sharding, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.tile_benchmark(table(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_documents(table(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir), 8)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir))
+
+
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_table(table(spark, sf_dir))
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
@@ -44,7 +60,8 @@ SELECT doc_id, size, source_size, target, CAST(size * whole + greatest(0, least(
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op7_sharding": op7_sharding}
+    named = [op1_decontamination, op2_mixing, op5_quality, op7_sharding, op8_pii, op10_tokens]
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
