@@ -11,6 +11,7 @@ and, but for the last level, u64 words of the bitmap (64 bits each) and one u32
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -28,8 +29,10 @@ END_ID = 2
 BLOCK = 512
 #: Ids of one segment, about; a longer document still has one segment to itself.
 SEGMENT_IDS = 1 << 19
-#: Text pieces whose ids a task remembers; beyond, it forgets them all and goes on.
+#: Text pieces whose ids a Python worker remembers, over all its tasks; beyond, it forgets them all and goes on.
 CACHE = 400_000
+#: New pieces that are joined and encoded at once.
+JOINED = 2_000
 
 # A run of white space and the word after it.  No token of the byte-level vocabulary crosses the start of such a run, so
 # the pieces can be encoded apart.  The class is the Unicode white space that the tokenizer's own pattern knows.
@@ -109,27 +112,47 @@ class PieceEncoder:
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.token_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.token_bytes[k] = len(token)
         self._reset()
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
-        self.starts, self.used = np.zeros(CACHE + 1, np.int64), 0
+        self.starts, self.used = np.zeros(1 << 16, np.int64), 0
 
     def _learn(self, pieces: list[str]) -> None:
-        for piece, code in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False)):
-            ids = code.ids
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-            if len(self.known) + 2 > len(self.starts):
-                self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.known[piece] = k = len(self.known)
-            self.starts[k + 1] = self.used
+        """Encode new pieces.  Those that begin, and don't end, with white space can be joined: no token crosses into the next one.
+
+        In the byte-level vocabulary a token's string has a character for each byte, so the ids of the joined text fall to
+        the pieces by their bytes.
+        """
+        joined = [p for p in pieces if p[0] in _SPACE and p[-1] not in _SPACE]
+        alone = [p for p in pieces if p[0] not in _SPACE or p[-1] in _SPACE]
+        codes, counts = [], []
+        for k in range(0, len(joined), JOINED):
+            part = joined[k : k + JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum([len(p.encode()) for p in part])) + 1
+            codes.append(ids)
+            counts.append(np.diff(ends, prepend=0))
+        for code in self.tokenizer.encode_batch(alone, add_special_tokens=False) if alone else []:
+            codes.append(np.array(code.ids, np.uint32))
+            counts.append(np.array([len(code.ids)]))
+        flat, n = np.concatenate(codes), len(self.known)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        while n + len(pieces) + 1 > len(self.starts):
+            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.starts[n + 1 : n + 1 + len(pieces)] = self.used + np.cumsum(np.concatenate(counts))
+        self.used += len(flat)
+        self.known.update(zip(joined + alone, range(n, n + len(pieces))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
@@ -156,6 +179,8 @@ class PieceEncoder:
         return out
 
 
+#: One encoder for each vocabulary file in a Python worker.
+_encoders: dict[str, PieceEncoder] = {}
 SEGMENTS = "part int, segment int, n_ids long, doc_ids binary, doc_counts binary, payload binary"
 
 
@@ -168,7 +193,9 @@ def _segments(tokenizer_file: str | None, end_id: int):
             import public_tokenizers
 
             path = public_tokenizers.path("byte_bpe_50k.json")
-        encoder, part, number = PieceEncoder(path), TaskContext.get().partitionId(), 0
+        if path not in _encoders:
+            _encoders[path] = PieceEncoder(path)
+        encoder, part, number = _encoders[path], TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
         docs: list[int | None] = []
 
