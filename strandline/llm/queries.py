@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import context_tree, decontamination, mixing, pii, quality, sharding, tokens
+from strandline.llm import context_tree, decontamination, mixing, near_duplicates, pii, quality, sharding, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -25,6 +25,10 @@ def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_documents(context_tree.held_out_split(table(spark, sf_dir)))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -64,7 +68,7 @@ SELECT doc_id, size, source_size, target, CAST(size * whole + greatest(0, least(
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_decontamination, op2_mixing, op3_context_tree, op5_quality, op7_sharding, op8_pii, op10_tokens]
+    named = [op1_decontamination, op2_mixing, op3_context_tree, op4_near_duplicates, op5_quality, op7_sharding, op8_pii, op10_tokens]
     return {f.__name__: f for f in named}
 
 
