@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import context_tree, decontamination, mixing, near_duplicates, pii, quality, sharding, tokens
+from strandline.llm import byte_spans, context_tree, decontamination, mixing, near_duplicates, pii, quality, sharding, tokens, word_spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -33,6 +33,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op6_word_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_spans.remove_repeats(table(spark, sf_dir)).drop("kept_text")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir), 8)
 
@@ -41,6 +45,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir))
 
 
+def op9_byte_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_spans.remove_repeats(table(spark, sf_dir)).drop("kept")
+
+
 def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_table(table(spark, sf_dir))
 
@@ -68,7 +76,7 @@ SELECT doc_id, size, source_size, target, CAST(size * whole + greatest(0, least(
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_decontamination, op2_mixing, op3_context_tree, op4_near_duplicates, op5_quality, op7_sharding, op8_pii, op10_tokens]
+    named = [op1_decontamination, op2_mixing, op3_context_tree, op4_near_duplicates, op5_quality, op6_word_spans, op7_sharding, op8_pii, op9_byte_spans, op10_tokens]
     return {f.__name__: f for f in named}
 
 
