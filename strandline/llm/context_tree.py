@@ -161,8 +161,8 @@ class Table:
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
         self.bits = max(4, int(len(keys)).bit_length())
-        self.starts = np.searchsorted(self.keys, np.arange(1 << self.bits, dtype=_U) << _U(64 - self.bits)).astype(np.int32)
-        self.starts = np.append(self.starts, np.int32(len(keys)))
+        sizes = np.bincount((self.keys >> _U(64 - self.bits)).astype(np.int64), minlength=1 << self.bits)
+        self.starts = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
 
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values, 0 where a key is missing, and which were found."""
@@ -329,18 +329,15 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, dict]:
 def _scorer(block, totals: dict):
     norm = np.log10(totals["tokens"] + totals["vocabulary"] + 1.0)
     depth, n_docs = totals["depth"], totals["docs"]
-    kept: dict = {}
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not kept:
-            for kind, (keys, values) in block.value.items():
-                kept[kind] = Table(K.mix(keys) if kind == "gram" else keys, values)
+        kept = block.value  # read once in a Python worker, whatever its tasks
         buf, offs = K.buffer(batch.column("text"))
         key, bounds = grams(buf, offs, depth)
         part = np.concatenate(([0], np.cumsum(kept["gram"].get(K.mix(key))[0].astype(np.float64))))
         words, wb = _word_keys(buf, offs)
         count, known = kept["word"].get(words)
-        base = np.concatenate(([0], np.cumsum(np.log10(count + 1.0))))
+        base = np.concatenate(([0], np.cumsum(np.log10(count.astype(np.float64) + 1.0))))
         n_tokens = np.diff(wb) + 1
         first = totals["first"]
         return pa.RecordBatch.from_arrays(
@@ -384,11 +381,19 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block_entries: int = BL
     parts = []
     for k, block in enumerate(blocks):
         chosen = reduce(lambda a, b: a | b, [(F.col("kind") == kind) & (F.col("bucket") == bucket) for kind, bucket in block], F.lit(False)) if len(blocks) > 1 else F.lit(True)
-        arrays = {kind: [[np.empty(0, _U)], [np.empty(0, t)]] for kind, t in (("gram", np.float32), ("word", np.int64))}
-        for r in model.where(chosen).toLocalIterator():  # block_entries at most
-            arrays[r["kind"]][0].append(np.frombuffer(bytes(r["keys"]), _U))
-            arrays[r["kind"]][1].append(np.frombuffer(bytes(r["counts"]), arrays[r["kind"]][1][0].dtype))
-        shared = spark.sparkContext.broadcast({kind: (np.concatenate(a), np.concatenate(b)) for kind, (a, b) in arrays.items()})
+        tables = {}
+        for kind, dtype in (("gram", np.float32), ("word", np.int64)):
+            keys, values = [np.empty(0, _U)], [np.empty(0, dtype)]
+            for r in model.where(chosen & (F.col("kind") == kind)).toLocalIterator():  # block_entries at most
+                keys.append(K.mix(np.frombuffer(bytes(r["keys"]), _U)) if kind == "gram" else np.frombuffer(bytes(r["keys"]), _U))
+                values.append(np.frombuffer(bytes(r["counts"]), dtype))
+            keys, values = np.concatenate(keys), np.concatenate(values)
+            if kind == "word" and values.max(initial=0) < 1 << 32:
+                values = values.astype(np.uint32)
+            tables[kind] = Table(keys, values)
+            del keys, values
+        shared = spark.sparkContext.broadcast(tables)
+        del tables
         parts.append(docs.mapInArrow(_scorer(shared, totals | {"first": int(k == 0)}), SCORES))
     out = parts[0]
     if len(parts) > 1:
