@@ -30,7 +30,7 @@ BLOCK = 512
 #: Ids of one segment, about; a longer document still has one segment to itself.
 SEGMENT_IDS = 1 << 19
 #: Text pieces whose ids a Python worker remembers, over all its tasks; beyond, it forgets them all and goes on.
-CACHE = 400_000
+CACHE = 1_200_000
 #: New pieces that are joined and encoded at once.
 JOINED = 2_000
 
@@ -155,28 +155,27 @@ class PieceEncoder:
         self.known.update(zip(joined + alone, range(n, n + len(pieces))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(texts)
-        pieces: list[list[str]] = []
-        for k, text in enumerate(texts):
-            whole = self.special and self.special.search(text)
-            if whole:  # a special token's string is matched in the whole text first
-                out[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            pieces.append([] if whole else _PIECE.findall(text))
-        new = list({p for doc in pieces for p in doc if p not in self.known})
+        whole = [k for k, t in enumerate(texts) if self.special and self.special.search(t)]
+        if whole:  # a special token's string is matched in the whole text first
+            rest = iter(self.encode(["" if self.special.search(t) else t for t in texts]))
+            return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) if self.special.search(t) else x for t, x in zip(texts, rest)]
+        pieces: list[str] = []
+        ends = []
+        for text in texts:
+            pieces += _PIECE.findall(text)
+            ends.append(len(pieces))
+        new = list(set(pieces).difference(self.known))
+        if len(self.known) + len(new) > CACHE:
+            self._reset()
+            new = list(set(pieces))
         if new:
-            if len(self.known) + len(new) > CACHE:
-                self._reset()
-                new = list({p for doc in pieces for p in doc})
             self._learn(new)
-        get = self.known.__getitem__
-        for k, doc in enumerate(pieces):
-            if out[k] is None:
-                nums = np.fromiter(map(get, doc), np.int64, len(doc))
-                first, count = self.starts[nums], self.starts[nums + 1] - self.starts[nums]
-                total = int(count.sum())
-                shift = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])) if len(doc) else first, count)
-                out[k] = self.ids[shift + np.arange(total)]
-        return out
+        nums = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        first, count = self.starts[nums], self.starts[nums + 1] - self.starts[nums]
+        before = np.concatenate(([0], np.cumsum(count)))
+        flat = self.ids[np.repeat(first - before[:-1], count) + np.arange(before[-1])]
+        cuts = before[np.concatenate(([0], ends)).astype(np.int64)].tolist()
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 #: One encoder for each vocabulary file in a Python worker.
