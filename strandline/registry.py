@@ -171,14 +171,14 @@ ip AS (SELECT cr.*, i + CASE WHEN a.value < height THEN (height - a.value) / (a2
   JOIN smooth b ON b.track = cr.track AND b.bin = j LEFT JOIN smooth b2 ON b2.track = cr.track AND b2.bin = j - 1),
 w AS (SELECT *, CAST(floor(l) AS BIGINT) AS lb, least(greatest(CAST(ceil(r) AS BIGINT), CAST(floor(l) AS BIGINT) + 1), 720) AS rb FROM ip WHERE r - l >= 2)
 SELECT w.track, lb * 3600 AS start, rb * 3600 AS "end", p * 3600 AS summit,
-  round((sum(s.value) - (arg_min(s.value, s.bin) + arg_max(s.value, s.bin)) / 2) * 3600, 1) AS auc, h AS signal_value, round(prom, 5) AS prominence
+  round((sum(s.value) - (arg_min(s.value, s.bin) + arg_max(s.value, s.bin)) / 2) * 3600, 4) AS auc, h AS signal_value, round(prom, 6) AS prominence
 FROM w JOIN smooth s ON s.track = w.track AND s.bin >= lb AND s.bin < rb GROUP BY w.track, lb, rb, p, h, prom"""
 
 
 @query(PEAKS_SQL)
 def call_peaks(spark, sf_dir):
     found = peaks.call_peaks(smoothed(spark, sf_dir), 3600)
-    return found.select("track", "start", "end", "summit", F.round("auc", 1).alias("auc"), "signal_value", F.round("prominence", 5).alias("prominence"))
+    return found.select("track", "start", "end", "summit", F.round("auc", 4).alias("auc"), "signal_value", F.round("prominence", 6).alias("prominence"))
 
 
 @query(f"""WITH {TRACKS} SELECT track, median(value) FILTER (WHERE value > 0) AS median_nonzero, greatest(0.5 * median(value) FILTER (WHERE value > 0), 1e-4) AS min_prominence FROM tracks GROUP BY 1""")
