@@ -5,9 +5,10 @@ signatures are compared batch by batch: after each batch the posterior of the si
 pair goes as soon as the probability that it reaches the threshold is below the chosen miss probability.  Survivors are verified on
 their full sets.
 
-Links matter only through the components they make.  So a bucket first tests its members against its smallest (a star);
-then, round by round, only members whose components still differ, first with the partners of the best estimates, in the end
-with all that survive.  No bucket's pairs are all emitted, and yet no link between components is left untested.
+Links matter only through the components they make.  So each bucket first offers, for each member, its likeliest partners.
+What these links leave apart is settled in a second round: survivors from different components, all of them, in small
+buckets as pairs, in large ones within the task that holds (a block pair of) the bucket, likeliest first and skipping what has been joined
+meanwhile.  No large bucket's pairs are ever emitted, and no link between components is left untested.
 """
 
 from __future__ import annotations
@@ -30,14 +31,16 @@ SHINGLE = 3
 LINK = (85, 100)
 BANDS = 25
 ROWS = 5
-#: Hashes of a signature, and of a batch.
-HASHES = BANDS * ROWS
-BATCH = 25
-MISS = 1e-6
+#: Hashes of a signature (the first BANDS * ROWS make the bands; comparison takes 8 bits of each), and of a batch.
+HASHES = 400
+BATCH = 50
+MISS = 1e-5
 #: Members of a bucket that one comparison step holds; a larger bucket is compared block by block.
 BLOCK = 1000
-#: Partners that a member tests in the first round after the star; four times as many in each next round.
-PARTNERS = 8
+#: Partners that each member tests in the first round.
+PARTNERS = 2
+#: Members of the largest bucket whose pairs are emitted in the second round.
+SMALL = 32
 #: Documents whose ids are broadcast to pick out candidates' texts; beyond, ids and texts are joined by shuffling.
 BROADCAST_IDS = 2_000_000
 
@@ -107,114 +110,125 @@ def _describe(size: int):
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys, bounds = shingle_sets(batch.column("text"), size)
         n = np.diff(bounds)
-        full = n > 0
-        node = np.zeros(len(n), np.uint64)
-        if full.any():
-            node[full] = K.mix(np.add.reduceat(K.mix(keys), bounds[:-1][full]) + n[full].astype(np.uint64))
-        sig, rows = signatures(keys, bounds), iter(range(len(n)))
-        sigs = [sig[next(rows)].tobytes() if f else None for f in full]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(node.view(np.int64)), pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "node", "sig"])
+        full = np.flatnonzero(n > 0)
+        sig = signatures(keys, bounds)
+        bands = K.span(K.prefix(sig[:, : BANDS * ROWS].ravel().astype(np.uint64)), (at := np.arange(0, len(full) * BANDS * ROWS, ROWS)), at + ROWS)
+        bands = K.mix(bands.reshape(-1, BANDS) + np.arange(BANDS, dtype=np.uint64))
+        short = sig.astype(np.uint8)
+        sigs, slots = [None] * len(n), [None] * len(n)
+        for k, d in enumerate(full.tolist()):
+            sigs[d], slots[d] = short[k].tobytes(), bands[k].view(np.int64)
+        columns = [batch.column("doc_id"), pa.array(n), pa.array(set_names(keys, bounds)), pa.array(sigs, pa.binary()), pa.array(slots, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "node", "sig", "bands"])
 
     return step
 
 
-def _pruned(similarity: float):
-    least = least_matches(similarity)
+def set_names(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set, 0 for an empty one."""
+    n = np.diff(bounds)
+    full = n > 0
+    out = np.zeros(len(n), np.uint64)
+    if full.any():
+        out[full] = K.mix(np.add.reduceat(K.mix(keys), bounds[:-1][full]) + n[full].astype(np.uint64))
+    return out.view(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in ("sig_a", "sig_b"))
-            rows = np.arange(batch.num_rows)
-            alive, _ = surviving(a, b, rows, rows, least)
-            yield batch.select(["a", "b"]).take(pa.array(alive))
 
-    return run
+def _set_rows(size: int):
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, bounds = shingle_sets(batch.column("text"), size)
+        full = np.flatnonzero(np.diff(bounds) > 0)
+        sets = [keys[bounds[r] : bounds[r + 1]].tobytes() for r in full]
+        return pa.RecordBatch.from_arrays([pa.array(set_names(keys, bounds)[full]), pa.array(sets, pa.binary())], names=["node", "members"])
 
+    return step
+
+
+def linked(x: np.ndarray, y: np.ndarray, link: tuple[int, int]) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    both = np.concatenate((x, y))
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return link[1] * common >= link[0] * (len(both) - common)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, link: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose whole sets reach the similarity."""
 
-def _verified(link: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate((x, y))
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(link[1] * common >= link[0] * (len(both) - common))
+            keep = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), link) for x, y in zip(batch.column("set_a"), batch.column("set_b"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    full = lambda c: sets.select(F.col("node").alias(c), F.col("members").alias(f"set_{c}"))
+    return pairs.join(full("a"), "a").join(full("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def verify(pairs: DataFrame, classes: DataFrame, sets: DataFrame, link: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity: pruned on signatures, then verified on whole sets."""
-    sig = lambda c: classes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"))
-    full = lambda c: sets.select(F.col("node").alias(c), F.col("members").alias(f"set_{c}"))
-    left = pairs.join(sig("a"), "a").join(sig("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(_pruned(link[0] / link[1]), "a long, b long")
-    left = left.join(full("a"), "a").join(full("b"), "b").select("a", "b", "set_a", "set_b")
-    return left.mapInArrow(_verified(link), "a long, b long")
+class Bucket:
+    """Rows of some buckets, by (key, i, j); a bucket of one block has i = j = 0."""
 
+    NUMBERS = ("key", "band", "i", "j", "block", "node", "component")
 
-def _partners(similarity: float, most: int):
-    """In each bucket (rows ordered by key, i, j), the pairs of different components that survive; for each member the
-    ``most`` best.  Pairs with the bucket's smallest are known from the star.  more: whether any was left for a later round."""
-    least = least_matches(similarity)
+    def __init__(self, batch: pa.RecordBatch, with_sets: bool):
+        self.columns = {c: batch.column(c).to_numpy() for c in self.NUMBERS}
+        self.columns["sig"] = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
+        self.columns["bands"] = batch.column("bands").flatten().to_numpy().reshape(-1, BANDS)
+        if with_sets:
+            sets = np.empty(batch.num_rows, object)
+            sets[:] = batch.column("members").to_pylist()
+            self.columns["members"] = sets
 
-    def compare(rows: dict[str, np.ndarray], bounds: list[int]) -> pa.RecordBatch | None:
-        left, right = [], []
+    def bounds(self) -> list[int]:
+        k, i, j = (self.columns[c] for c in ("key", "i", "j"))
+        cut = np.flatnonzero((k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+        return [0, *cut.tolist(), len(k)]
+
+    def candidates(self, bounds: list[int], least: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of different components that survive, each in the first band that it shares, and their matches."""
+        c, left, right = self.columns, [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for s, e in zip(bounds, bounds[1:]):
             if e - s > 1:
                 x, y = np.triu_indices(e - s, 1)
                 left.append(x + s)
                 right.append(y + s)
-        if not left:
-            return None
         left, right = np.concatenate(left), np.concatenate(right)
-        node, comp, block = rows["node"], rows["component"], rows["block"]
-        star = rows["smallest"]
-        i, j = rows["i"][left], rows["j"][left]
-        ok = (comp[left] != comp[right]) & (node[left] != star[left]) & (node[right] != star[right]) & ((i == j) | (block[left] != block[right]))
+        ok = (c["component"][left] != c["component"][right]) & ((c["i"][left] == c["j"][left]) | (c["block"][left] != c["block"][right]))
         left, right = left[ok], right[ok]
-        alive, matches = surviving(rows["sig"], rows["sig"], left, right, least)
+        alive, matches = surviving(c["sig"], c["sig"], left, right, least)
         left, right = left[alive], right[alive]
-        ends, other, score = np.concatenate((left, right)), np.concatenate((right, left)), np.tile(matches, 2)
-        order = np.lexsort((node[other], -score, ends))
-        first = np.searchsorted(ends[order], ends[order])
-        chosen = np.zeros(len(ends), bool)
-        chosen[order] = np.arange(len(order)) - first < most
-        pick = chosen[: len(left)] | chosen[len(left) :]
-        a, b = node[left[pick]], node[right[pick]]
-        if not len(a):
-            return None
-        more = np.full(len(a), not pick.all())
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(more)], names=["a", "b", "more"])
+        first = np.concatenate([np.argmax(c["bands"][left[k : k + 100_000]] == c["bands"][right[k : k + 100_000]], axis=1) for k in range(0, len(left), 100_000)] or [np.empty(0, np.int64)])
+        ok = first == c["band"][left]
+        return left[ok], right[ok], matches[ok]
+
+
+def by_bucket(work, similarity: float, with_sets: bool = False):
+    """A mapInArrow function over rows in the order of (key, i, j): work(bucket, bounds, least) gives pairs (a, b)."""
+    least = least_matches(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "i", "j", "block", "node", "component", "smallest"]
         held = None
         for batch in _with_end(batches):
             if batch is not None:
-                new = {c: batch.column(c).to_numpy() for c in names}
-                new["sig"] = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
-                held = new if held is None else {c: np.concatenate((held[c], new[c])) for c in new}
-            if held is None or not len(held["key"]):
+                new = Bucket(batch, with_sets)
+                if held is not None:
+                    new.columns = {c: np.concatenate((held.columns[c], new.columns[c])) for c in new.columns}
+                held = new
+            if held is None or not len(held.columns["key"]):
                 continue
-            k = held["key"]
-            cut = np.flatnonzero((k[1:] != k[:-1]) | (held["i"][1:] != held["i"][:-1]) | (held["j"][1:] != held["j"][:-1])) + 1
-            bounds = [0, *cut.tolist(), len(k)]
+            bounds = held.bounds()
             if batch is not None:  # the last group may go on
                 bounds.pop()
             at = 0
             while at < len(bounds) - 1:  # groups of some two million pairs together
                 to, pairs = at, 0
-                while to < len(bounds) - 1 and (to == at or pairs < 2_000_000):
+                while to < len(bounds) - 1 and (to == at or pairs < 1_000_000):
                     pairs += (bounds[to + 1] - bounds[to]) ** 2 // 2
                     to += 1
-                out = compare(held, bounds[at : to + 1])
-                if out is not None:
-                    yield out
+                a, b = work(held, bounds[at : to + 1], least)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
                 at = to
-            held = {c: v[bounds[-1] :] for c, v in held.items()}
+            held.columns = {c: v[bounds[-1] :] for c, v in held.columns.items()}
 
     return run
 
@@ -224,6 +238,61 @@ def _with_end(batches):
     yield None
 
 
+def likeliest(most: int):
+    """For each member of a bucket, its pairs of the most matches (ties: the smaller partner)."""
+
+    def work(bucket: Bucket, bounds: list[int], least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        left, right, matches = bucket.candidates(bounds, least)
+        node = bucket.columns["node"]
+        ends, other, score = np.concatenate((left, right)), np.concatenate((right, left)), np.tile(matches, 2)
+        order = np.lexsort((node[other], -score, ends))
+        rank = np.empty(len(ends), np.int64)
+        rank[order] = np.arange(len(order)) - np.searchsorted(ends[order], ends[order])
+        pick = (rank[: len(left)] < most) | (rank[len(left) :] < most)
+        return node[left[pick]], node[right[pick]]
+
+    return work
+
+
+def every(bucket: Bucket, bounds: list[int], least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    left, right, _ = bucket.candidates(bounds, least)
+    return bucket.columns["node"][left], bucket.columns["node"][right]
+
+
+def joining(link: tuple[int, int]):
+    """The verified links that join components within a bucket: likeliest pairs first, those already joined skipped."""
+
+    def work(bucket: Bucket, bounds: list[int], least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        left, right, matches = bucket.candidates(bounds, least)
+        node, comp, sets = (bucket.columns[c] for c in ("node", "component", "members"))
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        a, b = [], []
+        for k in np.argsort(-matches, kind="stable").tolist():
+            x, y = int(left[k]), int(right[k])
+            p, q = root(int(comp[x])), root(int(comp[y]))
+            if p != q and linked(np.frombuffer(sets[x], np.uint64), np.frombuffer(sets[y], np.uint64), link):
+                parent[max(p, q)] = min(p, q)
+                a.append(node[x])
+                b.append(node[y])
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    return work
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Bucket rows (key, n_members, node, ...) for each pair of blocks that they belong to, ready for by_bucket."""
+    n_blocks = F.ceil(F.col("n_members") / BLOCK).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+    rows = rows.withColumn("i", F.least("block", "with")).withColumn("j", F.greatest("block", "with")).drop("with", "n_members")
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK) -> DataFrame:
     """Every row of docs (doc_id, text) with its component: doc_id, n_shingles, component_id, kept.
 
@@ -234,47 +303,35 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int]
     table gives no rows; other columns are ignored.  Sets are compared as 64-bit fingerprints of shingles.
     """
     similarity = link[0] / link[1]
-    described = written(map_texts(docs.select("doc_id", "text"), _describe(size), "doc_id long, n_shingles long, node long, sig binary"), "described")
-    classes = described.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "sig")).alias("c"))
-    classes = written(classes.select("node", "c.doc_id", "c.sig"), "classes")
-
-    slots = F.array(*(F.xxhash64(F.lit(k), F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS)) for k in range(BANDS)))
-    slots = classes.select("node", F.explode(slots).alias("key"))
-    shared = slots.groupBy("key").agg(F.min("node").alias("smallest"), F.max("node").alias("largest"), F.count("*").alias("n_members")).where("smallest != largest")
-    buckets = written(slots.join(shared.drop("largest"), "key"), "buckets")
-
-    wanted = classes.join(buckets.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("wanted_id")).distinct()
-    wanted = written(wanted, "wanted")
-    texts = docs.select("doc_id", "text")
+    schema = "doc_id long, n_shingles long, node long, sig binary, bands array<long>"
+    described = written(map_texts(docs.select("doc_id", "text"), _describe(size), schema), "described")
+    classes = described.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "sig", "bands")).alias("c"))
+    classes = written(classes.select("node", "c.doc_id", "c.sig", "c.bands"), "classes")
+
+    slots = classes.select("node", F.posexplode("bands").alias("band", "key"))
+    shared = slots.groupBy("key").agg(F.count("*").alias("n_members")).where("n_members > 1")
+    buckets = written(slots.join(shared, "key"), "buckets")
+
+    wanted = written(classes.join(buckets.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("wanted_id")).distinct(), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
     sets = written(map_texts(texts, _set_rows(size), "node long, members binary").dropDuplicates(["node"]), "sets")
 
-    star = buckets.where("node != smallest").select(F.col("smallest").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(verify(star, classes, sets, link), "links")
+    marks = classes.select("node", "sig", "bands")
+    first = in_blocks(buckets.withColumn("component", F.col("node")).join(marks, "node"))
+    pairs = first.mapInArrow(by_bucket(likeliest(PARTNERS), similarity), "a long, b long")
+    links = verified(pairs, sets, link)
     labels = written(connected_components(links), "labels")
-    most, more = PARTNERS, True
-    while more:
-        labelled = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-        n_blocks = F.ceil(F.col("n_members") / BLOCK).cast("int")
-        rows = labelled.join(mixed, "key", "left_semi").withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
-        rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-        rows = rows.join(classes.select("node", "sig"), "node").select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "component", "smallest", "sig")
-        rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        pairs = written(rows.mapInArrow(_partners(similarity, most), "a long, b long, more boolean"), "pairs")
-        more = bool(pairs.agg(F.max("more")).first()[0])
-        links = written(verify(pairs.select("a", "b").distinct(), classes, sets, link), "links")
-        if links.isEmpty() and not more:
-            break
-        name = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
-        joined = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-        higher = written(connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("upper")), "labels")
-        old = labels.join(higher, "component", "left").select("node", F.coalesce("upper", "component").alias("component"))
-        new = higher.select(F.col("component").alias("node"), F.col("upper").alias("component"))
-        labels = written(old.unionByName(new).groupBy("node").agg(F.min("component").alias("component")), "labels")
-        most *= 4
+
+    labelled = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
+    rest = written(labelled.join(mixed, "key", "left_semi"), "rest")
+    small = in_blocks(rest.where(F.col("n_members") <= SMALL).join(marks, "node")).mapInArrow(by_bucket(every, similarity), "a long, b long")
+    large = in_blocks(rest.where(F.col("n_members") > SMALL).join(marks, "node").join(sets, "node")).mapInArrow(by_bucket(joining(link), similarity, True), "a long, b long")
+    more = verified(small, sets, link).unionByName(large)
+    own = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    labels = written(connected_components(own.unionByName(more)), "labels")
 
     named = classes.select("node", "doc_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -283,15 +340,3 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int]
     out = described.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node")).join(named, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
-
-
-def _set_rows(size: int):
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, bounds = shingle_sets(batch.column("text"), size)
-        n = np.diff(bounds)
-        rows = np.flatnonzero(n > 0)
-        node = K.mix(np.add.reduceat(K.mix(keys), bounds[:-1][rows]) + n[rows].astype(np.uint64)) if len(rows) else np.empty(0, np.uint64)
-        sets = [keys[bounds[r] : bounds[r + 1]].tobytes() for r in rows]
-        return pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(sets, pa.binary())], names=["node", "members"])
-
-    return step
