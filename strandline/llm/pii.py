@@ -33,15 +33,21 @@ LOOKALIKES = dict(zip("аеорсухіјѕԁһӏАВЕКМНОРСТХІЈЅο
 INVISIBLE = frozenset(map(chr, (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)))
 DIGITS = {w: str(k) for k, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
 _D = "(?:" + "|".join(DIGITS) + ")"
+#: Ends of host names that make a bare "at" one of an address, and words after which it is none.
+TOP_LEVEL = "com org net edu gov io info biz co uk us eu de fr es it nl be ch at pl se no dk fi ca au jp cn in br mx ru".split()
+ARTICLES = "the a an this that these those my your our his her their its least last all home work".split()
+_DOT = r"(?:\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|[ _]+dot[ _]+|\.)"
+_HOST = rf"[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*?{_DOT}(?:{'|'.join(TOP_LEVEL)})(?![A-Za-z0-9])"
 _DISGUISES = re.compile(
-    rf"(?P<digits>(?<![A-Za-z0-9]){_D}(?:[ \-,.]{{1,2}}{_D}){{2,}}(?![A-Za-z0-9]))"
-    r"|(?P<at>\s*(?:\(|\[|\{|<)\s*(?:at|@)\s*(?:\)|\]|\}|>)\s*|(?<=[A-Za-z0-9])[ _]+(?:at|AT)[ _]+(?=[A-Za-z0-9][A-Za-z0-9-]*(?:\s*(?:\(|\[|\{)\s*(?:dot|\.)|[ _]+(?:dot|DOT)[ _]+|\.[A-Za-z0-9]))|\s+@\s*(?=[A-Za-z0-9-]+\s*[.(\[]))"
-    r"|(?P<dot>\s*(?:\(|\[|\{|<)\s*(?:dot|\.)\s*(?:\)|\]|\}|>)\s*|(?<=[A-Za-z0-9])[ _]+(?:dot|DOT)[ _]+(?=[A-Za-z0-9]))"
-    r"|(?P<plus>(?<![A-Za-z0-9])plus[ ]+(?=[0-9]))",
+    rf"(?P<digits>(?<![A-Za-z0-9]){_D}(?:[ \-,.]{{1,2}}{_D})*(?![A-Za-z0-9]))"
+    rf"|(?P<at>\s*[(\[{{<]\s*(?:at|@)\s*[)\]}}>]\s*|(?<=[A-Za-z0-9])[ _]+at[ _]+(?!(?:{'|'.join(ARTICLES)})\b)(?={_HOST})|\s+@\s*(?={_HOST})|(?<=\S)@\s+(?={_HOST}))"
+    r"|(?P<dot>\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[ _]+dot[ _]+(?=[A-Za-z0-9]))"
+    r"|(?P<plus>(?<![A-Za-z0-9])plus[ ]+(?=[0-9]|"
+    rf"{_D}))",
     re.IGNORECASE,
 )
 #: A text without any of these has no disguise.
-_HINT = re.compile(rf"[^\x00-\x7fÀ-ÿ]|\u00ad|[(\[{{<]\s*(?:at|dot|@|\.)\s*[)\]}}>]|[ _](?:dot)[ _]|[ _]at[ _][A-Za-z0-9-]+\.[A-Za-z0-9]|\s@|{_D}[ \-,.]{{1,2}}{_D}[ \-,.]{{1,2}}{_D}|plus [0-9]", re.IGNORECASE)
+_HINT = re.compile(rf"[^\x00-\x7fÀ-ÿ]|\u00ad|[(\[{{<]\s*(?:at|dot|@|\.)\s*[)\]}}>]|[ _](?:dot)[ _]|[ _]at[ _][A-Za-z0-9-]+\.[A-Za-z0-9]|\s@|@\s|{_D}[ \-,.]{{1,2}}{_D}[ \-,.]{{1,2}}{_D}|plus (?:[0-9]|{_D})", re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
