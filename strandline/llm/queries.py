@@ -75,10 +75,50 @@ SELECT doc_id, size, source_size, target, CAST(size * whole + greatest(0, least(
 """
 
 
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM d),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM g),
+e AS (SELECT doc_id, unnest(s) AS k FROM g),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM e a JOIN e b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, reach) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, u.b FROM r JOIN u ON u.a = r.reach)
+SELECT n.doc_id, any_value(n.n) AS n_shingles, min(reach) AS component_id, min(reach) = n.doc_id AS kept FROM n JOIN r USING (doc_id) GROUP BY n.doc_id
+"""
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS k FROM p),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM h),
+c AS (SELECT DISTINCT doc_id, i + j AS pos FROM f CROSS JOIN (SELECT unnest(range(20)) AS j) WHERE n > 1),
+x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+k AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.pos) FILTER (WHERE c.pos IS NULL) AS kept, count(c.pos) AS gone FROM x LEFT JOIN c ON c.doc_id = x.doc_id AND c.pos = x.pos GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+p AS (SELECT doc_id, x, unnest(range(0, n - 399)) AS i FROM d WHERE n >= 400),
+h AS (SELECT doc_id, i, md5(substring(x, 2 * i + 1, 800)) AS k FROM p),
+s AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY k) AS m FROM h) WHERE m > 1),
+b AS (SELECT *, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 1 ELSE 0 END AS new FROM s),
+r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM b),
+g AS (SELECT doc_id, run, min(i) AS a, max(i) + 400 AS z FROM r GROUP BY 1, 2),
+k AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a0, a, z, row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) = 1 AS last FROM g),
+t AS (SELECT k.doc_id, count(*) AS n_spans, sum(z - a) AS gone, string_agg(substring(x, 2 * a0 + 1, 2 * (a - a0)) || CASE WHEN last THEN substring(x, 2 * z + 1) ELSE '' END, '' ORDER BY a) AS kept FROM k JOIN d USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM d LEFT JOIN t USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [op1_decontamination, op2_mixing, op3_context_tree, op4_near_duplicates, op5_quality, op6_word_spans, op7_sharding, op8_pii, op9_byte_spans, op10_tokens]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL}
+    return {"op2_mixing": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op6_word_spans": OP6_SQL, "op9_byte_spans": OP9_SQL}
