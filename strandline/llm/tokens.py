@@ -31,13 +31,23 @@ BLOCK = 512
 SEGMENT_IDS = 1 << 19
 #: Text pieces whose ids a Python worker remembers, over all its tasks; beyond, it forgets them all and goes on.
 CACHE = 1_200_000
-#: New pieces that are joined and encoded at once.
-JOINED = 2_000
 
-# A run of white space and the word after it.  No token of the byte-level vocabulary crosses the start of such a run, so
-# the pieces can be encoded apart.  The class is the Unicode white space that the tokenizer's own pattern knows.
+# Pieces that can be encoded apart, since no token crosses their ends whatever stands beside them: a run of letters with the
+# space before it; the signs after such a run, up to white space; a single other white space; else a run of white space with all that
+# follows up to the next.  The white space is what the tokenizer's own pattern knows, the letters those of ASCII and Latin-1.
 _SPACE = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-_PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_SIGNS = r"!-/:-@\[-`{-~"
+_PIECE = re.compile(
+    f"[{_SPACE}]{{2,}}[^{_SPACE}]*| ?[{_LETTERS}]+(?=[{_SIGNS}]*(?:[{_SPACE}]|\\Z))|[{_SIGNS}]+(?=[{_SPACE}]|\\Z)|[\t\n\r](?=[^{_SPACE}])|[{_SPACE}]?[^{_SPACE}]+|[{_SPACE}]"
+)
+#: Pieces that the tokenizer's pattern leaves whole, so that its model alone can encode them.
+_WHOLE = re.compile(f" ?[{_LETTERS}]+|[{_SIGNS}]+")
+# The byte-level alphabet: visible characters of Latin-1 stand for themselves, the other bytes, in order, for 256, 257, ...
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = [b for b in range(256) if b not in _VISIBLE]
+_ALPHABET = [chr(b) if b in _VISIBLE else chr(256 + _HIDDEN.index(b)) for b in range(256)]
+_BLANK = _ALPHABET[32]
 _BITS = np.array([bin(x).count("1") for x in range(256)], np.uint16)
 
 
@@ -116,9 +126,6 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.token_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
-        for token, k in self.tokenizer.get_vocab().items():
-            self.token_bytes[k] = len(token)
         self._reset()
 
     def _reset(self) -> None:
@@ -127,32 +134,27 @@ class PieceEncoder:
         self.starts, self.used = np.zeros(1 << 16, np.int64), 0
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces.  Those that begin, and don't end, with white space can be joined: no token crosses into the next one.
-
-        In the byte-level vocabulary a token's string has a character for each byte, so the ids of the joined text fall to
-        the pieces by their bytes.
-        """
-        joined = [p for p in pieces if p[0] in _SPACE and p[-1] not in _SPACE]
-        alone = [p for p in pieces if p[0] not in _SPACE or p[-1] in _SPACE]
-        codes, counts = [], []
-        for k in range(0, len(joined), JOINED):
-            part = joined[k : k + JOINED]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum([len(p.encode()) for p in part])) + 1
-            codes.append(ids)
-            counts.append(np.diff(ends, prepend=0))
-        for code in self.tokenizer.encode_batch(alone, add_special_tokens=False) if alone else []:
-            codes.append(np.array(code.ids, np.uint32))
-            counts.append(np.array([len(code.ids)]))
-        flat, n = np.concatenate(codes), len(self.known)
+        """Encode new pieces: by the model alone where they are whole, else as small texts."""
+        flat, counts, model = [], [], self.tokenizer.model
+        whole, other = [], []
+        for p in pieces:
+            (whole if _WHOLE.fullmatch(p) else other).append(p)
+        for p in whole:
+            found = model.tokenize(p.replace(" ", _BLANK) if p.isascii() else "".join([_ALPHABET[b] for b in p.encode()]))
+            flat += [t.id for t in found]
+            counts.append(len(found))
+        for code in self.tokenizer.encode_batch_fast(other, add_special_tokens=False) if other else []:
+            flat += code.ids
+            counts.append(len(code.ids))
+        n = len(self.known)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         while n + len(pieces) + 1 > len(self.starts):
             self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
         self.ids[self.used : self.used + len(flat)] = flat
-        self.starts[n + 1 : n + 1 + len(pieces)] = self.used + np.cumsum(np.concatenate(counts))
+        self.starts[n + 1 : n + 1 + len(pieces)] = self.used + np.cumsum(counts)
         self.used += len(flat)
-        self.known.update(zip(joined + alone, range(n, n + len(pieces))))
+        self.known.update(zip(whole + other, range(n, n + len(pieces))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         whole = [k for k, t in enumerate(texts) if self.special and self.special.search(t)]
