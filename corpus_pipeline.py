@@ -19,9 +19,9 @@ SHARDS = 8
 
 
 def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id has a kept verdict."""
-    chosen = verdicts.where("kept").select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").select(*COLUMNS)
+    """The rows of docs whose doc_id has a kept verdict (a null id too; rows that share an id stay together)."""
+    chosen = verdicts.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
