@@ -6,18 +6,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def nearest_point(queries: DataFrame, points: DataFrame, key: str = "chrom") -> DataFrame:
+def nearest_point(queries: DataFrame, points: DataFrame, key: str = "chrom", width: int = 1 << 20) -> DataFrame:
     """For each query (key, query_id, pos) the nearest of points (key, pos, name, ord): adds distance, nearest.
 
     On a tie the left point wins; among points at one place the last (by ord) counts to the left, the first to the right.  A
-    key without points gives -1 and "".  Both sides are put in one order; the neighbours are running values, so each row is read
-    once in each direction.
+    key without points gives -1 and "".  Positions are cut into blocks of ``width``; the neighbours are running values within a
+    block, and for its edges those of a table with a row a block, so that a long or crowded key is spread over tasks.
     """
-    both = queries.select(key, "pos", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("ord"), "query_id", F.lit(None).cast("struct<pos:bigint,name:string>").alias("p"))
-    both = both.unionByName(points.select(key, "pos", F.lit(1).alias("kind"), F.col("ord").cast("long").alias("ord"), F.lit(None).cast("long").alias("query_id"), F.struct(F.col("pos").cast("long").alias("pos"), "name").alias("p")))
-    ahead = Window.partitionBy(key).orderBy("pos", "kind", "ord").rowsBetween(Window.unboundedPreceding, -1)
-    back = Window.partitionBy(key).orderBy(F.desc("pos"), F.desc("kind"), F.desc("ord")).rowsBetween(Window.unboundedPreceding, -1)
-    rows = both.withColumn("left", F.last("p", True).over(ahead)).withColumn("right", F.last("p", True).over(back)).where("kind = 0")
+    block = F.floor(F.col("pos") / width).alias("block")
+    point = F.struct(F.col("pos").cast("long").alias("pos"), F.col("ord").cast("long").alias("ord"), "name")
+    none = F.lit(None).cast("struct<pos:bigint,ord:bigint,name:string>")
+    both = queries.select(key, block, F.col("pos").cast("long").alias("pos"), F.lit(0).alias("kind"), "query_id", none.alias("p"))
+    both = both.unionByName(points.select(key, block, F.col("pos").cast("long").alias("pos"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("query_id"), point.alias("p")))
+
+    blocks = both.groupBy(key, "block").agg(F.max("p").alias("last"), F.min("p").alias("first"))
+    before = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(key).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    edges = blocks.select(key, "block", F.last("last", True).over(before).alias("far_left"), F.last("first", True).over(after).alias("far_right"))
+
+    ahead = Window.partitionBy(key, "block").orderBy("pos", "kind", "p.ord").rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.partitionBy(key, "block").orderBy(F.desc("pos"), F.desc("kind"), F.desc("p.ord")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = both.withColumn("near_left", F.last("p", True).over(ahead)).withColumn("near_right", F.last("p", True).over(back)).where("kind = 0").join(edges, [key, "block"])
+    rows = rows.withColumn("left", F.coalesce("near_left", "far_left")).withColumn("right", F.coalesce("near_right", "far_right"))
     dl, dr = F.col("pos") - F.col("left.pos"), F.col("right.pos") - F.col("pos")
     use_left = F.col("left").isNotNull() & (F.col("right").isNull() | (dl <= dr))
     distance = F.when(use_left, dl).otherwise(dr)

@@ -93,8 +93,9 @@ def test_smoothing(spark, n):
     assert len(w) == 25 and w[12] == pytest.approx(0.1329845, abs=1e-7) and w[0] == pytest.approx(4.4611e-05, abs=1e-8)
     at = lambda k: (k % (2 * n)) if (k % (2 * n)) < n else 2 * n - 1 - (k % (2 * n))
     expect = [sum(w[d + 12] * x[at(i + d)] for d in range(-12, 13)) for i in range(n)]
-    got = [r["value"] for r in smoothing.gaussian_smooth(signal(spark, x), sizes(spark, n)).orderBy("bin").collect()]
-    assert got == pytest.approx(expect)
+    for block in (16, 1 << 14):
+        got = [r["value"] for r in smoothing.gaussian_smooth(signal(spark, x), sizes(spark, n), block=block).orderBy("bin").collect()]
+        assert got == pytest.approx(expect)
 
 
 def brute_peaks(x, resolution, distance_bp=200):
@@ -200,7 +201,9 @@ def test_nearest_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     p = [("ab"[rng.integers(2)], int(rng.integers(0, 40)), f"g{k}", k) for k in range(30)]
     q = [("abz"[rng.integers(3)], k, int(rng.integers(-5, 50))) for k in range(60)]
-    got = {r["query_id"]: (r["distance"], r["nearest"]) for r in nearest.nearest_point(spark.createDataFrame(q, "chrom string, query_id long, pos long"), spark.createDataFrame(p, "chrom string, pos long, name string, ord long")).collect()}
+    found = [nearest.nearest_point(spark.createDataFrame(q, "chrom string, query_id long, pos long"), spark.createDataFrame(p, "chrom string, pos long, name string, ord long"), width=w).collect() for w in (7, 1 << 20)]
+    got, again = ({r["query_id"]: (r["distance"], r["nearest"]) for r in x} for x in found)
+    assert got == again
     for c, k, pos in q:
         mine = sorted((x for x in p if x[0] == c), key=lambda x: (x[1], x[3]))
         left = [x for x in mine if x[1] < pos][-1:]
