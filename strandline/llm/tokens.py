@@ -238,7 +238,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str | None = None,
     Spark orders the rows by ranges of doc_id; each task encodes its range and packs it into segments, which are rows of a
     Parquet table, so that Spark's commit makes the output whole even where tasks are repeated.
     """
-    rows = docs.select("doc_id", "text").orderBy("doc_id", "text")
+    rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     rows.mapInArrow(_segments(tokenizer_file, end_id), SEGMENTS).write.parquet(path)
 
 
