@@ -7,7 +7,8 @@ all prunings of the tree; the prediction of a decision mixes the nodes on its pa
 weights Pe / (Pe + product of the children's Pw).
 
 The counts of a tree of depth d are those of (d + 1)-grams.  Tasks count grams of their texts, shuffle the distinct ones by
-their nearest context byte (256 buckets), and a bucket's subtree is weighted on its own; only the 255 root nodes join buckets.
+their nearest context bytes; once merged, the subtree under each nearest byte is weighted on its own, and only the 255 root
+nodes join subtrees.
 Grams of texts that are only scored take part with count 0, so that every gram met in scoring has its own exact entry.
 """
 
@@ -31,7 +32,8 @@ BLOCK_ENTRIES = 1 << 24
 #: Entries that a task gathers before it passes them on, and most of one row of a model.
 GATHER = 1 << 21
 PIECE = 1 << 18
-WORD_BUCKETS = 64
+#: Bits of the second context byte by which a nearest byte's counts are spread while they are merged.
+SPREAD = 4
 _U = np.uint64
 
 
@@ -215,7 +217,7 @@ def _gather(depth: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {"gram": [[], []], "word": [[], []]}
-        shift = {"gram": 8 * depth, "word": 58}
+        shift = {"gram": 8 * depth - SPREAD, "word": 54}
 
         def add(kind: str, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
             ks, cs = held[kind]
@@ -298,7 +300,7 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, dict]:
     # rows are packed arrays: a few hundred for each task
     gathered = docs.select("text", "held_out").mapInArrow(_gather(depth), COUNTS)
     counts = written(gathered.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(_merged, COUNTS), "counts")
-    grams_ = counts.where("kind = 'gram'").repartition("bucket").sortWithinPartitions("bucket")
+    grams_ = counts.where("kind = 'gram'").withColumn("bucket", F.shiftright("bucket", SPREAD)).repartition("bucket").sortWithinPartitions("bucket")
 
     def tops(batches):
         for bucket, keys, n in _by_bucket(batches):
@@ -371,7 +373,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block_entries: int = BL
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "held_out")
     model, totals = fit(docs, depth)
-    sizes = model.groupBy("kind", "bucket").agg(F.sum(F.octet_length("keys") / 8).cast("long").alias("n")).orderBy("kind", "bucket").collect()  # 320 rows at most
+    sizes = model.groupBy("kind", "bucket").agg(F.sum(F.octet_length("keys") / 8).cast("long").alias("n")).orderBy("kind", "bucket").collect()  # some 1,300 rows at most
     blocks, held = [[]], 0
     for r in sizes:
         if held and held + r["n"] > block_entries:
