@@ -87,7 +87,7 @@ FROM g CROSS JOIN (SELECT unnest(range(103)) AS i) r LEFT JOIN p ON p.track = g.
 def align_bins_zero_tail(spark, sf_dir):
     signal = tracks(spark, sf_dir)
     pooled = binning.align_bins(signal, month(spark), 1, 7)
-    grid = tiling.skeleton(month(spark), 7).crossJoin(F.broadcast(signal.select("track").distinct()))  # one month, five types
+    grid = signal.select("chrom", "track").distinct().join(tiling.skeleton(month(spark), 7), "chrom")
     out = grid.join(pooled, ["chrom", "track", "bin"], "left")
     return out.select("track", "bin", "start", "end", F.round(F.coalesce("value", F.lit(0.0)), 6).alias("value"))
 
