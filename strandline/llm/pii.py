@@ -46,8 +46,8 @@ _DISGUISES = re.compile(
     rf"{_D}))",
     re.IGNORECASE,
 )
-#: A text without any of these has no disguise.
-_HINT = re.compile(rf"[^\x00-\x7fÀ-ÿ]|\u00ad|[(\[{{<]\s*(?:at|dot|@|\.)\s*[)\]}}>]|[ _](?:dot)[ _]|[ _]at[ _][A-Za-z0-9-]+\.[A-Za-z0-9]|\s@|@\s|{_D}[ \-,.]{{1,2}}{_D}[ \-,.]{{1,2}}{_D}|plus (?:[0-9]|{_D})", re.IGNORECASE)
+#: Letters that stand for themselves in the first transducer: a text of these alone has no disguised letter.
+_LETTERS = re.compile(r"[^\x00-\x7fÀ-ÿ]")
 
 
 def luhn(digits: str) -> bool:
@@ -90,9 +90,17 @@ class Tape:
         self.disguised.append(disguised)
 
 
+def hinted(text: str) -> bool:
+    """Whether a disguise is possible; the second transducer's own pattern decides, so that none is missed."""
+    return bool(_LETTERS.search(text) or _DISGUISES.search(text))
+
+
 def plain_letters(text: str) -> Tape:
     """First transducer: homoglyphs and compatibility forms to ASCII, invisible characters dropped."""
     tape, hidden = Tape(), False
+    if text.isascii():
+        tape.chars, tape.spans, tape.disguised = list(text), [(k, k + 1) for k in range(len(text))], [False] * len(text)
+        return tape
     for k, c in enumerate(text):
         if c < "\x80":
             tape.put(c, k, k + 1, hidden)
@@ -136,7 +144,7 @@ def undisguise(tape: Tape) -> Tape:
 def find_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and all spans: those of the base and of disguised identifiers."""
     base = base_spans(text)
-    if not _HINT.search(text):
+    if not hinted(text):
         return base, base
     tape = undisguise(plain_letters(text))
     if not any(tape.disguised):

@@ -495,6 +495,31 @@ def test_disguises(text, kind, found):
     assert len(hits) == 1 and (found is None or hits == [found])
 
 
+@pytest.mark.parametrize(
+    "text, kind, found",
+    [
+        ("10.0.0.five", "ip", "10.0.0.five"),
+        ("call +1 555 123 four five 67", "phone", "+1 555 123 four five 67"),
+        ("card 4111 1111 1111 111 one", "card", "4111 1111 1111 111 one"),
+        ("john at  example.com", "email", "john at  example.com"),
+        ("plus  1 555 123 4567", "phone", "plus  1 555 123 4567"),
+        ("mar\u212a@example.com", "email", "mar\u212a@example.com"),
+    ],
+)
+def test_short_disguises_are_found_alone(text, kind, found):
+    assert [text[a:b] for k, a, b in pii.find_spans(text)[1] if k == kind][:1] == [found]
+
+
+def test_the_hint_decides_nothing(monkeypatch):
+    rng = random.Random(8)
+    bits = ["john", "example", "com", "dev", "at", "dot", "@", ".", " ", "  ", "_", "-", ",", "(", ")", "[at]", "plus", "+", "one", "Five", "oh", "4111", "555", "10", "0", "1", "é", "о", "\u200b", "\u212a", "．", "–", "\n"]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(3, 14))) for _ in range(20000)]
+    with_hint = [pii.find_spans(t) for t in texts]
+    monkeypatch.setattr(pii, "hinted", lambda text: True)
+    assert with_hint == [pii.find_spans(t) for t in texts]
+    assert sum(len(base) < len(spans) for base, spans in with_hint) > 20
+
+
 def test_clean_text_is_left_alone(spark, docs, empty):
     for text in ("meet me at noon, dot the i", "look at the dot com boom at home", "one two three go", "Ünï 日本 ñandú at 5", "a at b"):
         assert pii.find_spans(text) == ([], [])
