@@ -4,7 +4,7 @@ The base finds plain e-mail addresses, IPv4 addresses, card numbers and phone nu
 into a plain form: look-alike letters and full-width forms become ASCII, invisible characters go, runs of spelled digits
 become digits, and "at" and "dot" in their disguises become @ and a full stop.  It remembers for every output character the
 source characters that it stands for, so a match in the plain form maps back to a span of the source.  A match is
-added where a disguise takes part in it and it overlaps no base span of its kind.
+added where a disguise takes part in it and it lies inside no base span of its kind; base spans stay, also those of a stump.
 """
 
 from __future__ import annotations
@@ -152,7 +152,7 @@ def find_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
     extra = []
     for kind, a, b in base_spans("".join(tape.chars)):
         start, end = tape.spans[a][0], tape.spans[b - 1][1]
-        if any(tape.disguised[a:b]) and not any(k == kind and s < end and start < e for k, s, e in base):
+        if any(tape.disguised[a:b]) and not any(k == kind and s <= start and end <= e for k, s, e in base):
             extra.append((kind, start, end))
     return base, sorted(base + extra, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

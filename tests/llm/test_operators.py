@@ -510,6 +510,28 @@ def test_short_disguises_are_found_alone(text, kind, found):
     assert [text[a:b] for k, a, b in pii.find_spans(text)[1] if k == kind][:1] == [found]
 
 
+@pytest.mark.parametrize(
+    "text, kind, stump, whole",
+    [
+        ("to jоhn@example.com now", "email", "hn@example.com", "jоhn@example.com"),
+        ("to jo\u200bhn@example.com now", "email", "hn@example.com", "jo\u200bhn@example.com"),
+        ("to john dot doe@example.com now", "email", "doe@example.com", "john dot doe@example.com"),
+        ("to john@mail.example (dot) com now", "email", "john@mail.example", "john@mail.example (dot) com"),
+        ("call +1 555 123 4567 eight nine now", "phone", "+1 555 123 4567", "+1 555 123 4567 eight nine"),
+    ],
+)
+def test_a_stump_does_not_hide_the_whole(text, kind, stump, whole):
+    base, spans = pii.find_spans(text)
+    assert [text[a:b] for k, a, b in base if k == kind] == [stump]
+    assert sorted(text[a:b] for k, a, b in spans if k == kind) == sorted([stump, whole])
+
+
+def test_the_same_span_is_given_once():
+    for text in ("\u200bjohn@example.com", "one@example.com", "\u200b+1 555 123 4567"):
+        base, spans = pii.find_spans(text)
+        assert len(base) == 1 and spans == base
+
+
 def test_the_hint_decides_nothing(monkeypatch):
     rng = random.Random(8)
     bits = ["john", "example", "com", "dev", "at", "dot", "@", ".", " ", "  ", "_", "-", ",", "(", ")", "[at]", "plus", "+", "one", "Five", "oh", "4111", "555", "10", "0", "1", "é", "о", "\u200b", "\u212a", "．", "–", "\n"]
