@@ -33,15 +33,19 @@ LOOKALIKES = dict(zip("аеорсухіјѕԁһӏАВЕКМНОРСТХІЈЅο
 INVISIBLE = frozenset(map(chr, (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)))
 DIGITS = {w: str(k) for k, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
 _D = "(?:" + "|".join(DIGITS) + ")"
-#: Ends of host names that make a bare "at" one of an address, and words after which it is none.
+#: Ends of plainly written host names that make a bare "at" one of an address, and words after which it is none.
 TOP_LEVEL = "com org net edu gov io info biz co uk us eu de fr es it nl be ch at pl se no dk fi ca au jp cn in br mx ru".split()
 ARTICLES = "the a an this that these those my your our his her their its least last all home work".split()
-_DOT = r"(?:\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|[ _]+dot[ _]+|\.)"
-_HOST = rf"[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*?{_DOT}(?:{'|'.join(TOP_LEVEL)})(?![A-Za-z0-9])"
+#: Stands for a full stop that the first transducer made while the second one matches.
+_MADE = "․"
+_MASKED = rf"(?:\s*[(\[{{<]\s*(?:dot|[.{_MADE}])\s*[)\]}}>]\s*|[ _]+dot[ _]+|{_MADE})"
+_LABEL, _DOT = "[A-Za-z0-9-]+", rf"(?:{_MASKED}|\.)"
+#: A host with a disguised dot may end in any label of letters; one with plain dots alone in a listed one.
+_HOST = rf"(?:{_LABEL}(?:\.{_LABEL})*{_MASKED}(?:{_LABEL}{_DOT})*[A-Za-z]{{2,}}(?!-*[A-Za-z0-9])|{_LABEL}(?:{_DOT}{_LABEL})*?{_DOT}(?:{'|'.join(TOP_LEVEL)})(?![A-Za-z0-9]))"
 _DISGUISES = re.compile(
-    rf"(?P<digits>(?<![A-Za-z0-9]){_D}(?:[ \-,.]{{1,2}}{_D})*(?![A-Za-z0-9]))"
+    rf"(?P<digits>(?<![A-Za-z0-9]){_D}(?:[ \-,.{_MADE}]{{1,2}}{_D})*(?![A-Za-z0-9]))"
     rf"|(?P<at>\s*[(\[{{<]\s*(?:at|@)\s*[)\]}}>]\s*|(?<=[A-Za-z0-9])[ _]+at[ _]+(?!(?:{'|'.join(ARTICLES)})\b)(?={_HOST})|\s+@\s*(?={_HOST})|(?<=\S)@\s+(?={_HOST}))"
-    r"|(?P<dot>\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[ _]+dot[ _]+(?=[A-Za-z0-9]))"
+    rf"|(?P<dot>\s*[(\[{{<]\s*(?:dot|[.{_MADE}])\s*[)\]}}>]\s*|(?<=[A-Za-z0-9])[ _]+dot[ _]+(?=[A-Za-z0-9]))"
     r"|(?P<plus>(?<![A-Za-z0-9])plus[ ]+(?=[0-9]|"
     rf"{_D}))",
     re.IGNORECASE,
@@ -121,7 +125,7 @@ def plain_letters(text: str) -> Tape:
 
 def undisguise(tape: Tape) -> Tape:
     """Second transducer: spelled digits, "at", "dot" and "plus" in their disguises."""
-    text, out, at = "".join(tape.chars), Tape(), 0
+    text, out, at = "".join(_MADE if d and c == "." else c for c, d in zip(tape.chars, tape.disguised)), Tape(), 0
 
     def copy(to: int) -> None:
         out.chars += tape.chars[at:to]

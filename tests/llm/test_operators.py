@@ -532,6 +532,25 @@ def test_the_same_span_is_given_once():
         assert len(base) == 1 and spans == base
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("john at example dot dev", "john at example dot dev"),
+        ("ask ann at mail dot ai now", "ann at mail dot ai"),
+        ("ann @ mail (dot) xyz", "ann @ mail (dot) xyz"),
+        ("ann at mail.example dot online", "ann at mail.example dot online"),
+        ("ann at mail dot example.app now", "ann at mail dot example.app"),
+        ("ann at mail․example․me", "ann at mail․example․me"),
+        ("ann at mail dot example dot tv.", "ann at mail dot example dot tv"),
+        ("ann at mail dot x", None),
+        ("ann at readme.dev", None),
+        ("ann at the dot cloud", None),
+    ],
+)
+def test_a_disguised_dot_clears_any_ending(text, found):
+    assert [text[a:b] for _, a, b in pii.find_spans(text)[1]] == [found] * (found is not None)
+
+
 def test_the_hint_decides_nothing(monkeypatch):
     rng = random.Random(8)
     bits = ["john", "example", "com", "dev", "at", "dot", "@", ".", " ", "  ", "_", "-", ",", "(", ")", "[at]", "plus", "+", "one", "Five", "oh", "4111", "555", "10", "0", "1", "é", "о", "\u200b", "\u212a", "．", "–", "\n"]
