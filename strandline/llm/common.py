@@ -34,6 +34,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df with row, a number of each row that is the same in every pass: written once, since doc_ids may repeat or be null."""
+    return written(df.withColumn("row", F.monotonically_increasing_id()), name)
+
+
 def text_groups(docs: DataFrame, text: str = "text", group_bytes: int = GROUP_BYTES) -> int:
     """Number of document groups so that each holds about group_bytes of text; follows the input."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0

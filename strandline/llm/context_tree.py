@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import kernels as K
-from strandline.llm.common import slices, written
+from strandline.llm.common import numbered, slices, written
 
 DEPTH = 5
 END = 255
@@ -344,10 +344,10 @@ def _scorer(block, totals: dict):
         first = totals["first"]
         return pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), batch.column("held_out"), pa.array(n_tokens), pa.array(K.per_document(known, wb) + first * (n_docs > 0)),
+                batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(n_tokens), pa.array(K.per_document(known, wb) + first * (n_docs > 0)),
                 pa.array(base[wb[1:]] - base[wb[:-1]] + first * (np.log10(n_docs + 1.0) - norm * n_tokens)), pa.array(part[bounds[1:]] - part[bounds[:-1]]), pa.array(np.diff(bounds)),
             ],
-            names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_symbols"],
+            names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_symbols"],
         )
 
     def run(batches):
@@ -358,7 +358,7 @@ def _scorer(block, totals: dict):
     return run
 
 
-SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_symbols long"
+SCORES = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_symbols long"
 
 
 def score_documents(docs: DataFrame, depth: int = DEPTH, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
@@ -367,8 +367,9 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block_entries: int = BL
     Returns doc_id, held_out, n_tokens (words and one end), n_known (of them met in training), train_tokens, base_score
     (add-one word model), score (log10 probability of the bytes and the end mark under context-tree weighting) and bits_per_byte
     (-score in bits over bytes plus end mark).  A null text is empty: only its end counts.  Without training rows every
-    decision has probability 1/2.  An empty table gives no rows; other columns are ignored.  A model beyond block_entries is
-    scored in blocks, one pass each, whose sums are added by doc_id (which must then be unique).
+    decision has probability 1/2.  An empty table gives no rows; other columns are ignored.  Repeated rows and null ids are
+    scored each.  A model beyond block_entries is scored in blocks, one pass each over the numbered rows, whose sums are added
+    by row.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "held_out")
@@ -380,6 +381,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block_entries: int = BL
             blocks, held = [*blocks, []], 0
         blocks[-1].append((r["kind"], r["bucket"]))
         held += r["n"]
+    docs = numbered(docs, "rows") if len(blocks) > 1 else docs.withColumn("row", F.lit(0).cast("long"))
     parts = []
     for k, block in enumerate(blocks):
         chosen = reduce(lambda a, b: a | b, [(F.col("kind") == kind) & (F.col("bucket") == bucket) for kind, bucket in block], F.lit(False)) if len(blocks) > 1 else F.lit(True)
@@ -399,7 +401,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block_entries: int = BL
         parts.append(docs.mapInArrow(_scorer(shared, totals | {"first": int(k == 0)}), SCORES))
     out = parts[0]
     if len(parts) > 1:
-        out = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "held_out", "n_tokens", "n_symbols").agg(*(F.sum(c).alias(c) for c in ("n_known", "base_score", "score")))
+        out = reduce(DataFrame.unionByName, parts).groupBy("row", "doc_id", "held_out", "n_tokens", "n_symbols").agg(*(F.sum(c).alias(c) for c in ("n_known", "base_score", "score")))
     bits = (-F.col("score") * np.log2(10.0) / F.col("n_symbols")).alias("bits_per_byte")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals["tokens"]).cast("long").alias("train_tokens"), "base_score", "score", bits)
 

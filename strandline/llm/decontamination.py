@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import kernels as K
-from strandline.llm.common import map_texts
+from strandline.llm.common import map_texts, numbered
 
 MIN_MATCH = 5
 #: Share of an item's tokens that tiles must cover.
@@ -93,7 +93,7 @@ class Seeds:
 
 
 def _scan(seeds, min_match: int, coverage: float):
-    names = ["doc_id", "n_items", "n_shared", "best_item", "best_tiled", "best_coverage"]
+    names = ["row", "doc_id", "n_items", "n_shared", "best_item", "best_tiled", "best_coverage"]
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         block = seeds.value
@@ -117,7 +117,7 @@ def _scan(seeds, min_match: int, coverage: float):
                 row[2:] = [block.ids[i], tiled, share]
         rows = [best.get(d, [0, 0, None, 0, 0.0]) for d in range(batch.num_rows)]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(types))], names=names)
+        return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(types))], names=names)
 
     return step
 
@@ -129,25 +129,26 @@ def tile_benchmark(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_M
     smallest id), best_tiled (its tokens in tiles), best_coverage, kept (no item is covered enough).  Null or empty texts
     share nothing; an item of fewer than min_match tokens cannot be found; repeated items count each; null item ids are left
     out; an empty benchmark keeps every row; an empty table gives no rows.  Nothing is shuffled for a benchmark of one block
-    of block_bytes; for a larger one, each block of items takes a pass and
-    the rows of the passes are merged by doc_id (which must then be unique).
+    of block_bytes; for a larger one, each block of items takes a pass over
+    the numbered rows, and the passes are merged by row; repeated rows and null ids come back each.
     """
     spark = docs.sparkSession
     items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
     rows = docs.select("doc_id", "text")
-    schema = "doc_id long, n_items long, n_shared long, best_item long, best_tiled long, best_coverage double"
+    rows = numbered(rows, "rows") if n_blocks > 1 else rows.withColumn("row", F.lit(0).cast("long"))
+    schema = "row long, doc_id long, n_items long, n_shared long, best_item long, best_tiled long, best_coverage double"
     scans = []
     for k in range(n_blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).orderBy("item_id", "text").toArrow()
         hashes, bounds = tokens(mine.column("text"))
         found = [(i, hashes[a:b]) for i, a, b in zip(mine.column("item_id").to_pylist(), bounds[:-1], bounds[1:]) if b - a >= min_match]
         seeds = spark.sparkContext.broadcast(Seeds([i for i, _ in found], [x for _, x in found], min_match))  # at most block_bytes of text
-        scans.append(map_texts(rows.select("doc_id", "text"), _scan(seeds, min_match, coverage), schema))
+        scans.append(map_texts(rows.select("row", "doc_id", "text"), _scan(seeds, min_match, coverage), schema))
     out = scans[0]
     if n_blocks > 1:
         best = F.max(F.struct("best_coverage", (-F.col("best_item")).alias("i"), "best_tiled"))
-        out = reduce(DataFrame.unionByName, scans).groupBy("doc_id").agg(F.sum("n_items").alias("n_items"), F.sum("n_shared").alias("n_shared"), best.alias("b"))
+        out = reduce(DataFrame.unionByName, scans).groupBy("row", "doc_id").agg(F.sum("n_items").alias("n_items"), F.sum("n_shared").alias("n_shared"), best.alias("b"))
         out = out.select("doc_id", "n_items", "n_shared", (-F.col("b.i")).alias("best_item"), "b.best_tiled", "b.best_coverage")
     return out.select("doc_id", "n_shared", "n_items", "best_item", "best_tiled", "best_coverage", (F.col("n_items") == 0).alias("kept"))

@@ -130,6 +130,14 @@ def test_reordered_passages_are_caught(spark, docs, empty):
     assert decontamination.tile_benchmark(docs, b.limit(0)).where("kept").count() == docs.count()
 
 
+def test_blocks_of_items_keep_repeated_rows_and_null_ids(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    d = spark.createDataFrame([(1, item), (1, item), (1, "other words"), (None, item), (None, "alpha beta gamma delta epsilon"), (None, None)], "doc_id long, text string")
+    b = spark.createDataFrame([(7, item), (8, "one two three four five six"), (9, "k l m n o p q")], "item_id long, text string")
+    one, many = (sorted(map(str, decontamination.tile_benchmark(d, b, block_bytes=n).collect())) for n in (1 << 20, 20))
+    assert len(one) == 6 and many == one
+
+
 # ---- 2: mixing ----
 
 
@@ -239,6 +247,15 @@ def test_scores_in_blocks_and_without_training(spark, docs, empty):
     assert all(r["bits_per_byte"] == pytest.approx(8) for r in none)
 
 
+def test_blocks_score_repeated_rows_and_null_ids_each(spark, docs):
+    more = spark.createDataFrame([(None, "null id hers"), (None, "null id here"), (3, "one two"), (3, "two one")], "doc_id long, text string")
+    every = context_tree.held_out_split(docs.select("doc_id", "text").unionByName(more))
+    one, many = (sorted(map(tuple, context_tree.score_documents(every, 3, block_entries=n).collect()), key=lambda r: (str(r[:5]), r[6])) for n in (1 << 24, 600))
+    assert len(one) == every.count()
+    assert [r[:5] for r in one] == [r[:5] for r in many]
+    assert [x for r in one for x in r[5:]] == pytest.approx([x for r in many for x in r[5:]], rel=1e-6)
+
+
 def test_held_out_code_length_nears_the_source(spark):
     """Random words of known probability: the held-out score comes near their true one."""
     rng = random.Random(2)
