@@ -388,7 +388,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block_entries: int = BL
         tables = {}
         for kind, dtype in (("gram", np.float32), ("word", np.int64)):
             keys, values = [np.empty(0, _U)], [np.empty(0, dtype)]
-            for r in model.where(chosen & (F.col("kind") == kind)).toLocalIterator():  # block_entries at most
+            for r in model.where(chosen & (F.col("kind") == kind)).toLocalIterator():  # block_entries or one bucket, whichever is more
                 keys.append(K.mix(np.frombuffer(bytes(r["keys"]), _U)) if kind == "gram" else np.frombuffer(bytes(r["keys"]), _U))
                 values.append(np.frombuffer(bytes(r["counts"]), dtype))
             keys, values = np.concatenate(keys), np.concatenate(values)
