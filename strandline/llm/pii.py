@@ -32,7 +32,7 @@ _EMAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+\.[A-Za-z0-9-]")
 LOOKALIKES = dict(zip("аеорсухіјѕԁһӏАВЕКМНОРСТХІЈЅοανρικτΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhlABEKMHOPCTXIJSoavpiktABEZHIKMNOPTYX")) | dict(zip("‐‑‒–—−․。․·＋﹢﹫", "------....++@"))
 INVISIBLE = frozenset(map(chr, (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)))
 DIGITS = {w: str(k) for k, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
-_D = "(?:" + "|".join(DIGITS) + ")"
+_D = "(?a:" + "|".join(DIGITS) + ")"  # ASCII: a dotless i is no i
 #: Ends of plainly written host names that make a bare "at" one of an address, and words after which it is none.
 TOP_LEVEL = "com org net edu gov io info biz co uk us eu de fr es it nl be ch at pl se no dk fi ca au jp cn in br mx ru".split()
 ARTICLES = "the a an this that these those my your our his her their its least last all home work".split()

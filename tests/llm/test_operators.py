@@ -568,6 +568,11 @@ def test_a_disguised_dot_clears_any_ending(text, found):
     assert [text[a:b] for _, a, b in pii.find_spans(text)[1]] == [found] * (found is not None)
 
 
+def test_a_dotless_i_spells_no_digit():
+    for text in ("fıve", "10.0.0.fıve –", "sıx nıne"):
+        assert pii.find_spans(text) == ([], [])
+
+
 def test_the_hint_decides_nothing(monkeypatch):
     rng = random.Random(8)
     bits = ["john", "example", "com", "dev", "at", "dot", "@", ".", " ", "  ", "_", "-", ",", "(", ")", "[at]", "plus", "+", "one", "Five", "oh", "4111", "555", "10", "0", "1", "é", "о", "\u200b", "\u212a", "．", "–", "\n"]
