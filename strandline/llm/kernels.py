@@ -2,7 +2,9 @@
 
 Texts are handled as one UTF-8 buffer with document offsets.  Words are maximal runs of bytes
 other than space and \\t..\\r, so they agree with ``[^\\x20\\x09-\\x0D]+`` on characters.
-Hashes are 64-bit polynomial fingerprints, read from prefix sums: a span costs O(1).
+Fingerprints are polynomials modulo the prime 2**61 - 1, read from prefix sums: a span costs O(1).  Two different spans of n
+items agree with a chance of n / 2**61 at most, whatever their structure (a modulus of 2**64 would not do: there a Thue-Morse word
+and its complement agree for every base).
 """
 
 from __future__ import annotations
@@ -12,11 +14,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+P61 = (1 << 61) - 1
+_BASE = 0x9E3779B97F4A7C15 % P61
+_INVERSE = pow(_BASE, -1, P61)
+#: Items of one step of arithmetic.
+STEP = 1 << 13
+_P, _M31, _M30 = U(P61), U((1 << 31) - 1), U((1 << 30) - 1)
 _rng = np.random.Generator(np.random.PCG64(20240229))
 #: Random value of each byte.
-BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | U(1)
+BYTE = _rng.integers(1, P61, 256, dtype=np.uint64)
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 9, 10, 11, 12, 13]] = False
 #: Letters, digits and all bytes outside ASCII.
@@ -28,15 +34,51 @@ _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
 
+def _reduce(x: np.ndarray) -> np.ndarray:
+    """x modulo 2**61 - 1, in place."""
+    high = x >> U(61)
+    x &= _P
+    x += high
+    np.add(x, U(1), out=high)
+    high >>= U(61)
+    x += high
+    x &= _P
+    return x
+
+
+def _product(a: np.ndarray, b: np.ndarray, out: np.ndarray) -> None:
+    a1, b1 = a >> U(31), b >> U(31)
+    a0, b0 = a & _M31, b & _M31
+    middle = a1 * b0
+    np.multiply(a1, b1, out=out)
+    out <<= U(1)
+    middle += a0 * b1
+    a0 *= b0
+    out += a0
+    np.right_shift(middle, U(30), out=a0)
+    out += a0
+    middle &= _M30
+    middle <<= U(31)
+    out += middle
+    _reduce(out)
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2**61 - 1, for values below it: from halves of 31 bits, since 2**61 counts as 1.  In steps that fit the cache."""
+    out = np.empty(len(a), np.uint64)
+    for k in range(0, len(a), STEP):
+        to = k + STEP
+        _product(a[k:to], b if len(b) == 1 else b[k:to], out[k:to])
+    return out
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse, modulo 2**64."""
+    """The first n powers of the base and of its inverse, modulo 2**61 - 1."""
     global _powers, _inverses
-    if len(_powers) < n:
-        m = max(n, 1 << 16)
-        for name, base in (("_powers", _BASE), ("_inverses", _INVERSE)):
-            x = np.full(m, U(base))
-            x[0] = 1
-            globals()[name] = np.multiply.accumulate(x)
+    while len(_powers) < n:
+        k = len(_powers)
+        _powers = np.concatenate((_powers, product(_powers, np.array([pow(_BASE, k, P61)], np.uint64))))
+        _inverses = np.concatenate((_inverses, product(_inverses, np.array([pow(_INVERSE, k, P61)], np.uint64))))
     return _powers[:n], _inverses[:n]
 
 
@@ -86,15 +128,42 @@ def words(buf: np.ndarray, offs: np.ndarray, member: np.ndarray = IS_WORD) -> tu
 
 
 def prefix(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of value * base**position, with a leading 0."""
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(len(values))[0], out=out[1:])
-    return out
+    """Prefix sums of value * base**position, with a leading 0.  Values are below 2**64; of those above 61 bits the last 3 don't count."""
+    sums, power, total = np.zeros(len(values) + 1, np.uint64), powers(len(values))[0], 0
+    for k in range(0, len(values), STEP):
+        part = values[k : k + STEP].astype(np.uint64)
+        wide = part >= _P
+        if wide.any():
+            part[wide] >>= U(3)
+        terms = sums[k + 1 : k + 1 + len(part)]
+        _product(part, power[k : k + len(part)], terms)
+        low = np.cumsum(terms & _M31)  # neither sum exceeds 62 bits
+        terms >>= U(31)
+        np.cumsum(terms, out=terms)
+        high = terms >> U(30)
+        low += high
+        terms &= _M30
+        terms <<= U(31)
+        terms += low
+        _reduce(terms)
+        terms += U(total)
+        _reduce(terms)
+        total = int(terms[-1])
+    return sums
 
 
 def span(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Fingerprints of the spans [start, end)."""
-    return mix((sums[end] - sums[start]) * powers(len(sums))[1][start])
+    """Fingerprints of the spans [start, end), spread over 64 bits."""
+    inverse, out = powers(len(sums))[1], np.empty(len(start), np.uint64)
+    for k in range(0, len(start), STEP):
+        first = start[k : k + STEP]
+        d = sums[end[k : k + STEP]]
+        d += _P
+        d -= sums[first]
+        part = out[k : k + STEP]
+        _product(_reduce(d), inverse[first], part)
+        part[:] = mix(part)
+    return out
 
 
 def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
