@@ -1,9 +1,9 @@
-"""Questions that groups of documents ask of each other, as packed arrays.
+"""Groups of documents, and the questions that they ask of each other by key.
 
-Documents are dealt to groups by a hash of doc_id.  In each round a group sends its distinct keys to buckets, sorted and packed
-as one row for each bucket; the bucket compares the keys of all groups and answers each row with bits in the order of its
-keys.  A group then takes up its documents again, works out the same keys in the same order and reads the answers.  A key that is very
-common counts once in each group, so no bucket grows with its number of copies.
+Documents are dealt to groups of some megabytes by a hash of doc_id and text.  A group works out keys of its documents and asks with
+one row for each distinct one; Spark shuffles the rows by key and answers with the rows of those keys that matter.  The group then takes up its
+documents again and finds the keys that came back.  Rows grow in proportion to the text.  A very common key counts once in each group, in
+narrow rows that a window over the key can spill.
 """
 
 from __future__ import annotations
@@ -13,80 +13,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import GROUP_BYTES, text_groups
+from strandline.llm.common import text_groups
 
-ROW = "pid int, bucket int, payload binary"
-MASK = "pid int, round int, bucket int, mask binary"
 
-
-def grouped(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(doc_id, text, pid) and the number of groups.  Groups grow slowly with the input, so that rows between groups and buckets
-    stay few and full."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, h, pid): h is a hash of the text, pid the group.  Null ids and rows that share an id are spread by their texts."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = text_groups(rows)
-    if n > 20_000:
-        n = text_groups(rows, min(64 * GROUP_BYTES, -(-n // 20_000) * GROUP_BYTES))
-    return rows.withColumn("pid", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")), n
+    return rows.withColumn("h", F.xxhash64("text")).withColumn("pid", F.pmod(F.xxhash64("doc_id", "h"), F.lit(n)).cast("int"))
 
 
 def in_order(table: pa.Table) -> pa.RecordBatch:
-    """The documents of a group by doc_id, then text, as one batch."""
-    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
+    """The documents of a group by doc_id (null last), then by the hash of the text, as one batch."""
+    table = table.sort_by([("doc_id", "ascending"), ("h", "ascending")]).combine_chunks()
     return table.to_batches()[0]
 
 
-def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
-    """Bucket of evenly spread 64-bit keys; rises with the key."""
-    return ((keys >> np.uint64(40)) * np.uint64(n) >> np.uint64(24)).astype(np.int64)
-
-
-def send(pid: int, bucket: np.ndarray, *arrays: np.ndarray) -> pa.Table:
-    """A row for each bucket (bucket: sorted) with its part of the arrays: their number of items, then each array's bytes."""
-    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.empty(0, np.int64)
-    ends = np.append(cuts[1:], len(bucket))
-    payloads = [np.int64(b - a).tobytes() + b"".join(x[a:b].tobytes() for x in arrays) for a, b in zip(cuts.tolist(), ends.tolist())]
-    return pa.table({"pid": pa.array([pid] * len(cuts), pa.int32()), "bucket": pa.array(bucket[cuts], pa.int32()), "payload": pa.array(payloads, pa.binary())})
-
-
-def receive(table: pa.Table, dtypes: list) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """The arrays of all rows of a bucket, in the order of pid; pids, the bucket of each row, and the rows' bounds."""
-    table = table.sort_by("pid").combine_chunks()
-    pids, buckets = table.column("pid").to_numpy(), table.column("bucket").to_numpy()
-    parts, sizes = [[] for _ in dtypes], []
-    for payload in table.column("payload"):
-        raw = payload.as_buffer()
-        n, at = int(np.frombuffer(raw, np.int64, 1)[0]), 8
-        sizes.append(n)
-        for part, t in zip(parts, dtypes):
-            part.append(np.frombuffer(raw, t, n, at))
-            at += n * np.dtype(t).itemsize
-    return [np.concatenate(p) if p else np.empty(0, t) for p, t in zip(parts, dtypes)], pids, buckets, np.concatenate(([0], np.cumsum(sizes)))
-
-
-def answer(round_: int, flags: np.ndarray, pids: np.ndarray, buckets: np.ndarray, bounds: np.ndarray) -> pa.Table:
-    masks = [np.packbits(flags[a:b]).tobytes() for a, b in zip(bounds, bounds[1:])]
-    n = len(pids)
-    return pa.table({"pid": pa.array(pids, pa.int32()), "round": pa.array([round_] * n, pa.int32()), "bucket": pa.array(buckets, pa.int32()), "mask": pa.array(masks, pa.binary())})
-
-
-def read_answers(table: pa.Table, round_: int, bucket: np.ndarray) -> np.ndarray:
-    """Flags of a group's keys, whose buckets (sorted) are given."""
-    found = {}
-    for r, b, mask in zip(table.column("round").to_pylist(), table.column("bucket").to_pylist(), table.column("mask")):
-        if r == round_:
-            found[b] = np.frombuffer(mask.as_buffer(), np.uint8)
-    out = np.zeros(len(bucket), bool)
-    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.empty(0, np.int64)
-    for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist()):
-        out[a:b] = np.unpackbits(found[int(bucket[a])], count=b - a).view(bool)
-    return out
-
-
-def runs_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For sorted keys: whether each begins a new run, and whether its run has more than one."""
-    n = len(keys[0])
-    new = np.ones(n, bool)
-    if n > 1:
-        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    alone = new & np.append(new[1:], True)[:n]
-    return new, ~alone
+def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are among the wanted ones (sorted), and where there."""
+    if not len(wanted):
+        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+    return wanted[at] == keys, at

@@ -4,7 +4,7 @@ A window of ``size`` words is removed where its words also start earlier.  Finge
 where the place in the document, modulo the period, lies in a difference cover: for any two places some shift below the period brings
 both onto the cover, so two equal windows share an aligned anchor of size - period + 1 words.  First round: which anchors
 occur twice.  Only windows that hold such an anchor can be repeated; they are extended to their full length, and the second
-round finds where each begins first.
+round finds where each begins first.  Both rounds shuffle narrow rows by key, one for each distinct key of a group of documents.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import exchange as X
@@ -29,7 +29,7 @@ COVER = (0, 1, 3, 9)
 class Group:
     """The words of a group's documents, and its anchors."""
 
-    def __init__(self, table: pa.Table, size: int, n_buckets: int):
+    def __init__(self, table: pa.Table, size: int):
         self.batch = X.in_order(table)
         hashes, counts = [np.empty(0, np.uint64)], [np.zeros(0, np.int64)]
         for part in slices(self.batch, "text"):
@@ -39,45 +39,37 @@ class Group:
             counts.append(np.diff(bounds))
         self.hashes, self.counts = np.concatenate(hashes), np.concatenate(counts)
         self.bounds = np.concatenate(([0], np.cumsum(self.counts)))
-        self.size, self.n_buckets = size, n_buckets
-        self.sums = K.prefix(self.hashes)
-        length = size - PERIOD + 1
+        self.size, self.sums = size, K.prefix(self.hashes)
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places (word numbers), documents and fingerprints of the runs that begin on the cover."""
+        length = self.size - PERIOD + 1
         at = K.runs(self.bounds[:-1], self.counts - length + 1)
         doc = np.searchsorted(self.bounds, at, side="right") - 1
         on = np.zeros(PERIOD, bool)
         on[list(COVER)] = True
         chosen = on[(at - self.bounds[doc]) % PERIOD]
-        self.at, self.doc = at[chosen], doc[chosen]
-        keys = K.span(self.sums, self.at, self.at + length)
-        self.anchors, self.which, n = np.unique(keys, return_inverse=True, return_counts=True)
-        self.repeated = n > 1
-        self.anchor_bucket = X.bucket_of(self.anchors, n_buckets)
-
-    def candidates(self, answers: pa.Table) -> None:
-        """Windows that hold a repeated anchor: their starts, distinct fingerprints and first places."""
-        hit = X.read_answers(answers, 1, self.anchor_bucket)[self.which]
-        at, doc = self.at[hit], self.doc[hit]
+        at, doc = at[chosen], doc[chosen]
+        return at, doc, K.span(self.sums, at, at + length).view(np.int64)
+
+    def candidates(self, repeated: np.ndarray) -> np.ndarray:
+        """Starts of the windows that hold a repeated anchor."""
+        at, doc, keys = self.anchors()
+        hit = X.found(keys, repeated)[0]
+        at, doc = at[hit], doc[hit]
         low = np.maximum(at - PERIOD + 1, self.bounds[doc])
         high = np.minimum(at, self.bounds[doc + 1] - self.size)
         ok = low <= high
         n = len(self.hashes) + 1
         steps = np.bincount(low[ok], minlength=n + 1) - np.bincount(high[ok] + 1, minlength=n + 1)
-        self.starts = np.flatnonzero(np.cumsum(steps) > 0)
-        keys = K.span(self.sums, self.starts, self.starts + self.size)
-        self.windows, self.first, self.window_of = np.unique(keys, return_index=True, return_inverse=True)
-        self.window_bucket = X.bucket_of(self.windows, self.n_buckets)
+        return np.flatnonzero(np.cumsum(steps) > 0)
+
+    def windows(self, starts: np.ndarray) -> np.ndarray:
+        return K.span(self.sums, starts, starts + self.size).view(np.int64)
 
-    def first_ids(self) -> np.ndarray:
-        doc = np.searchsorted(self.bounds, self.starts[self.first], side="right") - 1
-        ids = self.batch.column("doc_id").fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
-        return ids[doc].astype(np.int64)
 
-    def removed(self, answers: pa.Table) -> np.ndarray:
-        """Which words go."""
-        later = X.read_answers(answers, 2, self.window_bucket)[self.window_of]
-        own = np.ones(len(self.starts), bool)
-        own[self.first] = False
-        return K.covered(self.starts[later | own], self.size, len(self.hashes))
+def _keys(table: pa.Table) -> np.ndarray:
+    return np.sort(table.column("key").to_numpy())
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -85,46 +77,48 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
     Words are runs of characters other than space and \\t..\\r, unchanged.  A word goes if a window of ``size`` (14 at least)
     consecutive words that covers it also starts earlier: in a smaller doc_id (null: the largest), or before in the same document; of
-    rows that share a doc_id the texts' order decides.  Windows are judged on the input.  kept_text joins what stays by
-    spaces; kept_sha256 is its digest.  Null or blank texts have no words.  An empty table gives no rows; other columns are ignored.
+    rows that share a doc_id a hash of the text decides, and equal rows follow each other.  Windows are judged on the input.
+    kept_text joins what stays by spaces; kept_sha256 is its digest.  Null or blank texts have no words.  An empty table gives no
+    rows; other columns are ignored.  A text must fit a task; windows are compared as fingerprints.
     """
     if size <= PERIOD:
         raise ValueError(f"size must be above {PERIOD}")
-    rows, n = X.grouped(docs)
+    rows = X.grouped(docs)
 
     def ask(table: pa.Table) -> pa.Table:
-        g = Group(table, size, n)
-        return X.send(table.column("pid")[0].as_py(), g.anchor_bucket, g.anchors, g.repeated)
-
-    def meet(table: pa.Table) -> pa.Table:
-        (keys, repeated), *where = X.receive(table, [np.uint64, bool])
-        order = np.argsort(keys)
-        flags = repeated.copy()
-        flags[order] |= X.runs_of(keys[order])[1]
-        return X.answer(1, flags, *where)
-
-    def extend(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return X.send(0, np.empty(0, np.int64))
-        g = Group(table, size, n)
-        g.candidates(answers)
-        return X.send(table.column("pid")[0].as_py(), g.window_bucket, g.windows, g.first_ids())
-
-    def earliest(table: pa.Table) -> pa.Table:
-        (keys, ids), *where = X.receive(table, [np.uint64, np.int64])
-        order = np.lexsort((ids, keys))
-        flags = np.zeros(len(keys), bool)
-        flags[order] = ~X.runs_of(keys[order])[0]
-        return X.answer(2, flags, *where)
+        keys, n = np.unique(Group(table, size).anchors()[2], return_counts=True)
+        return pa.table({"pid": pa.array(np.full(len(keys), table.column("pid")[0].as_py(), np.int32)), "key": pa.array(keys), "n": pa.array(np.minimum(n, 2))})
+
+    def extend(table: pa.Table, anchors: pa.Table) -> pa.Table:
+        """Distinct candidate windows of the group: how often each is there, and the document where it is first."""
+        names, none = ["pid", "key", "n", "unknown", "doc_id", "h"], np.empty(0, np.int64)
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+        if not table.num_rows or not anchors.num_rows:
+            return pa.table([pa.array(none, t) if t != pa.bool_() else pa.array([], t) for t in types], names=names)
+        g = Group(table, size)
+        starts = g.candidates(_keys(anchors))
+        keys, first, n = np.unique(g.windows(starts), return_index=True, return_counts=True)
+        doc = pa.array(np.searchsorted(g.bounds, starts[first], side="right") - 1)
+        ids = g.batch.column("doc_id").take(doc)
+        pid = np.full(len(keys), table.column("pid")[0].as_py(), np.int32)
+        return pa.table([pa.array(pid), pa.array(keys), pa.array(n), ids.is_null(), ids, g.batch.column("h").take(doc)], names=names)
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         if not table.num_rows:
             return pa.table([pa.array([], t) for t in types], names=names)
-        g = Group(table, size, n)
-        g.candidates(answers)
-        gone = g.removed(answers)
+        g = Group(table, size)
+        gone = np.zeros(len(g.hashes), bool)
+        if answers.num_rows:
+            answers = answers.sort_by("key")
+            wanted, every = answers.column("key").to_numpy(), answers.column("every").to_numpy(zero_copy_only=False).astype(bool)
+            starts = K.runs(g.bounds[:-1], g.counts - size + 1)
+            hit, which = X.found(g.windows(starts), wanted)
+            starts, which = starts[hit], which[hit]
+            first = np.zeros(len(starts), bool)
+            first[np.unique(which, return_index=True)[1]] = True
+            gone = K.covered(starts[every[which] | ~first], size, len(g.hashes))
         texts, at = [], 0
         for part in slices(g.batch, "text"):
             buf, offs = K.buffer(part.column("text"))
@@ -142,9 +136,10 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
         columns = [g.batch.column("doc_id"), pa.array(g.counts, pa.int64()), pa.array(lost, pa.int64()), pa.array(digests), pa.array(texts, pa.binary()).cast(pa.string())]
         return pa.table(columns, names=names)
 
-    asked = rows.groupBy("pid").applyInArrow(ask, X.ROW)
-    anchors = asked.groupBy("bucket").applyInArrow(meet, X.MASK)
-    extended = rows.groupBy("pid").cogroup(anchors.groupBy("pid")).applyInArrow(extend, X.ROW)
-    firsts = extended.groupBy("bucket").applyInArrow(earliest, X.MASK)
-    answers = anchors.unionByName(firsts)
-    return rows.groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    by_key = Window.partitionBy("key")
+    asked = rows.groupBy("pid").applyInArrow(ask, "pid int, key long, n long")
+    anchors = asked.withColumn("m", F.sum("n").over(by_key)).where("m > 1").select("pid", "key")
+    extended = rows.groupBy("pid").cogroup(anchors.groupBy("pid")).applyInArrow(extend, "pid int, key long, n long, unknown boolean, doc_id long, h long")
+    place = F.struct("unknown", "doc_id", "h")
+    later = extended.withColumn("every", place != F.min(place).over(by_key)).where("every OR n > 1").select("pid", "key", "every")
+    return rows.groupBy("pid").cogroup(later.groupBy("pid")).applyInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

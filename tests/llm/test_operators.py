@@ -15,7 +15,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.llm import byte_spans, components, context_tree, decontamination, kernels, mixing, near_duplicates, pii, quality, sharding, tokens, word_spans
-from strandline.llm import exchange as X
 
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -72,6 +71,29 @@ def test_words_agree_with_the_pattern():
         assert [bytes(buf[a:b]).decode() for a, b in zip(start[bounds[k] : bounds[k + 1]], end[bounds[k] : bounds[k + 1]])] == re.findall(WORD, t or "")
 
 
+def test_fingerprints_tell_structured_texts_apart():
+    """A Thue-Morse word and its complement, which agree modulo any power of two."""
+    word = "".join("ab"[bin(k).count("1") & 1] for k in range(4096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    buf, offs = kernels.buffer(pa.array([word, other]))
+    sums = kernels.prefix(kernels.BYTE[buf])
+    prints = [kernels.span(sums, np.array([0, 4096]), np.array([0, 4096]) + n) for n in (64, 256, 1024, 4096)]
+    assert all(a != b and bin(int(a ^ b)).count("1") > 10 for a, b in prints)
+    assert brute_counts(word + "\n" + other)[3] == 0 == quality.statistics(pa.array([word + "\n" + other]))["n_dup_lines"][0]
+    assert near_duplicates.shingle_sets(pa.array([word, other]), 3)[0].tolist() != [0, 0]
+
+
+def test_products_modulo_the_prime():
+    rng = np.random.default_rng(0)
+    a, b = (rng.integers(0, kernels.P61, 20000, dtype=np.uint64) for _ in range(2))
+    a[:2] = b[:2] = kernels.P61 - 1
+    assert kernels.product(a, b).tolist() == [x * y % kernels.P61 for x, y in zip(a.tolist(), b.tolist())]
+    sums, total = kernels.prefix(a), 0
+    for k, x in enumerate(a.tolist()):
+        assert int(sums[k]) == total
+        total = (total + x * pow(kernels._BASE, k, kernels.P61)) % kernels.P61
+
+
 def test_cover_has_every_difference():
     differences = {(a - b) % word_spans.PERIOD for a in word_spans.COVER for b in word_spans.COVER}
     assert differences == set(range(word_spans.PERIOD))
@@ -424,33 +446,58 @@ def test_word_spans(spark, docs, empty):
     assert word_spans.remove_repeats(empty).count() == 0
 
 
+def brute_bytes(rows, size, short):
+    texts, out = [(r[0], (r[1] or "").encode()) for r in rows], []
+    counts = {n: Counter(b[i : i + n] for _, b in texts for i in range(len(b) - n + 1)) for n in (size, short)}
+
+    def covered(b, n):
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - n + 1):
+            if counts[n][b[i : i + n]] > 1:
+                gone[i : i + n] = True
+        return gone
+
+    for d, b in texts:
+        gone = covered(b, size)
+        left = bytes(c for c, g in zip(b, gone) if not g)
+        out.append((d, len(b), int(gone.sum()), int((gone & ~np.concatenate(([False], gone))[: len(b)]).sum()), hashlib.sha256(left).hexdigest(), int(covered(b, short).sum()), left))
+    return out
+
+
 @pytest.mark.parametrize("size", [60, 400])
 def test_byte_spans(spark, docs, empty, size):
-    rows = [(r[0], (r[1] or "").encode()) for r in corpus()]
-    count = Counter(b[i : i + size] for _, b in rows for i in range(len(b) - size + 1))
-    expect = []
-    for d, b in rows:
-        gone = np.zeros(len(b) + 1, bool)
-        for i in range(len(b) - size + 1):
-            if count[b[i : i + size]] > 1:
-                gone[i : i + size] = True
-        runs = int((gone[:-1] & ~np.concatenate(([False], gone[:-2]))[: len(b)]).sum()) if len(b) else 0
-        expect.append((d, len(b), int(gone.sum()), runs, hashlib.sha256(bytes(c for c, g in zip(b, gone) if not g)).hexdigest()))
-    got = byte_spans.remove_repeats(docs, size)
-    assert sorted([tuple(r)[:5] for r in got.collect()], key=sort_key) == sorted(expect, key=sort_key)
+    expect = brute_bytes(corpus(), size, 56)
+    got = byte_spans.remove_repeats(docs, size, 56)
+    assert sorted(map(tuple, got.collect()), key=sort_key) == sorted(expect, key=sort_key)
     assert sum(e[2] for e in expect) > 5000
     assert byte_spans.remove_repeats(empty, size).count() == 0
 
 
-def test_answers_return_in_order():
-    keys = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 100, dtype=np.uint64) * np.uint64(2))
-    bucket = X.bucket_of(keys, 5)
-    assert (np.diff(bucket) >= 0).all() and bucket.max() < 5
-    sent = X.send(3, bucket, keys)
-    (back,), pids, buckets, bounds = X.receive(sent, [np.uint64])
-    assert (back == keys).all() and set(pids) == {3}
-    flags = keys % np.uint64(3) == 0
-    assert (X.read_answers(X.answer(2, flags, pids, buckets, bounds), 2, bucket) == flags).all()
+def test_suffixes_are_ordered_by_their_bytes():
+    rng = np.random.default_rng(3)
+    buf = np.concatenate((rng.integers(97, 99, 600), np.full(60, 97), np.zeros(40))).astype(np.uint8)
+    words, at = byte_spans.words_of(buf), np.arange(620)
+    text = buf.tobytes()
+    for limit in (8, 13, 24, 40):
+        s = byte_spans.Suffixes(words, at, np.zeros(len(at), np.int64))
+        s.to(0, limit)
+        count = Counter(text[a : a + limit] for a in at)
+        assert sorted(s.order.tolist()) == [a for a in at if count[text[a : a + limit]] > 1]
+        found = [text[a : a + limit] for a in s.order]
+        assert found == sorted(found)
+
+
+def test_frequent_anchors_are_cut_without_loss(spark, monkeypatch):
+    """A line met everywhere, with other surroundings each time, and a passage about it that a few share."""
+    rng = random.Random(6)
+    say = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    line, left, right = "This very line stands in every single one of the documents, whatever else. " * 2, say(200), say(200)
+    rows = [(d, say(300) + (left if d % 3 == 0 else say(200)) + line + (right if d % 5 < 2 else say(200)) + say(rng.randint(0, 300))) for d in range(40)]
+    df, size, short = spark.createDataFrame(rows, "doc_id long, text string"), 330, 240
+    plain = sorted(map(tuple, byte_spans.remove_repeats(df, size, short).collect()))
+    monkeypatch.setattr(byte_spans, "HOT", 3)
+    monkeypatch.setattr(byte_spans, "STEP_BYTES", 2000)
+    assert sorted(map(tuple, byte_spans.remove_repeats(df, size, short).collect())) == plain == brute_bytes(rows, size, short)
 
 
 # ---- 7: sharding ----
