@@ -21,13 +21,14 @@ from strandline.llm.common import map_texts
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "ip": re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),  # a match can only begin where its digits do
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 #: What a text must hold for a kind to be possible: a cheap test before the pattern proper.
 NEEDED = {"email": re.compile("@"), "ip": re.compile(r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]"), "card": re.compile(r"(?:[0-9][\x20-]?){13}[0-9]"), "phone": re.compile(r"\+[0-9]")}
 _EMAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+\.[A-Za-z0-9-]")
+_LOCAL, _DOMAIN = re.compile(r"[A-Za-z0-9._%+-]+"), re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 #: Cyrillic and Greek letters that look like a Latin one, and signs that stand for @, full stop, plus and hyphen.
 LOOKALIKES = dict(zip("аеорсухіјѕԁһӏАВЕКМНОРСТХІЈЅοανρικτΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhlABEKMHOPCTXIJSoavpiktABEZHIKMNOPTYX")) | dict(zip("‐‑‒–—−․。․·＋﹢﹫", "------....++@"))
 INVISIBLE = frozenset(map(chr, (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)))
@@ -38,14 +39,16 @@ TOP_LEVEL = "com org net edu gov io info biz co uk us eu de fr es it nl be ch at
 ARTICLES = "the a an this that these those my your our his her their its least last all home work".split()
 #: Stands for a full stop that the first transducer made while the second one matches.
 _MADE = "․"
+#: White space before a sign, taken from its beginning, so that a long run is looked at once.
+_BLANKS = r"(?:(?<!\s)\s+)?"
 _MASKED = rf"(?:\s*[(\[{{<]\s*(?:dot|[.{_MADE}])\s*[)\]}}>]\s*|[ _]+dot[ _]+|{_MADE})"
 _LABEL, _DOT = "[A-Za-z0-9-]+", rf"(?:{_MASKED}|\.)"
 #: A host with a disguised dot may end in any label of letters; one with plain dots alone in a listed one.
 _HOST = rf"(?:{_LABEL}(?:\.{_LABEL})*{_MASKED}(?:{_LABEL}{_DOT})*[A-Za-z]{{2,}}(?!-*[A-Za-z0-9])|{_LABEL}(?:{_DOT}{_LABEL})*?{_DOT}(?:{'|'.join(TOP_LEVEL)})(?![A-Za-z0-9]))"
 _DISGUISES = re.compile(
     rf"(?P<digits>(?<![A-Za-z0-9]){_D}(?:[ \-,.{_MADE}]{{1,2}}{_D})*(?![A-Za-z0-9]))"
-    rf"|(?P<at>\s*[(\[{{<]\s*(?:at|@)\s*[)\]}}>]\s*|(?<=[A-Za-z0-9])[ _]+at[ _]+(?!(?:{'|'.join(ARTICLES)})\b)(?={_HOST})|\s+@\s*(?={_HOST})|(?<=\S)@\s+(?={_HOST}))"
-    rf"|(?P<dot>\s*[(\[{{<]\s*(?:dot|[.{_MADE}])\s*[)\]}}>]\s*|(?<=[A-Za-z0-9])[ _]+dot[ _]+(?=[A-Za-z0-9]))"
+    rf"|(?P<at>{_BLANKS}[(\[{{<]\s*(?:at|@)\s*[)\]}}>]\s*|(?<=[A-Za-z0-9])[ _]+at[ _]+(?!(?:{'|'.join(ARTICLES)})\b)(?={_HOST})|(?<!\s)\s+@\s*(?={_HOST})|(?<=\S)@\s+(?={_HOST}))"
+    rf"|(?P<dot>{_BLANKS}[(\[{{<]\s*(?:dot|[.{_MADE}])\s*[)\]}}>]\s*|(?<=[A-Za-z0-9])[ _]+dot[ _]+(?=[A-Za-z0-9]))"
     r"|(?P<plus>(?<![A-Za-z0-9])plus[ ]+(?=[0-9]|"
     rf"{_D}))",
     re.IGNORECASE,
@@ -66,16 +69,32 @@ def valid(kind: str, found: str) -> bool:
     if kind == "email":
         return True
     if kind == "ip":
-        return all(len(p) < 20 and int(p) <= 255 for p in found.split("."))
+        return all(len(p) < 3 or (len(p) == 3 and p <= "255") for p in (x.lstrip("0") for x in found.split(".")))
     digits = re.sub("[^0-9]", "", found)
     return 14 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 10 <= len(digits) <= 15
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """The leftmost matches of the e-mail pattern, found from each @ outwards: in linear time, however long a run of letters is."""
+    out, at, begin = [], text.find("@"), 0
+    while at >= 0:
+        local, domain = _LOCAL.match(text[begin:at][::-1]), _DOMAIN.match(text, at + 1)
+        if local and domain:
+            out.append((at - local.end(), domain.end()))
+        begin = domain.end() if local and domain else at + 1
+        at = text.find("@", begin)
+    return out
+
+
 def base_spans(text: str, kinds=KINDS) -> list[tuple[str, int, int]]:
     """(kind, start, end) in characters: leftmost matches of each kind's pattern, failing ones dropped; by start, then kind."""
     out = []
     for kind in kinds:
-        if NEEDED[kind].search(text) and (kind != "email" or _EMAIL_TAIL.search(text)):
+        if not NEEDED[kind].search(text):
+            continue
+        if kind == "email":
+            out += [(kind, a, b) for a, b in emails(text)] if _EMAIL_TAIL.search(text) else []
+        else:
             out += [(kind, m.start(), m.end()) for m in PATTERNS[kind].finditer(text) if valid(kind, m[0])]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 

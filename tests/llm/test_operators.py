@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -540,6 +541,79 @@ def test_base_patterns():
     assert [(k, text[a:b]) for k, a, b in got] == [("email", "a.b+c@x-y.example.com"), ("ip", "192.168.1.1"), ("card", "4111 1111-1111 1111"), ("phone", "+1 (555) 010-9999")]
 
 
+def brute_pii(text):
+    """The contract's patterns, tried at every place."""
+    patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    out = []
+    for kind, pattern in patterns.items():
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m[0] if c in "0123456789"]
+            luhn = sum(sum(divmod(2 * d, 10)) if k % 2 else d for k, d in enumerate(reversed(digits))) % 10 == 0
+            ok = {"email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else 0, "card": 14 <= len(digits) <= 19 and luhn, "phone": 10 <= len(digits) <= 15}
+            if ok[kind]:
+                out.append((m.start(), list(patterns).index(kind), kind, m.end()))
+    return [(k, a, b) for a, _, k, b in sorted(out)]
+
+
+def test_base_spans_match_brute_force():
+    rng = random.Random(12)
+    bits = ["a", "B.", "x_y", "@", "@", ".", "-", "+", "%", "1", "25", "255", "256", "000", "0000000000000000000001", "4111 1111-1111 1111", "378282246310005", "+1 555 123 4567", "(", ")", " ", "  ", "\n", "é", "mail@x.org", "10.0.0.1", "٣"]
+    n = 0
+    for _ in range(30000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 12)))
+        expect = brute_pii(text)
+        assert pii.base_spans(text) == expect
+        n += len(expect)
+    assert n > 10000
+
+
+@pytest.mark.parametrize("text", ["a" * 400_000 + " x@y.org", "1" * 400_000 + " 10.0.0.1", " " * 400_000 + "@ x", "\n" * 200_000 + "(at) one@example.com", "+1" + "(" * 300_000 + " a@b.cd", "a@" * 100_000 + "b.c", "at " * 60_000, "one " * 60_000, "a.b-" * 100_000])
+def test_long_texts_take_linear_time(text):
+    began = time.process_time()
+    pii.find_spans(text)
+    assert time.process_time() - began < 10
+
+
+def disguised(rng):
+    """A seeded identifier in a disguise, its kind and the text around it."""
+    spell = lambda ds: " ".join("zero one two three four five six seven eight nine".split()[int(d)] for d in ds)
+    name, host = rng.choice(["ann", "john.doe", "m_k", "info", "x99"]), rng.choice(["example", "mail", "my-site", "corp7"])
+    end, kind = rng.choice(["com", "org", "dev", "io", "museum"]), rng.choice(["email", "ip", "card", "phone"])
+    alike = {v: k for k, v in pii.LOOKALIKES.items() if v.isalpha()}
+    if kind == "email":
+        at = rng.choice([" at ", " (at) ", "[at]", " [@] ", "＠", "{at}"])
+        dot = rng.choice([" dot ", " (dot) ", "[.]", " [dot] ", "．"])
+        plain = rng.choice([f"{name}{at}{host}{dot}{end}", f"{name}@{''.join(alike.get(c, c) if rng.random() < 0.5 else c for c in host[:-1])}о.{end}" if host != "corp7" else f"{name}{at}{host}.{dot and 'com'}"])
+        return kind, plain
+    if kind == "ip":
+        parts = [str(rng.randint(0, 255)) for _ in range(4)]
+        return kind, rng.choice([" dot ".join(spell(p) for p in parts), "[.]".join(parts), "．".join(parts), ".".join(parts[:3]) + "." + spell(str(rng.randint(0, 9)))])
+    digits = [rng.randint(1, 9) for _ in range(15)]
+    check = (10 - sum(sum(divmod(2 * d, 10)) if k % 2 == 0 else d for k, d in enumerate(reversed(digits))) % 10) % 10
+    card = "".join(map(str, [*digits, check]))
+    if kind == "card":
+        return kind, rng.choice(["".join(chr(0xFF10 + int(c)) for c in card), spell(card), card[:-1] + " " + spell(card[-1]), card[:8] + "\u200b" + card[8:]])
+    phone = "".join(map(str, digits[:11]))
+    return kind, rng.choice(["plus " + spell(phone), f"+{phone[0]} ({phone[1:4]}) {spell(phone[4:7])} {phone[7:]}", "plus " + phone, "＋" + phone])
+
+
+def test_recall_of_planted_disguises():
+    """Identifiers in seeded disguises within ordinary words: nearly all are found, and the words alone give nothing."""
+    rng = random.Random(20)
+    words = "the data of this report was read by every member before lunch and then it went back to them with notes".split()
+    caught, total = Counter(), Counter()
+    for _ in range(1500):
+        kind, hidden = disguised(rng)
+        before, after = (" ".join(rng.choice(words) for _ in range(8)) for _ in range(2))
+        text = f"{before}: {hidden} ; {after}"
+        a, b = len(before) + 2, len(before) + 2 + len(hidden)
+        spans = pii.find_spans(text)[1]
+        total[kind] += 1
+        caught[kind] += any(k == kind and s <= a + len(hidden) // 2 < e and a <= s and e <= b for k, s, e in spans)
+        assert pii.find_spans(f"{before}: ; {after}") == ([], [])
+    assert all(caught[k] >= 0.97 * n for k, n in total.items()), (caught, total)
+
+
 @pytest.mark.parametrize(
     "text, kind, found",
     [
