@@ -15,6 +15,15 @@ def assay_slug(assay: Column | str) -> Column:
     return F.translate(F.lower(_col(assay)), " -", "__")
 
 
+#: What the portal calls an assay.
+ASSAY_TITLES = {"TF-ChIP-seq": "TF ChIP-seq", "ATAC-seq": "ATAC-seq", "ChIP-seq": "Histone ChIP-seq", "Hi-C": "intact Hi-C"}
+
+
+def assay_title(assay: Column | str) -> Column:
+    """The portal's name of an assay; null for an unknown one."""
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in ASSAY_TITLES.items() for x in pair)), _col(assay))
+
+
 def peak_token_id(source: Column | str, track: Column | str, chrom: Column | str, start: Column | str, end: Column | str) -> Column:
     return F.concat_ws(":", *(_col(c).cast("string") for c in (source, track, chrom, start, end)))
 
@@ -33,6 +42,7 @@ def element_token_id(chrom: Column | str, start: Column | str, end: Column | str
 
 def histone_column(name: Column | str, index: Column | str | None = None) -> Column:
     """The first word that begins like a histone mark (H3K27ac), in lower case; else the whole cleaned name; else histone_index."""
+    # fixed values: the assay's name before the mark, and what a mark looks like
     clean = F.trim(F.regexp_replace(_col(name), r"(?i)histone\s+chip[-_]?seq\s+", ""))
     mark = F.get(F.filter(F.split(clean, r"\s+"), lambda t: t.rlike(r"^[Hh]\d+[A-Za-z]\d*")), F.lit(0))
     other = F.nullif(F.regexp_replace(F.lower(clean), " ", "_"), F.lit(""))
@@ -41,11 +51,11 @@ def histone_column(name: Column | str, index: Column | str | None = None) -> Col
 
 
 def factor_column(name: Column | str, factor: Column | str, index: Column | str | None = None) -> Column:
-    """The factor where given, else the name without its assay prefixes; trimmed, lower case, blanks as underscores; else tf_index."""
-    plain = F.regexp_replace(F.regexp_replace(_col(name), r"^TF ChIP-seq ", ""), r"^ChIP-seq ", "")
+    """The factor where given, else the trimmed name without its assay prefixes; lower case, blanks as underscores; else tf_index."""
+    plain = F.trim(F.regexp_replace(F.regexp_replace(_col(name), r"^TF ChIP-seq ", ""), r"^ChIP-seq ", ""))  # fixed values
     chosen = F.coalesce(F.nullif(_col(factor), F.lit("")), plain)
     number = F.coalesce(_col(index).cast("string") if index is not None else F.lit("0"), F.lit("0"))
-    return F.coalesce(F.nullif(F.regexp_replace(F.lower(F.trim(chosen)), " ", "_"), F.lit("")), F.concat(F.lit("tf_"), number))
+    return F.coalesce(F.nullif(F.regexp_replace(F.lower(chosen), " ", "_"), F.lit("")), F.concat(F.lit("tf_"), number))
 
 
 def contact_column(track: Column | str, n_tracks: Column | str) -> Column:
@@ -91,3 +101,8 @@ def finite_or_null(value: Column | str) -> Column:
     """For JSON: NaN and infinities as null."""
     v = _col(value)
     return F.when(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v)
+
+
+def local_path(root: str, assay: Column | str, accession: Column | str, file_accession: Column | str, url: Column | str) -> Column:
+    """Where a downloaded file is kept: root/raw/assay/accession/file with the suffixes of its URL."""
+    return F.concat_ws("/", F.lit(root), F.lit("raw"), assay_slug(assay), _col(accession), F.concat(_col(file_accession), url_suffix(url)))

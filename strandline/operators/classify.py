@@ -22,6 +22,11 @@ def zscore(rows: DataFrame, columns: list[str], by: str = "chrom", suffix: str =
     return out.drop(*(f"{c}_{n}" for c in columns for n in ("mean", "std")))
 
 
+def class_counts(elements: DataFrame) -> DataFrame:
+    """How many elements each class has: ccre_class, n."""
+    return elements.groupBy("ccre_class").agg(F.count("*").alias("n"))
+
+
 def element_class(promoter_z: Column, enhancer_z: Column, insulator_z: Column, distance: Column, threshold: float = Z_THRESHOLD) -> Column:
     """Class of a regulatory element from its scores and its distance to the nearest transcription start.  NaN is never high."""
     high = lambda z: F.coalesce(~F.isnan(z) & (z.cast("float") >= F.lit(threshold).cast("float")), F.lit(False))

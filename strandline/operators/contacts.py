@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions.naming import contact_token_id
@@ -14,11 +14,11 @@ MIN_FREQUENCY = 1e-4
 def contact_tokens(rows: DataFrame, windows: DataFrame, resolution: int, stride: int, least: float = MIN_FREQUENCY) -> DataFrame:
     """Upper-triangle contacts whose two bins start in the kept part of their window, at least ``least``.
 
-    rows: chrom, window_idx, track, row_idx, row (array); windows: as generate_windows.  Each matrix row is cut to its kept part
-    beyond the diagonal before it is exploded.
+    rows: chrom, window_idx, track, row_idx, row (array); windows: as generate_windows or window_numbers.  Each matrix row is cut to its kept
+    part beyond the diagonal before it is exploded.
     """
     kept = keep_ranges(windows, stride).select("chrom", "window_idx", "start", "keep_start", "keep_end")
-    low = F.ceil((F.col("keep_start") - F.col("start")) / resolution)
+    low = F.greatest(F.ceil((F.col("keep_start") - F.col("start")) / resolution), F.lit(0).cast("long"))  # a stride may begin before a short window
     high = F.ceil((F.col("keep_end") - F.col("start")) / resolution)
     at = rows.join(kept, ["chrom", "window_idx"]).where((F.col("row_idx") >= low) & (F.col("row_idx") < high))
     n = F.greatest(F.least(high, F.size("row").cast("long")) - F.col("row_idx"), F.lit(0)).cast("int")
@@ -40,17 +40,31 @@ def contact_row_totals(rows: DataFrame, windows: DataFrame, resolution: int, lea
     return out.groupBy("chrom", "track", "bin").agg(F.sum("t").alias("total"))
 
 
-def sparse_contacts(triples: DataFrame, resolution: int, chroms: DataFrame, trans: bool = False, least: float = MIN_FREQUENCY) -> DataFrame:
+def sparse_contacts(triples: DataFrame, resolution: int | str, chroms: DataFrame, trans: bool = False, least: float = MIN_FREQUENCY) -> DataFrame:
     """Contacts above ``least`` (strictly) and finite, between wanted chromosomes.
 
-    triples: accession, chrom1, bin1, chrom2, bin2, counts; chroms: chrom, ord (their order; pairs across chromosomes, taken with
-    trans=True, come once, the earlier chromosome first).
+    triples: accession, chrom1, bin1, chrom2, bin2, counts; chroms: chrom, ord (their order).  Contacts across chromosomes, taken with
+    trans=True, have the earlier chromosome first, whichever way they are stored.  resolution: one for all, or a column of triples.
     """
     a, b = chroms.select(F.col("chrom").alias("chrom1"), F.col("ord").alias("o1")), chroms.select(F.col("chrom").alias("chrom2"), F.col("ord").alias("o2"))
     c = F.col("counts")
-    rows = triples.where((c > least) & ~F.isnan(c) & (c < F.lit(float("inf")))).join(F.broadcast(a), "chrom1").join(F.broadcast(b), "chrom2")  # one row a chromosome
-    rows = rows.where("o1 = o2" if not trans else "o1 <= o2")
-    return rows.select("accession", "chrom1", F.col("bin1").alias("start1"), (F.col("bin1") + resolution).alias("end1"), "chrom2", F.col("bin2").alias("start2"), (F.col("bin2") + resolution).alias("end2"), c.alias("contact_freq"), F.lit(resolution).alias("resolution"))
+    rows = triples.where((c > least) & ~F.isnan(c) & (c < F.lit(float("inf")))).join(a, "chrom1").join(b, "chrom2")
+    rows = rows if trans else rows.where("o1 = o2")
+    wide = F.col(resolution) if isinstance(resolution, str) else F.lit(resolution)
+    swap = F.col("o1") > F.col("o2")
+    side = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
+    start1, start2 = side("bin1", "bin2"), side("bin2", "bin1")
+    return rows.select(
+        "accession", side("chrom1", "chrom2").alias("chrom1"), start1.alias("start1"), (start1 + wide).alias("end1"), side("chrom2", "chrom1").alias("chrom2"),
+        start2.alias("start2"), (start2 + wide).alias("end2"), c.alias("contact_freq"), wide.alias("resolution"),
+    )
+
+
+def window_numbers(files: DataFrame) -> DataFrame:
+    """Windows known by their files (chrom, start, end; one row a file or more): chrom, start, end, window_idx by start, n_windows."""
+    each = files.select("chrom", "start", "end").distinct()
+    by_start = Window.partitionBy("chrom").orderBy("start", "end")
+    return each.withColumn("window_idx", (F.row_number().over(by_start) - 1).cast("long")).withColumn("n_windows", F.count("*").over(Window.partitionBy("chrom")))
 
 
 def chrom_pairs(chroms: DataFrame) -> DataFrame:

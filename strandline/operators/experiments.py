@@ -15,33 +15,30 @@ def matches_assembly(file: Column, assembly: str) -> Column:
     return F.coalesce(file["assembly"] == assembly, F.lit(False)) | F.coalesce(F.exists(file["assemblies"], lambda a: a == assembly), F.lit(False))
 
 
-def candidates(files: Column, file_type: str, assembly: str | None) -> Column:
-    """Released files of a type and assembly, with their places."""
-    placed = F.transform(files, lambda f, i: F.struct(i.alias("place"), f.alias("file")))
-    keep = lambda x: (x["file"]["file_type"] == file_type) & (x["file"]["status"] == "released") & (matches_assembly(x["file"], assembly) if assembly else F.lit(True))
-    return F.filter(placed, keep)
+def _first(files: Column, file_type: str, assembly: str | None, rank) -> Column:
+    """The released file of a type and assembly with the lowest rank, then place: one pass over the list."""
 
+    def place(f: Column, i: Column) -> Column:
+        fits = (f["file_type"] == file_type) & (f["status"] == "released") & (matches_assembly(f, assembly) if assembly else F.lit(True))
+        return F.when(fits, F.struct(rank(f).cast("int").alias("rank"), i.alias("place")))
 
-def _first(found: Column, rank) -> Column:
-    """The file of the lowest rank, then place."""
-    ranked = F.transform(found, lambda x: F.struct(rank(x["file"]).cast("int").alias("rank"), x["place"].alias("place"), x["file"].alias("file")))
-    return F.array_min(ranked)["file"]
+    return F.get(files, F.array_min(F.transform(files, place))["place"])
 
 
 def best_peak_file(files: Column, assembly: str) -> Column:
     order = F.array(*map(F.lit, PEAK_OUTPUTS))
     rank = lambda f: F.coalesce(F.nullif(F.array_position(order, f["output_type"]), F.lit(0).cast("long")), F.lit(99))
-    return _first(candidates(files, "bed narrowPeak", assembly), rank)
+    return _first(files, "bed narrowPeak", assembly, rank)
 
 
 def best_signal_file(files: Column, assembly: str) -> Column:
     rank = lambda f: F.when(f["output_type"] == SIGNAL_OUTPUT, 0).when(F.lower(f["output_type"]).contains("signal"), 1).otherwise(2)
-    return _first(candidates(files, "bigWig", assembly), rank)
+    return _first(files, "bigWig", assembly, rank)
 
 
 def best_contact_file(files: Column, assembly: str) -> Column:
     """One of the assembly first, else any released one."""
-    return _first(candidates(files, "hic", None), lambda f: F.when(matches_assembly(f, assembly), 0).otherwise(1))
+    return _first(files, "hic", None, lambda f: F.when(matches_assembly(f, assembly), 0).otherwise(1))
 
 
 def limit_per_group(rows: DataFrame, groups: list[str], order: list[str], n: int) -> DataFrame:
@@ -54,10 +51,13 @@ def summits(peaks: DataFrame) -> DataFrame:
 
 
 def summarise(tokens: DataFrame) -> DataFrame:
-    """One row an experiment: n_tokens, n_chroms, median_auc (exact, without NaN).  tokens: assay, experiment_accession, biosample, target, chrom, auc."""
+    """One row an experiment: n_tokens, n_chroms, median_auc (exact, without NaN; NaN where there is no other).
+
+    tokens: assay, experiment_accession, biosample, target, chrom, auc.
+    """
     return tokens.groupBy("assay", "experiment_accession").agg(
         F.min("biosample").alias("biosample"), F.min("target").alias("target"), F.count("*").alias("n_tokens"),
-        F.countDistinct("chrom").alias("n_chroms"), F.median(F.when(~F.isnan("auc"), F.col("auc"))).alias("median_auc"),
+        F.countDistinct("chrom").alias("n_chroms"), F.coalesce(F.median(F.when(~F.isnan("auc"), F.col("auc"))), F.lit(float("nan"))).alias("median_auc"),
     )
 
 
@@ -75,3 +75,8 @@ def download_tasks(experiments: DataFrame) -> DataFrame:
     """One task a file of each experiment (accession, peak_url, signal_url): accession, role, url; missing files give none."""
     pairs = F.filter(F.array(F.struct(F.lit("peak").alias("role"), F.col("peak_url").alias("url")), F.struct(F.lit("signal").alias("role"), F.col("signal_url").alias("url"))), lambda x: x["url"].isNotNull())
     return experiments.select("accession", F.inline(pairs))
+
+
+def counters(tokens: DataFrame, by: str, distinct: str, area: str = "auc") -> DataFrame:
+    """For each value of ``by``: n, n_missing (areas that are NaN), n_tracks (distinct values of ``distinct``)."""
+    return tokens.groupBy(by).agg(F.count("*").alias("n"), F.sum(F.isnan(area).cast("long")).alias("n_missing"), F.countDistinct(distinct).alias("n_tracks"))

@@ -45,15 +45,18 @@ def overlap_pairs(left: DataFrame, right: DataFrame, width: int, keys: tuple[str
     return pairs.withColumn("overlap", F.least("end", "r_end") - F.greatest("start", "r_start"))
 
 
-def interval_auc(intervals: DataFrame, segments: DataFrame, width: int, keys: tuple[str, ...] = ("chrom",)) -> DataFrame:
+def interval_auc(intervals: DataFrame, segments: DataFrame, width: int, keys: tuple[str, ...] = ("chrom",), signals: DataFrame | None = None) -> DataFrame:
     """Area under a piecewise signal: mean over the covered bases times the interval's length; 0 where nothing covers it.
 
-    intervals: keys, interval_id, start, end; segments: keys, start, end, value (not overlapping).  NaN marks intervals whose
-    keys have no segments at all.
+    intervals: keys, interval_id, start, end; segments: keys, start, end, value (not overlapping).  signals lists those that exist, by
+    some of the keys (an accession, say): intervals of others have NaN.  Without it there is one signal; a chromosome that it lacks has 0.
     """
     pairs = overlap_pairs(intervals.select(*keys, "interval_id", "start", "end"), segments.select(*keys, "start", "end", "value"), width, keys)
     sums = pairs.groupBy(*keys, "interval_id").agg(F.sum(F.col("value") * F.col("overlap")).alias("s"), F.sum("overlap").alias("n"))
-    known = segments.select(*keys).distinct().withColumn("known", F.lit(True))
-    out = intervals.join(sums, [*keys, "interval_id"], "left").join(known, list(keys), "left")
-    mean = F.when(F.col("known").isNull(), F.lit(float("nan"))).when(F.col("n").isNull(), 0.0).otherwise(F.col("s") / F.col("n"))
-    return out.withColumn("auc", mean * (F.col("end") - F.col("start"))).drop("s", "n", "known")
+    out = intervals.join(sums, [*keys, "interval_id"], "left")
+    area = F.coalesce(F.col("s") / F.col("n") * (F.col("end") - F.col("start")), F.lit(0.0))
+    if signals is not None:
+        by = [k for k in keys if k in signals.columns]
+        out = out.join(signals.select(*by).distinct().withColumn("known", F.lit(True)), by, "left")
+        area = F.when(F.col("known"), area).otherwise(F.lit(float("nan")))
+    return out.withColumn("auc", area).drop("s", "n", "known")

@@ -15,22 +15,37 @@ MIN_PROMINENCE = 1e-4
 MIN_WIDTH_BINS = 2
 MIN_DISTANCE_BP = 200
 REL_HEIGHT = 0.5
+#: Bins of one block of a track.
+BLOCK = 1 << 16
 
 PEAKS = "start long, end long, summit long, auc double, signal_value double, prominence double"
 
 
-def local_maxima(signal: DataFrame, keys: tuple[str, ...] = ("chrom", "track")) -> DataFrame:
+def local_maxima(signal: DataFrame, keys: tuple[str, ...] = ("chrom", "track"), block: int = BLOCK) -> DataFrame:
     """Bins where a signal (keys, bin, value) rises, stays, and falls: keys, bin (the middle of the flat run), value.
 
-    Runs of equal values are collapsed first; the runs at either end never count.
+    Runs of equal values are collapsed first; the runs at either end never count.  A track is taken in blocks of bins, each in a window of
+    its own; only the outermost runs of the blocks (two a block) are then put together along the whole track.
     """
-    w = Window.partitionBy(*keys).orderBy("bin")
-    rows = signal.withColumn("new", F.coalesce((F.col("value") != F.lag("value").over(w)).cast("int"), F.lit(1)))
+    rows = signal.select(*keys, "bin", "value", F.floor(F.col("bin") / block).alias("block"))
+    w = Window.partitionBy(*keys, "block").orderBy("bin")
+    rows = rows.withColumn("new", F.coalesce((F.col("value") != F.lag("value").over(w)).cast("int"), F.lit(1)))
     rows = rows.withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = rows.groupBy(*keys, "run").agg(F.min("bin").alias("a"), F.max("bin").alias("b"), F.first("value").alias("value"))
-    w = Window.partitionBy(*keys).orderBy("run")
+    runs = rows.groupBy(*keys, "block", "run").agg(F.min("bin").alias("a"), F.max("bin").alias("b"), F.first("value").alias("value"))
+    w = Window.partitionBy(*keys, "block").orderBy("run")
     runs = runs.withColumn("left", F.lag("value").over(w)).withColumn("right", F.lead("value").over(w))
-    return runs.where("left < value AND right < value").select(*keys, F.floor((F.col("a") + F.col("b")) / 2).alias("bin"), "value")
+    whole = [*keys, "a", "b", "value", "left", "right"]
+    inner = runs.where("left IS NOT NULL AND right IS NOT NULL").select(*whole)
+    w = Window.partitionBy(*keys).orderBy("a")
+    goes_on = (F.col("value") == F.lag("value").over(w)) & (F.col("a") == F.lag("b").over(w) + 1)
+    outer = runs.where("left IS NULL OR right IS NULL").withColumn("new", F.when(goes_on, 0).otherwise(1))
+    outer = outer.withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*keys, "run").agg(
+        F.min("a").alias("a"), F.max("b").alias("b"), F.first("value").alias("value"), F.min_by("left", "a").alias("own_left"), F.max_by("right", "a").alias("own_right")
+    )
+    w = Window.partitionBy(*keys).orderBy("run")
+    outer = outer.withColumn("left", F.coalesce("own_left", F.lag("value").over(w))).withColumn("right", F.coalesce("own_right", F.lead("value").over(w))).select(*whole)
+    peaks = inner.unionByName(outer).where("left < value AND right < value")
+    return peaks.select(*keys, F.floor((F.col("a") + F.col("b")) / 2).alias("bin"), "value")
 
 
 def _maxima(x: np.ndarray) -> np.ndarray:
@@ -57,40 +72,52 @@ def _spread(x: np.ndarray, peaks: np.ndarray, distance: int) -> np.ndarray:
     return peaks[keep]
 
 
-def _base(x: list[float], peaks: np.ndarray) -> dict[int, float]:
-    """For each peak, the minimum between it and the nearest strictly higher value on its left (a monotonic stack)."""
-    want, out, stack = set(peaks.tolist()), {}, []  # stack: (value, minimum since the entry below it)
-    for i, v in enumerate(x):
-        low = v
+def _base(values: list[float], lows: list[float]) -> list[float]:
+    """For each of the tops from left to right, the minimum between it and the nearest strictly higher one on its left, by a stack;
+    lows: the minimum between each top and the one before it."""
+    out, stack = [], []  # stack: (value, minimum since the entry below it)
+    for v, low in zip(values, lows):
         while stack and stack[-1][0] <= v:
             low = min(low, stack.pop()[1])
         stack.append((v, low))
-        if i in want:
-            out[i] = low
+        out.append(low)
     return out
 
 
 def _prominences(x: np.ndarray, peaks: np.ndarray) -> np.ndarray:
-    values, n = x.tolist(), len(x)
-    left = _base(values, peaks)
-    right = _base(values[::-1], n - 1 - peaks)
-    return np.array([values[p] - max(left[p], right[n - 1 - p]) for p in peaks.tolist()])
+    """Height above the higher of both bases.  Between neighbouring tops (all local maxima and both ends) the signal falls, then rises,
+    so only tops and the lowest bins between them are looked at one by one."""
+    if not len(peaks):
+        return np.empty(0)
+    tops = np.unique(np.concatenate(([0], _maxima(x), [len(x) - 1])))
+    valleys = np.minimum.reduceat(x, tops[:-1])  # from each top to before the next
+    values = x[tops]
+    left = np.array(_base(values.tolist(), [values[0], *np.minimum(valleys, values[1:]).tolist()]))
+    right = np.array(_base(values[::-1].tolist(), [values[-1], *np.minimum(valleys, values[1:])[::-1].tolist()]))[::-1]
+    at = np.searchsorted(tops, peaks)
+    return x[peaks] - np.maximum(left[at], right[at])
+
+
+def _walk(x: np.ndarray, start: np.ndarray, height: np.ndarray, step: int) -> np.ndarray:
+    """From each start the nearest bin in a direction that isn't above its height, or the last one; all starts take a step at once."""
+    at, go = start.copy(), np.arange(len(start))
+    while len(go):
+        go = go[(x[at[go]] > height[go]) & (at[go] > 0 if step < 0 else at[go] < len(x) - 1)]
+        at[go] += step
+    return at
 
 
 def _crossings(x: np.ndarray, peaks: np.ndarray, prominences: np.ndarray, rel_height: float) -> tuple[np.ndarray, np.ndarray]:
     """Where the signal crosses prominence * rel_height below each peak, left and right, by straight lines between bins."""
-    lefts, rights = [], []
-    for p, prom in zip(peaks.tolist(), prominences.tolist()):
-        height = x[p] - prom * rel_height
-        i = p
-        while i > 0 and x[i] > height:
-            i -= 1
-        lefts.append(i + ((height - x[i]) / (x[i + 1] - x[i]) if x[i] < height else 0.0))
-        j = p
-        while j < len(x) - 1 and x[j] > height:
-            j += 1
-        rights.append(j - ((height - x[j]) / (x[j - 1] - x[j]) if x[j] < height else 0.0))
-    return np.array(lefts), np.array(rights)
+    height = x[peaks] - prominences * rel_height
+    out = []
+    for step in (-1, 1):
+        at = _walk(x, peaks, height, step)
+        inner = np.clip(at - step, 0, len(x) - 1)
+        below = x[at] < height
+        rise = np.where(below, x[inner] - x[at], 1.0)
+        out.append(at - step * np.where(below, (height - x[at]) / rise, 0.0))
+    return out[0], out[1]
 
 
 def find_peaks(x: np.ndarray, resolution: int, distance_bp: int = MIN_DISTANCE_BP) -> dict[str, np.ndarray]:

@@ -27,6 +27,20 @@ def generate_windows(sizes: DataFrame, window: int = WINDOW, stride: int = STRID
     return each.select("chrom", "chrom_size", "window_idx", "n_windows", start.alias("start"), F.least(start + window, F.col("chrom_size")).alias("end"))
 
 
+def model_windows(windows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Adds model_start, model_end: a window that is shorter than ``window`` is widened about its middle, if that stays on the genome's left end;
+    others as they are.  Positions of results always follow start and end."""
+    wide = F.floor((F.col("start") + F.col("end")) / 2) - window // 2
+    short = (F.col("end") - F.col("start") != window) & (wide >= 0)
+    return windows.withColumn("model_start", F.when(short, wide).otherwise(F.col("start"))).withColumn("model_end", F.when(short, wide + window).otherwise(F.col("end")))
+
+
+def coverage(values: DataFrame, windows: DataFrame, resolution: int, stride: int = STRIDE) -> DataFrame:
+    """How many windows keep each bin: chrom, bin, n_windows; values as stitch takes them (one track is looked at a bin)."""
+    each = values.select("chrom", "window_idx", "local_bin").distinct().withColumn("track", F.lit("")).withColumn("value", F.lit(1))
+    return placed(each, windows, resolution, stride).groupBy("chrom", "bin").agg(F.sum("value").alias("n_windows"))
+
+
 def assign_batches(windows: DataFrame, batch_size: int = 10) -> DataFrame:
     return windows.withColumn("batch", F.floor(F.col("window_idx") / batch_size))
 
@@ -65,11 +79,16 @@ def stitch(values: DataFrame, windows: DataFrame, resolution: int, stride: int =
     The kept range of each window is aligned outwards to whole bins; where two windows keep a bin the later one counts.
     Bins that no window keeps are absent: join a skeleton to see them as 0.
     """
+    rows = placed(values, windows, resolution, stride, gapless)
+    return rows.groupBy("chrom", "track", "bin").agg(F.max_by("value", "window_idx").alias("value"))
+
+
+def placed(values: DataFrame, windows: DataFrame, resolution: int, stride: int = STRIDE, gapless: int | None = None) -> DataFrame:
+    """The window-local values that are kept, with their genome bin: a row for each window that keeps it."""
     kept = keep_ranges(windows, stride, gapless)
     low = F.floor((F.col("keep_start") - F.col("start")) / resolution)
     high = F.ceil((F.least("keep_end", "end") - F.col("start")) / resolution)
     ranges = kept.select("chrom", "window_idx", "chrom_size", "start", low.alias("low"), high.alias("high"))
     rows = values.join(ranges, ["chrom", "window_idx"]).where("local_bin >= low AND local_bin < high")
     rows = rows.withColumn("bin", F.floor((F.col("start") + F.col("low") * resolution) / resolution) + F.col("local_bin") - F.col("low"))
-    rows = rows.where(F.col("bin") < F.ceil(F.col("chrom_size") / resolution))
-    return rows.groupBy("chrom", "track", "bin").agg(F.max_by("value", "window_idx").alias("value"))
+    return rows.where(F.col("bin") < F.ceil(F.col("chrom_size") / resolution))

@@ -16,7 +16,6 @@ from strandline.operators import binning, classify, contacts, experiments, inter
 from strandline.sources import text
 
 FLAGSHIP = "call_peaks"
-HOURS = 720
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -52,42 +51,49 @@ def event_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("pos", F.expr(f"timestampdiff(SECOND, {START}, ts)"))
 
 
-def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """chrom, track, bin, value: every hour of every event type."""
+def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = event_seconds(spark, sf_dir)
-    sums = e.groupBy(F.col("event_type").alias("track"), F.floor(F.col("pos") / 3600).alias("bin")).agg(F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"))
-    names = e.select(F.col("event_type").alias("track")).distinct()
-    grid = names.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HOURS - 1).cast("long"))))
-    return grid.join(sums, ["track", "bin"], "left").select(F.lit("month").alias("chrom"), "track", "bin", (F.coalesce("cents", F.lit(0)) / 100).alias("value"))
+    return e.groupBy(F.col("event_type").alias("track"), F.floor(F.col("pos") / 3600).alias("bin")).agg(F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"))
+
+
+def hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The length of the tracks, as far as the last event: one row."""
+    n = (F.max(F.floor(F.col("pos") / 3600)) + 1).alias("n_bins")
+    return event_seconds(spark, sf_dir).agg(n).select(F.lit("month").alias("chrom"), F.col("n_bins").alias("chrom_size"), "n_bins")
 
 
-def month(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.lit("month").alias("chrom"), F.lit(HOURS).cast("long").alias("chrom_size"), F.lit(HOURS).cast("long").alias("n_bins"))
+def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """chrom, track, bin, value: every hour of every event type."""
+    sums = _hourly(spark, sf_dir)
+    names = table(spark, sf_dir, "events").select(F.col("event_type").alias("track")).distinct()
+    grid = names.join(F.broadcast(hours(spark, sf_dir))).withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_bins") - 1)))  # one row
+    return grid.join(sums, ["track", "bin"], "left").select("chrom", "track", "bin", (F.coalesce("cents", F.lit(0)) / 100).alias("value"))
 
 
 TRACKS = """
 b AS (SELECT event_type AS track, CAST(floor(date_diff('second', TIMESTAMP '2024-01-01', ts) / 3600.0) AS BIGINT) AS bin,
         CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY 1, 2),
+hours AS (SELECT CAST(max(bin) + 1 AS BIGINT) AS n FROM b),
 tracks AS (SELECT t.track, r.bin, CAST(coalesce(cents, 0) AS DOUBLE) / 100 AS value
-  FROM (SELECT DISTINCT event_type AS track FROM events) t CROSS JOIN (SELECT unnest(range(720)) AS bin) r LEFT JOIN b USING (track, bin))"""
+  FROM (SELECT DISTINCT event_type AS track FROM events) t CROSS JOIN (SELECT unnest(range(n)) AS bin FROM hours) r LEFT JOIN b USING (track, bin))"""
 
 
 def _pool_sql(factor: int, name: str = "value") -> str:
-    return f"SELECT track, bin // {factor} AS bin, round(sum(value) / {factor}, 6) AS {name} FROM tracks WHERE bin < 720 - 720 % {factor} GROUP BY 1, 2"
+    return f"SELECT track, bin // {factor} AS bin, round(sum(value) / {factor}, 6) AS {name} FROM tracks WHERE bin < (SELECT n - n % {factor} FROM hours) GROUP BY 1, 2"
 
 
 @query(f"WITH {TRACKS} {_pool_sql(4)}")
 def mean_pool(spark, sf_dir):
-    return binning.mean_pool(tracks(spark, sf_dir), month(spark), 4).select("track", "bin", F.round("value", 6).alias("value"))
+    return binning.mean_pool(tracks(spark, sf_dir), hours(spark, sf_dir), 4).select("track", "bin", F.round("value", 6).alias("value"))
 
 
 @query(f"""WITH {TRACKS}, p AS ({_pool_sql(7)}), g AS (SELECT DISTINCT track FROM tracks)
-SELECT g.track, i AS bin, i * 7 AS start, least(i * 7 + 7, 720) AS "end", coalesce(p.value, 0.0) AS value
-FROM g CROSS JOIN (SELECT unnest(range(103)) AS i) r LEFT JOIN p ON p.track = g.track AND p.bin = r.i""")
+SELECT g.track, i AS bin, i * 7 AS start, least(i * 7 + 7, n) AS "end", coalesce(p.value, 0.0) AS value
+FROM g CROSS JOIN (SELECT unnest(range(CAST(ceil(n / 7.0) AS BIGINT))) AS i, n FROM hours) r LEFT JOIN p ON p.track = g.track AND p.bin = r.i""")
 def align_bins_zero_tail(spark, sf_dir):
     signal = tracks(spark, sf_dir)
-    pooled = binning.align_bins(signal, month(spark), 1, 7)
-    grid = signal.select("chrom", "track").distinct().join(tiling.skeleton(month(spark), 7), "chrom")
+    pooled = binning.align_bins(signal, hours(spark, sf_dir), 1, 7)
+    grid = signal.select("chrom", "track").distinct().join(tiling.skeleton(hours(spark, sf_dir), 7), "chrom")
     out = grid.join(pooled, ["chrom", "track", "bin"], "left")
     return out.select("track", "bin", "start", "end", F.round(F.coalesce("value", F.lit(0.0)), 6).alias("value"))
 
@@ -103,9 +109,9 @@ def multires_rollup(spark, sf_dir):
 {", ".join(f"coalesce(max(CASE WHEN track = '{t}' THEN value END), 0) AS {t}" for t in ("click", "error", "purchase", "signup", "view"))}
 FROM p GROUP BY bin""")
 def fixed_bin_matrix(spark, sf_dir):
-    pooled = binning.align_bins(tracks(spark, sf_dir), month(spark), 1, 24).withColumnRenamed("track", "name")
+    pooled = binning.align_bins(tracks(spark, sf_dir), hours(spark, sf_dir), 1, 24).withColumnRenamed("track", "name")
     pooled = pooled.withColumn("value", F.round("value", 6))
-    return binning.feature_matrix(pooled, month(spark), 24, ["click", "error", "purchase", "signup", "view"]).drop("chrom")
+    return binning.feature_matrix(pooled, hours(spark, sf_dir), 24, ["click", "error", "purchase", "signup", "view"]).drop("chrom")
 
 
 def _order_tracks(spark, sf_dir):
@@ -131,13 +137,18 @@ def incremental_pair_mean(spark, sf_dir):
     return binning.merge_tracks(_order_tracks(spark, sf_dir), "pairwise").withColumn("value", F.round("value", 8))
 
 
-SMOOTH = """k AS (SELECT d, exp(-d * d / 18.0) / sum(exp(-d * d / 18.0)) OVER () AS w FROM (SELECT unnest(range(-12, 13)) AS d)),
-smooth AS (SELECT a.track, a.bin, round(sum(b.value * k.w), 6) AS value FROM tracks a CROSS JOIN k JOIN tracks b
-  ON b.track = a.track AND b.bin = CASE WHEN a.bin + k.d < 0 THEN -(a.bin + k.d) - 1 WHEN a.bin + k.d >= 720 THEN 1439 - (a.bin + k.d) ELSE a.bin + k.d END GROUP BY 1, 2)"""
+def smooth_sql(source: str, name: str = "smooth", digits: int = 6) -> str:
+    return f"""k AS (SELECT d, exp(-d * d / 18.0) / sum(exp(-d * d / 18.0)) OVER () AS w FROM (SELECT unnest(range(-12, 13)) AS d)),
+len AS (SELECT max(bin) + 1 AS n FROM {source}),
+{name} AS (SELECT a.track, a.bin, round(sum(b.value * k.w), {digits}) AS value FROM {source} a CROSS JOIN k CROSS JOIN len JOIN {source} b
+  ON b.track = a.track AND b.bin = CASE WHEN a.bin + k.d < 0 THEN -(a.bin + k.d) - 1 WHEN a.bin + k.d >= n THEN 2 * n - 1 - (a.bin + k.d) ELSE a.bin + k.d END GROUP BY 1, 2)"""
+
+
+SMOOTH = smooth_sql("tracks")
 
 
 def smoothed(spark, sf_dir):
-    return smoothing.gaussian_smooth(tracks(spark, sf_dir), month(spark), 3.0).withColumn("value", F.round("value", 6))
+    return smoothing.gaussian_smooth(tracks(spark, sf_dir), hours(spark, sf_dir), 3.0).withColumn("value", F.round("value", 6))
 
 
 @query(f"WITH {TRACKS}, {SMOOTH} SELECT track, bin, value FROM smooth")
@@ -157,22 +168,38 @@ def local_maxima(spark, sf_dir):
     return peaks.local_maxima(tracks(spark, sf_dir)).select("track", "bin", "value")
 
 
-PEAKS_SQL = f"""WITH {TRACKS}, {SMOOTH}, {RUNS.format('smooth')},
-st AS (SELECT k.track, k.p, k.h, coalesce(max(s.bin) FILTER (WHERE s.bin < k.p AND s.value > k.h), -1) AS ls, coalesce(min(s.bin) FILTER (WHERE s.bin > k.p AND s.value > k.h), 720) AS rs
-  FROM peak k JOIN smooth s USING (track) GROUP BY 1, 2, 3),
+#: From the highest peak down, each is kept unless one kept before is nearer than the distance: a list of those kept grows along.
+SUPPRESS = """ranked AS (SELECT *, row_number() OVER (PARTITION BY track ORDER BY h DESC, p DESC) AS n FROM every_peak),
+walk(track, n, kept) AS (SELECT DISTINCT track, CAST(0 AS BIGINT), CAST([] AS BIGINT[]) FROM ranked
+  UNION ALL SELECT w.track, r.n, CASE WHEN len(list_filter(w.kept, lambda q: abs(q - r.p) < {0})) = 0 THEN list_append(w.kept, r.p) ELSE w.kept END FROM walk w JOIN ranked r ON r.track = w.track AND r.n = w.n + 1),
+peak AS (SELECT e.* FROM every_peak e JOIN (SELECT track, unnest(arg_max(kept, n)) AS p FROM walk GROUP BY 1) USING (track, p))"""
+
+
+def peaks_sql(source: str, resolution: int, distance: int = 0) -> str:
+    """CTEs and the final SELECT that call peaks on a table (track, bin, value); distance: bins, if suppression acts."""
+    runs = RUNS.format(source)
+    if distance:
+        runs = runs.replace("peak AS (", "every_peak AS (") + ", " + SUPPRESS.format(distance)
+    return f"""{runs},
+last AS (SELECT max(bin) AS z FROM {source}),
+st AS (SELECT k.track, k.p, k.h, coalesce(max(s.bin) FILTER (WHERE s.bin < k.p AND s.value > k.h), -1) AS ls, coalesce(min(s.bin) FILTER (WHERE s.bin > k.p AND s.value > k.h), (SELECT z + 1 FROM last)) AS rs
+  FROM peak k JOIN {source} s USING (track) GROUP BY 1, 2, 3),
 pr AS (SELECT st.track, st.p, st.h, st.h - greatest(min(s.value) FILTER (WHERE s.bin > ls AND s.bin <= p), min(s.value) FILTER (WHERE s.bin >= p AND s.bin < rs)) AS prom
-  FROM st JOIN smooth s USING (track) GROUP BY 1, 2, 3),
-md AS (SELECT track, greatest(0.5 * median(value), 1e-4) AS least FROM smooth WHERE value > 0 GROUP BY 1),
+  FROM st JOIN {source} s USING (track) GROUP BY 1, 2, 3),
+md AS (SELECT track, greatest(0.5 * median(value), 1e-4) AS least FROM {source} WHERE value > 0 GROUP BY 1),
 ok AS (SELECT pr.*, h - prom * 0.5 AS height FROM pr JOIN md USING (track) WHERE prom >= least),
-cr AS (SELECT ok.track, p, h, prom, height, coalesce(max(s.bin) FILTER (WHERE s.bin <= p AND s.value <= height), 0) AS i, coalesce(min(s.bin) FILTER (WHERE s.bin >= p AND s.value <= height), 719) AS j
-  FROM ok JOIN smooth s USING (track) GROUP BY 1, 2, 3, 4, 5),
+cr AS (SELECT ok.track, p, h, prom, height, coalesce(max(s.bin) FILTER (WHERE s.bin <= p AND s.value <= height), 0) AS i, coalesce(min(s.bin) FILTER (WHERE s.bin >= p AND s.value <= height), (SELECT z FROM last)) AS j
+  FROM ok JOIN {source} s USING (track) GROUP BY 1, 2, 3, 4, 5),
 ip AS (SELECT cr.*, i + CASE WHEN a.value < height THEN (height - a.value) / (a2.value - a.value) ELSE 0 END AS l, j - CASE WHEN b.value < height THEN (height - b.value) / (b2.value - b.value) ELSE 0 END AS r
-  FROM cr JOIN smooth a ON a.track = cr.track AND a.bin = i LEFT JOIN smooth a2 ON a2.track = cr.track AND a2.bin = i + 1
-  JOIN smooth b ON b.track = cr.track AND b.bin = j LEFT JOIN smooth b2 ON b2.track = cr.track AND b2.bin = j - 1),
-w AS (SELECT *, CAST(floor(l) AS BIGINT) AS lb, least(greatest(CAST(ceil(r) AS BIGINT), CAST(floor(l) AS BIGINT) + 1), 720) AS rb FROM ip WHERE r - l >= 2)
-SELECT w.track, lb * 3600 AS start, rb * 3600 AS "end", p * 3600 AS summit,
-  round((sum(s.value) - (arg_min(s.value, s.bin) + arg_max(s.value, s.bin)) / 2) * 3600, 4) AS auc, h AS signal_value, round(prom, 6) AS prominence
-FROM w JOIN smooth s ON s.track = w.track AND s.bin >= lb AND s.bin < rb GROUP BY w.track, lb, rb, p, h, prom"""
+  FROM cr JOIN {source} a ON a.track = cr.track AND a.bin = i LEFT JOIN {source} a2 ON a2.track = cr.track AND a2.bin = i + 1
+  JOIN {source} b ON b.track = cr.track AND b.bin = j LEFT JOIN {source} b2 ON b2.track = cr.track AND b2.bin = j - 1),
+wd AS (SELECT *, CAST(floor(l) AS BIGINT) AS lb, least(greatest(CAST(ceil(r) AS BIGINT), CAST(floor(l) AS BIGINT) + 1), (SELECT z + 1 FROM last)) AS rb FROM ip WHERE r - l >= 2)
+SELECT wd.track, lb * {resolution} AS start, rb * {resolution} AS "end", p * {resolution} AS summit,
+  round((sum(s.value) - (arg_min(s.value, s.bin) + arg_max(s.value, s.bin)) / 2) * {resolution}, 4) AS auc, h AS signal_value, round(prom, 6) AS prominence
+FROM wd JOIN {source} s ON s.track = wd.track AND s.bin >= lb AND s.bin < rb GROUP BY wd.track, lb, rb, p, h, prom"""
+
+
+PEAKS_SQL = f"WITH {TRACKS}, {SMOOTH}, {peaks_sql('smooth', 3600)}"
 
 
 @query(PEAKS_SQL)
@@ -268,21 +295,21 @@ def block_mean(spark, sf_dir):
     signal = tracks(spark, sf_dir)
     blocks = signal.groupBy("track", F.floor(F.col("bin") / 64).alias("block_idx")).agg(F.transform(F.array_sort(F.collect_list(F.struct("bin", "value"))), lambda s: s["value"]).alias("values"))
     o = _order_intervals(spark, sf_dir).join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("interval_id"), "o_custkey"), "interval_id")
-    start = F.col("interval_id") % HOURS
+    start = F.col("interval_id") % 720
     spans = o.select("track", "interval_id", start.alias("start"), (start + F.col("o_custkey") % 90).alias("end"))
     return intervals.block_mean(spans, blocks, 64, ("track",)).select("interval_id", "track", F.round("mean_value", 9).alias("mean_value"))
 
 
 @query(f"""WITH {DAILY}, g AS (SELECT chrom, day, sum(q) AS q FROM d GROUP BY 1, 2),
 v AS (SELECT (['A', 'N', 'R', 'X'])[o_orderkey % 4 + 1] AS chrom, o_orderkey AS interval_id, (o_orderkey * 7) % 2600 AS a, (o_orderkey * 7) % 2600 + o_custkey % 120 + 1 AS b FROM orders)
-SELECT v.interval_id, v.chrom, round(CASE WHEN v.chrom = 'X' THEN -1 ELSE coalesce(CAST(sum(g.q) AS DOUBLE) / count(g.q), 0) * any_value(b - a) END, 6) AS auc
+SELECT v.interval_id, v.chrom, round(coalesce(CAST(sum(g.q) AS DOUBLE) / count(g.q), 0) * any_value(b - a), 6) AS auc
 FROM v LEFT JOIN g ON g.chrom = v.chrom AND g.day >= a AND g.day < b GROUP BY 1, 2""")
 def interval_auc(spark, sf_dir):
     segments = _daily(spark, sf_dir).groupBy("chrom", "day").agg(F.sum("q").cast("double").alias("value")).select("chrom", F.col("day").alias("start"), (F.col("day") + 1).alias("end"), "value")
     o = table(spark, sf_dir, "orders")
     start = (F.col("o_orderkey") * 7) % 2600
     spans = o.select(F.element_at(F.array(*map(F.lit, "ANRX")), (F.col("o_orderkey") % 4 + 1).cast("int")).alias("chrom"), F.col("o_orderkey").alias("interval_id"), start.alias("start"), (start + F.col("o_custkey") % 120 + 1).alias("end"))
-    return intervals.interval_auc(spans, segments, 64).select("interval_id", "chrom", F.round(F.nanvl("auc", F.lit(-1.0)), 6).alias("auc"))
+    return intervals.interval_auc(spans, segments, 64).select("interval_id", "chrom", F.round("auc", 6).alias("auc"))
 
 
 @query("""WITH e AS (SELECT CAST(user_id % 7 AS VARCHAR) AS chrom, event_id, event_type, CAST(date_diff('second', TIMESTAMP '2024-01-01', ts) AS BIGINT) AS pos FROM events),
@@ -325,23 +352,23 @@ def classify_rules(spark, sf_dir):
 
 
 def _matrix_rows(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("i"), F.element_at("embedding", 1).cast("double").alias("x"))
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("i"), F.col("embedding").cast("array<double>").alias("x"))
     sizes = e.agg((F.max("i") + 1).alias("chrom_size")).select(F.lit("v").alias("chrom"), "chrom_size")
     windows = tiling.generate_windows(sizes, 32, 16)
     at = e.withColumn("window_idx", F.explode(F.sequence(F.greatest(F.floor((F.col("i") - 32) / 16) + 1, F.lit(0).cast("long")), F.floor(F.col("i") / 16))))
     at = at.join(windows.select("window_idx", "start"), "window_idx")
     row = F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"])
     vectors = at.groupBy("window_idx").agg(row.alias("xs"))  # 32 at most
-    rows = at.join(vectors, "window_idx").select(F.lit("v").alias("chrom"), "window_idx", F.lit("t").alias("track"), (F.col("i") - F.col("start")).alias("row_idx"), F.transform("xs", lambda y: F.round(F.abs(y * F.col("x")), 8)).alias("row"))
+    rows = at.join(vectors, "window_idx").select(F.lit("v").alias("chrom"), "window_idx", F.lit("t").alias("track"), (F.col("i") - F.col("start")).alias("row_idx"), F.transform("xs", lambda y: F.round(F.abs(F.aggregate(F.zip_with(y, F.col("x"), lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)), 8)).alias("row"))
     return rows, windows
 
 
-MATRIX = """e AS (SELECT vec_id AS i, CAST(embedding[1] AS DOUBLE) AS x FROM embeddings), s AS (SELECT max(i) + 1 AS size FROM e),
+MATRIX = """e AS (SELECT vec_id AS i, CAST(embedding AS DOUBLE[]) AS x FROM embeddings), s AS (SELECT max(i) + 1 AS size FROM e),
 m AS (SELECT size, CASE WHEN size <= 32 THEN 1 ELSE CAST(ceil((size - 32) / 16.0) AS BIGINT) + 1 END AS n FROM s), ix AS (SELECT *, unnest(range(n)) AS k FROM m),
 w AS (SELECT *, k * 16 AS a, least(k * 16 + 32, size) AS b FROM ix),
 r AS (SELECT *, CASE WHEN n = 1 OR k = 0 THEN a WHEN k = n - 1 THEN greatest(b - 16, a) ELSE a + (b - a - 16) // 2 END AS x0,
   CASE WHEN n = 1 OR k = n - 1 THEN b WHEN k = 0 THEN least(a + 16, b) ELSE a + (b - a - 16) // 2 + 16 END AS x1 FROM w),
-cell AS (SELECT r.*, p.i AS i, q.i AS j, round(abs(q.x * p.x), 8) AS f FROM r JOIN e p ON p.i >= a AND p.i < b JOIN e q ON q.i >= a AND q.i < b)"""
+cell AS (SELECT r.*, p.i AS i, q.i AS j, round(abs(list_dot_product(p.x, q.x)), 8) AS f FROM r JOIN e p ON p.i >= a AND p.i < b JOIN e q ON q.i >= a AND q.i < b)"""
 
 
 @query(f"""WITH {MATRIX} SELECT 'contact:t:v:' || i * 100 || ':' || j * 100 AS token_id, 'v' AS chrom, i * 100 AS bin1_start, i * 100 + 100 AS bin1_end, j * 100 AS bin2_start, j * 100 + 100 AS bin2_end,
@@ -369,15 +396,16 @@ def _supplier_triples(spark, sf_dir):
 
 TRIPLES = """p AS (SELECT l.l_orderkey AS k, l.l_linenumber AS n, l.l_suppkey * 10 AS bin, l.l_quantity AS q, n_name AS chrom, n_nationkey AS o FROM lineitem l JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
 t AS (SELECT a.chrom AS chrom1, a.o AS o1, a.bin AS start1, b.chrom AS chrom2, b.o AS o2, b.bin AS start2, sum(a.q + b.q) AS counts FROM p a JOIN p b ON a.k = b.k AND a.n < b.n GROUP BY 1, 2, 3, 4, 5, 6)"""
-_HIC = "SELECT 'all' AS accession, chrom1, start1, start1 + 10 AS end1, chrom2, start2, start2 + 10 AS end2, counts AS contact_freq, 10 AS resolution FROM t WHERE counts > 60 AND o1 < 20 AND o2 < 20"
+_SIDES = ", ".join(f"CASE WHEN o1 <= o2 THEN {a} ELSE {b} END AS {a}" for a, b in (("chrom1", "chrom2"), ("start1", "start2"), ("chrom2", "chrom1"), ("start2", "start1")))
+_HIC = f"SELECT *, start1 + 10 AS end1, start2 + 10 AS end2 FROM (SELECT 'all' AS accession, {_SIDES}, counts AS contact_freq, 10 AS resolution FROM t WHERE counts > 60 AND o1 < 20 AND o2 < 20"
 
 
-@query(f"WITH {TRIPLES} {_HIC} AND o1 = o2")
+@query(f"WITH {TRIPLES} {_HIC} AND o1 = o2)")
 def sparse_contacts_cis(spark, sf_dir):
     return contacts.sparse_contacts(_supplier_triples(spark, sf_dir)[0], 10, _supplier_triples(spark, sf_dir)[1], False, 60.0)
 
 
-@query(f"WITH {TRIPLES} {_HIC} AND o1 <= o2")
+@query(f"WITH {TRIPLES} {_HIC})")
 def sparse_contacts_trans(spark, sf_dir):
     return contacts.sparse_contacts(_supplier_triples(spark, sf_dir)[0], 10, _supplier_triples(spark, sf_dir)[1], True, 60.0)
 
@@ -426,10 +454,13 @@ def _nested_files(spark, sf_dir):
     return line.groupBy(F.col("l_orderkey").alias("accession")).agg(files.alias("files"))
 
 
-@query("""WITH f AS (SELECT l_orderkey AS k, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS place, l_linestatus = 'O' AS peak, l_partkey % 6 AS o
+FILES_SQL = """f AS (SELECT l_orderkey AS k, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS place, l_linestatus = 'O' AS peak, l_partkey % 6 AS o,
+    (['IDR thresholded peaks', 'optimal IDR thresholded peaks', 'pseudoreplicated IDR thresholded peaks', 'fold change over control', 'signal p-value', 'other'])[l_partkey % 6 + 1] AS output
   FROM lineitem WHERE l_returnflag != 'R' AND (l_suppkey % 3 > 0 OR l_suppkey % 2 = 0)),
-r AS (SELECT *, row_number() OVER (PARTITION BY k, peak ORDER BY CASE WHEN peak THEN CASE WHEN o < 3 THEN o ELSE 99 END ELSE CASE o WHEN 3 THEN 0 WHEN 4 THEN 1 ELSE 2 END END, place) AS n FROM f)
-SELECT k AS accession, max(CASE WHEN peak THEN '/f/' || l_linenumber END) AS peak_href, max(CASE WHEN NOT peak THEN 'https://files.example/f/' || l_linenumber END) AS signal_url FROM r WHERE n = 1 GROUP BY 1 HAVING peak_href IS NOT NULL""")
+r AS (SELECT *, row_number() OVER (PARTITION BY k, peak ORDER BY CASE WHEN peak THEN CASE WHEN o < 3 THEN o ELSE 99 END ELSE CASE o WHEN 3 THEN 0 WHEN 4 THEN 1 ELSE 2 END END, place) AS n FROM f)"""
+
+
+@query(f"""WITH {FILES_SQL} SELECT k AS accession, max(CASE WHEN peak THEN '/f/' || l_linenumber END) AS peak_href, max(CASE WHEN NOT peak THEN 'https://files.example/f/' || l_linenumber END) AS signal_url FROM r WHERE n = 1 GROUP BY 1 HAVING peak_href IS NOT NULL""")
 def best_file_priority(spark, sf_dir):
     best = _nested_files(spark, sf_dir).select("accession", experiments.best_peak_file(F.col("files"), "GRCh38").alias("p"), experiments.best_signal_file(F.col("files"), "GRCh38").alias("s"))
     return best.where("p IS NOT NULL").select("accession", F.col("p.href").alias("peak_href"), N.file_url("s.href", "https://files.example").alias("signal_url"))
@@ -441,12 +472,12 @@ def limit_per_group(spark, sf_dir):
 
 
 @query("""SELECT l_returnflag AS assay, l_suppkey AS experiment_accession, 'b' || l_suppkey % 3 AS biosample, 't' || l_suppkey % 5 AS target, count(*) AS n_tokens, count(DISTINCT l_shipdate) AS n_chroms,
-round(median(CASE WHEN l_discount > 0.02 THEN l_extendedprice END), 4) AS median_auc FROM lineitem GROUP BY 1, 2, 3, 4""")
+coalesce(round(median(CASE WHEN l_discount > 0.02 AND l_suppkey % 4 > 0 THEN l_extendedprice END), 4), -1) AS median_auc FROM lineitem GROUP BY 1, 2, 3, 4""")
 def experiment_summary(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem")
-    auc = F.when(F.col("l_discount") > 0.02, F.col("l_extendedprice")).otherwise(F.lit(float("nan")))
+    auc = F.when((F.col("l_discount") > 0.02) & (F.col("l_suppkey") % 4 > 0), F.col("l_extendedprice")).otherwise(F.lit(float("nan")))
     tokens = line.select(F.col("l_returnflag").alias("assay"), F.col("l_suppkey").alias("experiment_accession"), F.concat(F.lit("b"), (F.col("l_suppkey") % 3).cast("string")).alias("biosample"), F.concat(F.lit("t"), (F.col("l_suppkey") % 5).cast("string")).alias("target"), F.col("l_shipdate").alias("chrom"), auc.alias("auc"))
-    return experiments.summarise(tokens).withColumn("median_auc", F.round("median_auc", 4))
+    return experiments.summarise(tokens).withColumn("median_auc", F.round(F.nanvl("median_auc", F.lit(-1.0)), 4))
 
 
 @query("""SELECT gene_id, transcript_id FROM (SELECT p_brand AS gene_id, p_partkey AS transcript_id, row_number() OVER (PARTITION BY p_brand ORDER BY (p_type = 'PROMO') DESC, CASE WHEN p_type = 'PROMO' THEN 0 ELSE -p_size END, p_partkey) AS n FROM part) WHERE n = 1""")
@@ -525,3 +556,6 @@ def download_tasks(spark, sf_dir):
     base = F.concat(F.lit("https://x/"), F.col("o_custkey").cast("string"))
     e = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("accession"), F.when(F.col("o_orderstatus") != "P", F.concat(base, F.lit("/p.bed.gz"))).alias("peak_url"), F.when(F.col("o_custkey") % 2 == 0, F.concat(base, F.lit("/s"))).alias("signal_url"))
     return experiments.download_tasks(e).withColumn("suffix", N.url_suffix("url"))
+
+
+from strandline import programs  # noqa: E402, F401  (registers its queries here)

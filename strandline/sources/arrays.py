@@ -1,4 +1,4 @@
-"""Array files (.npz) as blocks of a signal or rows of a contact matrix, and the exporter."""
+"""Array files (.npz) as blocks of a signal or rows of a contact matrix, and the same tables in Parquet."""
 
 from __future__ import annotations
 
@@ -16,24 +16,36 @@ CONTACTS = "file string, chrom string, start long, end long, resolution int, tra
 
 
 def read_signal(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
-    """1-D track files (values: bins x tracks, resolution, chrom, chrom_size) as blocks of ``block`` bins.  A task holds one file."""
+    """1-D track files as blocks of ``block`` bins."""
+    return decode_signal(spark.read.format("binaryFile").load(path), block)
+
+
+def decode_signal(files: DataFrame, block: int = BLOCK) -> DataFrame:
+    """1-D track files (path, content; in it values: bins x tracks, resolution, chrom, chrom_size) as blocks of ``block`` bins.  A task holds one
+    file, as the format cannot be cut; write_signal keeps the blocks, which can."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 data = np.load(io.BytesIO(content.as_buffer()), allow_pickle=False)
                 values = data["values"]
+                values = values[:, None] if values.ndim == 1 else values
                 for t in range(values.shape[1]):
                     for k in range(0, len(values), block):
                         row = [[file], [str(data["chrom"])], [int(data["chrom_size"])], [int(data["resolution"])], [t], [k // block], [values[k : k + block, t]]]
                         types = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float32())]
                         yield pa.RecordBatch.from_arrays([pa.array(v, t_) for v, t_ in zip(row, types)], names=["file", "chrom", "chrom_size", "resolution", "track_idx", "block_idx", "values"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, SIGNAL)
+    return files.select("path", "content").mapInArrow(run, SIGNAL)
 
 
 def read_contacts(spark: SparkSession, path: str) -> DataFrame:
-    """Contact window files {chrom}_{start}_{end}.npz (values: bins x bins x tracks) as matrix rows."""
+    """Contact window files as matrix rows."""
+    return decode_contacts(spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path))
+
+
+def decode_contacts(files: DataFrame) -> DataFrame:
+    """Contact window files (path {chrom}_{start}_{end}.npz, content; in it values: bins x bins x tracks) as matrix rows; other names are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -48,13 +60,18 @@ def read_contacts(spark: SparkSession, path: str) -> DataFrame:
 
     name = F.regexp_extract("path", r"([^/]+)\.npz$", 1)
     part = lambda k: F.regexp_extract(name, r"^(.+)_(\d+)_(\d+)$", k)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path).select("path", "content", part(1).alias("chrom"), part(2).alias("s"), part(3).alias("e"))
+    files = files.select("path", "content", part(1).alias("chrom"), part(2).alias("s"), part(3).alias("e"))
     return files.where("chrom != ''").select("path", "content", "chrom", F.col("s").cast("long").alias("start"), F.col("e").cast("long").alias("end")).mapInArrow(run, CONTACTS)
 
 
 def read_track_names(spark: SparkSession, path: str) -> DataFrame:
-    """Sidecar lists of track descriptions: file, track_idx, name, strand, transcription_factor, extra (the whole object as JSON)."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.from_json("value", "array<string>")).alias("track_idx", "extra"))
+    """Sidecar lists of track descriptions."""
+    return parse_track_names(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value"))
+
+
+def parse_track_names(texts: DataFrame) -> DataFrame:
+    """From (file, value): file, track_idx, name, strand, transcription_factor, extra (the whole object as JSON); the place in the list is the track."""
+    raw = texts.select("file", F.posexplode(F.from_json("value", "array<string>")).alias("track_idx", "extra"))
     field = lambda k: F.get_json_object("extra", f"$.{k}").alias(k)
     return raw.select("file", "track_idx", field("name"), field("strand"), field("transcription_factor"), "extra")
 
@@ -68,3 +85,18 @@ def to_blocks(signal: DataFrame, block: int = BLOCK) -> DataFrame:
     """A dense long signal (chrom, track_idx, bin, value) as blocks."""
     rows = signal.groupBy("chrom", "track_idx", F.floor(F.col("bin") / block).alias("block_idx")).agg(F.array_sort(F.collect_list(F.struct("bin", "value"))).alias("v"))
     return rows.select("chrom", "track_idx", "block_idx", F.transform("v", lambda s: s["value"]).alias("values"))
+
+
+def write_signal(signal: DataFrame, path: str, block: int = BLOCK) -> None:
+    """A dense long signal (assay, chrom, track_idx, bin, value) as blocks, by assay and chromosome; of the partitions only those present are replaced."""
+    rows = signal.groupBy("assay", "chrom", "track_idx", F.floor(F.col("bin") / block).alias("block_idx")).agg(F.array_sort(F.collect_list(F.struct("bin", "value"))).alias("v"))
+    blocks = rows.select("assay", "chrom", "track_idx", "block_idx", F.transform("v", lambda s: s["value"].cast("float")).alias("values"))
+    blocks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("assay", "chrom").parquet(path)
+
+
+def write_contacts(rows: DataFrame, path: str) -> None:
+    """Matrix rows (chrom, start, end, resolution, track_name, row_idx, row) by chromosome; an error where there are none."""
+    if rows.isEmpty():
+        raise ValueError("no contact maps in the output")
+    kept = rows.select("chrom", "start", "end", "resolution", "track_name", "row_idx", F.col("row").cast("array<float>").alias("row"))
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chrom").parquet(path)

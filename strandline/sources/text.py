@@ -63,17 +63,37 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("chrom string, start bigint, end bigint, value double").csv(path, sep="\t", comment="#")
 
 
+#: Columns of contact lists in text form.
+TRIPLES = "accession string, norm string, resolution int, chrom1 string, bin1 bigint, chrom2 string, bin2 bigint, counts float"
+
+
 def read_contact_triples(spark: SparkSession, path: str) -> DataFrame:
-    """Sparse contacts as text: accession, chrom1, bin1, chrom2, bin2, counts; the pseudo-chromosome "all" goes."""
-    rows = spark.read.schema("accession string, chrom1 string, bin1 bigint, chrom2 string, bin2 bigint, counts float").csv(path, sep="\t", comment="#")
-    return rows.where("lower(chrom1) != 'all' AND lower(chrom2) != 'all'")
+    """Sparse contacts as tab-separated text (TRIPLES): every matrix of a source, by normalisation and resolution; the pseudo-chromosome "all" goes."""
+    return real_chromosomes(spark.read.schema(TRIPLES).csv(path, sep="\t", comment="#"))
+
+
+def real_chromosomes(triples: DataFrame) -> DataFrame:
+    return triples.where("lower(chrom1) != 'all' AND lower(chrom2) != 'all'")
+
+
+def contact_catalog(triples: DataFrame) -> DataFrame:
+    """What each source has: accession, resolutions (ascending), norms, chroms."""
+    return triples.groupBy("accession").agg(
+        F.array_sort(F.collect_set("resolution")).alias("resolutions"), F.array_sort(F.collect_set("norm")).alias("norms"),
+        F.array_sort(F.array_union(F.collect_set("chrom1"), F.collect_set("chrom2"))).alias("chroms"),
+    )
 
 
 def read_experiments(spark: SparkSession, path: str) -> DataFrame:
     """Saved search pages ({"@graph": [...]}): accession, assay_title, target, biosample, files (with assembly as one name or a list)."""
+    return parse_experiments(spark.read.text(path, wholetext=True))
+
+
+def parse_experiments(pages: DataFrame) -> DataFrame:
+    """read_experiments for pages as JSON texts in a column ``value``."""
     file = "struct<accession:string,file_type:string,status:string,assembly:string,output_type:string,href:string>"
     schema = f"`@graph` array<struct<accession:string,assay_title:string,target:string,biosample_ontology:struct<term_name:string>,files:array<{file}>>>"
-    e = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("@graph").alias("e"))
+    e = pages.select(F.explode(F.from_json("value", schema)["@graph"]).alias("e"))
     names = lambda f: F.from_json(f["assembly"], "array<string>")
     files = F.transform("e.files", lambda f: f.withField("assemblies", F.transform(names(f), lambda a: F.coalesce(F.get_json_object(a, "$.ncbi_version_name"), a))))
     target = F.coalesce(F.get_json_object("e.target", "$.gene_name"), F.get_json_object("e.target", "$.label"), F.lit(""))

@@ -6,8 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strandline.functions import naming
 from strandline.functions import naming as N
 from strandline.operators import binning, classify, contacts, experiments, intervals, nearest, peaks, smoothing, tiling
+from strandline.plans import pipelines, portal
 from strandline.sources import arrays, sinks, text
 
 CHR = {"chr1": 248956422, "chr21": 46709983, "chr22": 50818468, "chrY": 57227415}
@@ -188,7 +190,11 @@ def test_area_of_partly_covered_interval(spark):
     s = spark.createDataFrame([("a", 0, 5, 2.0)], "chrom string, start long, end long, value double")
     i = spark.createDataFrame([("a", 1, 0, 10), ("a", 2, 6, 9), ("z", 3, 0, 4)], "chrom string, interval_id long, start long, end long")
     got = {r["interval_id"]: r["auc"] for r in intervals.interval_auc(i, s, 4).collect()}
-    assert got[1] == 20.0 and got[2] == 0.0 and np.isnan(got[3])
+    assert got == {1: 20.0, 2: 0.0, 3: 0.0}
+    of = lambda df, name: df.withColumn("accession", F.lit(name))
+    both = of(i, "E").unionByName(of(i, "none"))
+    got = {(r["accession"], r["interval_id"]): r["auc"] for r in intervals.interval_auc(both, of(s, "E"), 4, ("accession", "chrom"), of(s, "E").select("accession")).collect()}
+    assert [got["E", k] for k in (1, 2, 3)] == [20.0, 0.0, 0.0] and all(np.isnan(got["none", k]) for k in (1, 2, 3))
 
 
 def test_block_mean(spark):
@@ -260,7 +266,8 @@ def test_thresholds_differ(spark):
     t = spark.createDataFrame([("e", "a", 0, "a", 10, v), ("e", "a", 0, "b", 10, 5.0), ("e", "b", 0, "a", 10, 5.0), ("e", "a", 10, "a", 10, float("nan"))], "accession string, chrom1 string, bin1 long, chrom2 string, bin2 long, counts float")
     chroms = spark.createDataFrame([("a", 0), ("b", 1)], "chrom string, ord int")
     assert contacts.sparse_contacts(t, 10, chroms, least=v).count() == 0  # strictly above
-    assert rows(contacts.sparse_contacts(t, 10, chroms, True, v).select("chrom1", "chrom2"), "chrom1") == [("a", "b")]
+    both = t.where("chrom1 = chrom2 OR counts > 1").withColumn("bin2", F.when(F.col("chrom1") == "b", 70).otherwise(F.col("bin2")).cast("long"))
+    assert rows(contacts.sparse_contacts(both, 10, chroms, True, v).select("chrom1", "start1", "chrom2", "start2"), "start1") == [("a", 0, "b", 10), ("a", 70, "b", 0)]
     assert rows(contacts.chrom_pairs(chroms), "chrom1") == [("a", "b")]
 
 
@@ -282,7 +289,7 @@ def test_names(spark):
     df = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "n string, k int")
     assert [r[0] for r in df.orderBy("k").select(N.histone_column("n", "k")).collect()] == ["h3k27ac", "odd_name", "histone_2", "h2afz"]
     f = spark.createDataFrame([("TF ChIP-seq CTCF", ""), ("x", " My TF "), ("ChIP-seq ", None)], "n string, t string")
-    assert [r[0] for r in f.select(N.factor_column("n", "t", F.lit(4))).collect()] == ["ctcf", "my_tf", "tf_4"]
+    assert [r[0] for r in f.select(N.factor_column("n", "t", F.lit(4))).collect()] == ["ctcf", "_my_tf_", "tf_4"]
     u = spark.createDataFrame([("https://h/a/F.bed.gz?x=1",), ("https://h/a.b/F",), ("/x/F.bigWig",)], "u string")
     assert [r[0] for r in u.select(N.url_suffix("u")).collect()] == [".bed.gz", ".bin", ".bigWig"]
     one = spark.range(1)
@@ -328,3 +335,45 @@ def test_saved_search_pages(spark, tmp_path):
     e = text.read_experiments(spark, str(tmp_path / "p.json"))
     got = rows(e.select("accession", "target", "biosample", experiments.best_peak_file(F.col("files"), "GRCh38")["href"], experiments.best_contact_file(F.col("files"), "GRCh38")["href"]), "accession")
     assert got == [("E1", "CTCF", "K", "/3", "/4"), ("E2", "", "", None, None)]
+
+
+@pytest.mark.parametrize("block", [3, 7, 1000])
+def test_local_maxima_in_blocks(spark, block):
+    """Flat runs that cross blocks, or fill several of them, count once."""
+    rng = np.random.default_rng(block)
+    for x in ([0, 5, 5, 5, 5, 5, 5, 5, 0, 1], [1, 1, 1, 1, 1, 1, 1, 2, 2, 2, 2, 2, 2, 2, 2, 1], rng.integers(0, 3, 60).tolist(), [4], [1, 2], [0, 1, 0]):
+        got = sorted(r["bin"] for r in peaks.local_maxima(signal(spark, x), block=block).collect())
+        assert got == peaks._maxima(np.array(x, float)).tolist()
+
+
+def test_summaries_without_areas(spark):
+    t = spark.createDataFrame([("a", "E", "b", "t", "c", float("nan")), ("a", "F", "b", "t", "c", 2.0), ("a", "F", "b", "t", "d", float("nan"))], "assay string, experiment_accession string, biosample string, target string, chrom string, auc double")
+    got = {r["experiment_accession"]: (r["n_tokens"], r["n_chroms"], r["median_auc"]) for r in experiments.summarise(t).collect()}
+    assert got["F"] == (2, 2, 2.0) and got["E"][:2] == (1, 1) and np.isnan(got["E"][2])
+
+
+def test_factor_names_as_given(spark):
+    df = spark.createDataFrame([(" x y ", " P 1 "), ("TF ChIP-seq ChIP-seq  b c", ""), ("ChIP-seq ", None)], "name string, tf string")
+    got = [r[0] for r in df.select(naming.factor_column("name", "tf")).collect()]
+    assert got == ["_p_1_", "b_c", "tf_0"]
+
+
+def test_outputs_and_windows(spark):
+    assert pipelines.requested_outputs() == ["atac", "chip_histone", "chip_tf", "contact_maps"] and pipelines.requested_outputs(False)[-1] == "chip_tf"
+    assert pipelines.stitchable("cage") == "cage"
+    with pytest.raises(ValueError):
+        pipelines.stitchable("contact_maps")
+    w = spark.createDataFrame([("a", 0, 0, 100), ("a", 1, 50, 130), ("b", 0, 0, 30)], "chrom string, window_idx long, start long, end long")
+    assert rows(tiling.model_windows(w, 100).select("chrom", "start", "model_start", "model_end"), "chrom", "start") == [("a", 0, 0, 100), ("a", 50, 40, 140), ("b", 0, 0, 30)]
+
+
+def test_contact_writer_needs_rows(spark, tmp_path):
+    none = spark.createDataFrame([], arrays.CONTACTS)
+    with pytest.raises(ValueError):
+        arrays.write_contacts(none, str(tmp_path / "m"))
+
+
+def test_one_experiment_limit(spark):
+    e = spark.createDataFrame([("x", "a", "K", 1), ("y", "a", "K", 0), ("z", "a", "H", 2)], "accession string, assay string, biosample string, place int")
+    assert sorted(r["accession"] for r in portal.first_experiments(e, 1).collect()) == ["y", "z"]
+    assert portal.first_experiments(e, None).count() == 3
