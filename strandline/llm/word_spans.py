@@ -77,7 +77,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
     Words are runs of characters other than space and \\t..\\r, unchanged.  A word goes if a window of ``size`` (14 at least)
     consecutive words that covers it also starts earlier: in a smaller doc_id (null: the largest), or before in the same document; of
-    rows that share a doc_id a hash of the text decides, and equal rows follow each other.  Windows are judged on the input.
+    rows that share a doc_id a hash of the text decides, and equal rows count as one after the other.  Windows are judged on the input.
     kept_text joins what stays by spaces; kept_sha256 is its digest.  Null or blank texts have no words.  An empty table gives no
     rows; other columns are ignored.  A text must fit a task; windows are compared as fingerprints.
     """
@@ -87,21 +87,19 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
     def ask(table: pa.Table) -> pa.Table:
         keys, n = np.unique(Group(table, size).anchors()[2], return_counts=True)
-        return pa.table({"pid": pa.array(np.full(len(keys), table.column("pid")[0].as_py(), np.int32)), "key": pa.array(keys), "n": pa.array(np.minimum(n, 2))})
+        return pa.table({"pid": pa.array(np.full(len(keys), table.column("pid")[0].as_py(), np.int32)), "key": pa.array(keys), "several": pa.array(n > 1)})
 
     def extend(table: pa.Table, anchors: pa.Table) -> pa.Table:
-        """Distinct candidate windows of the group: how often each is there, and the document where it is first."""
-        names, none = ["pid", "key", "n", "unknown", "doc_id", "h"], np.empty(0, np.int64)
-        types = [pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+        """Distinct candidate windows of the group: whether it has each several times, and the document where it is first."""
+        names, types = ["pid", "key", "several", "doc_id"], [pa.int32(), pa.int64(), pa.bool_(), pa.int64()]
         if not table.num_rows or not anchors.num_rows:
-            return pa.table([pa.array(none, t) if t != pa.bool_() else pa.array([], t) for t in types], names=names)
+            return pa.table([pa.array([], t) for t in types], names=names)
         g = Group(table, size)
         starts = g.candidates(_keys(anchors))
         keys, first, n = np.unique(g.windows(starts), return_index=True, return_counts=True)
         doc = pa.array(np.searchsorted(g.bounds, starts[first], side="right") - 1)
-        ids = g.batch.column("doc_id").take(doc)
         pid = np.full(len(keys), table.column("pid")[0].as_py(), np.int32)
-        return pa.table([pa.array(pid), pa.array(keys), pa.array(n), ids.is_null(), ids, g.batch.column("h").take(doc)], names=names)
+        return pa.table([pa.array(pid), pa.array(keys), pa.array(n > 1), g.batch.column("doc_id").take(doc)], names=names)
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
@@ -137,9 +135,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
         return pa.table(columns, names=names)
 
     by_key = Window.partitionBy("key")
-    asked = rows.groupBy("pid").applyInArrow(ask, "pid int, key long, n long")
-    anchors = asked.withColumn("m", F.sum("n").over(by_key)).where("m > 1").select("pid", "key")
-    extended = rows.groupBy("pid").cogroup(anchors.groupBy("pid")).applyInArrow(extend, "pid int, key long, n long, unknown boolean, doc_id long, h long")
-    place = F.struct("unknown", "doc_id", "h")
-    later = extended.withColumn("every", place != F.min(place).over(by_key)).where("every OR n > 1").select("pid", "key", "every")
+    asked = rows.groupBy("pid").applyInArrow(ask, "pid int, key long, several boolean")
+    anchors = asked.withColumn("m", F.count("*").over(by_key)).where("m > 1 OR several").select("pid", "key")
+    extended = rows.groupBy("pid").cogroup(anchors.groupBy("pid")).applyInArrow(extend, "pid int, key long, several boolean, doc_id long")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "pid")  # rows that share a doc_id: by their groups, in a group by their texts' hashes
+    later = extended.withColumn("every", place != F.min(place).over(by_key)).where("every OR several").select("pid", "key", "every")
     return rows.groupBy("pid").cogroup(later.groupBy("pid")).applyInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
