@@ -12,6 +12,8 @@ WEIGHTS = (3, 1, 2)
 MAX_EPOCHS = 2
 SHARE = 1.5
 SEED = "mix-1"
+#: Leading digits of the keys that are looked at one after the other; the last is the whole key.
+DIGITS = (3, 6, 32)
 #: Sources up to this many are broadcast; beyond, the plan is joined by shuffling, where Spark splits the hot source.
 BROADCAST_SOURCES = 50_000
 
@@ -43,9 +45,10 @@ def water_fill(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     one = one.select("source", "source_size", F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int")).cast("double").alias("w"))
     one = one.withColumn("cap", F.col("source_size").cast("double") * max_epochs).withColumn("ratio", F.col("cap") / F.col("w"))
     order = Window.orderBy("ratio", F.col("source").isNull(), F.encode("source", "UTF-8"))
-    past, rest = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    one = one.withColumn("level", (F.sum("source_size").over(everything).cast("double") * share - F.coalesce(F.sum("cap").over(past), F.lit(0.0))) / F.sum("w").over(rest))
+    past, everything = order.rowsBetween(Window.unboundedPreceding, -1), Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = lambda c: F.coalesce(F.sum(c).over(past), F.lit(0.0))
+    rest = F.sum("w").over(everything) - before("w")  # whole numbers, so the difference is exact
+    one = one.withColumn("level", (F.sum("source_size").over(everything).cast("double") * share - before("cap")) / rest)
     one = one.withColumn("water", F.min(F.when(F.col("level") < F.col("ratio"), F.struct("ratio", "level"))).over(everything)["level"])
     target = F.coalesce(F.least(F.col("cap"), F.col("water") * F.col("w")), F.col("cap"))
     return one.select(_source().alias("source_key"), "source_size", target.alias("target"))
@@ -55,23 +58,25 @@ def mixing_plan(sizes: DataFrame, **how) -> DataFrame:
     """How each source is taken: source_key, source_size, target, whole, edge_key, edge_take, edge_size.
 
     Every document is taken ``whole`` times; those whose key is below edge_key once more; those at it (one document, if ids
-    differ) take edge_take words of their edge_size.  Sizes are first summed by the leading digits of the key, so that only
-    the one slice of keys that holds the edge is put in order.
+    differ) take edge_take words of their edge_size.  Sizes are first summed by the leading digits of the key, then of those keys by some
+    digits more, so that only the one small slice of keys that holds the edge is put in order.
     """
     targets = water_fill(sizes, **how)
     words = F.round("target").cast("long")
     targets = targets.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0).cast("long"))
     targets = targets.withColumn("extra", words - F.col("whole") * F.col("source_size"))
-    rows = sizes.select(_source().alias("source_key"), "size", "key", F.substring("key", 1, 3).alias("slice"))
-    slices = rows.groupBy("source_key", "slice").agg(F.sum("size").alias("n"))
-    upto = Window.partitionBy("source_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).join(targets, "source_key")
-    slices = slices.where((F.col("before") <= F.col("extra")) & (F.col("extra") < F.col("before") + F.col("n"))).select("source_key", "slice", "before", "extra")
-    keys = rows.join(slices, ["source_key", "slice"]).groupBy("source_key", "key", "before", "extra").agg(F.sum("size").alias("n"))
-    upto = Window.partitionBy("source_key").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    keys = keys.withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
-    keys = keys.where((F.col("before") <= F.col("extra")) & (F.col("extra") < F.col("before") + F.col("n")))
-    edge = keys.select("source_key", F.col("key").alias("edge_key"), (F.col("extra") - F.col("before")).alias("edge_take"), F.col("n").alias("edge_size"))
+    rows = sizes.select(_source().alias("source_key"), "size", "key")
+    keys = targets.select("source_key", F.lit("").alias("slice"), F.lit(0).cast("long").alias("before"), "extra")
+    shorter = 0
+    for digits in DIGITS:  # of each source, the slice of keys that holds the edge
+        part = rows.join(keys.withColumnRenamed("slice", "outer"), "source_key").where(F.substring("key", 1, shorter) == F.col("outer")) if shorter else rows.join(keys.drop("slice"), "source_key")
+        sums = part.groupBy("source_key", F.substring("key", 1, digits).alias("slice"), "before", "extra").agg(F.sum("size").alias("n"))
+        upto = Window.partitionBy("source_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(upto), F.lit(0)))
+        keys = sums.where((F.col("before") <= F.col("extra")) & (F.col("extra") < F.col("before") + F.col("n")))
+        last, shorter = keys, digits
+        keys = keys.drop("n")
+    edge = last.select("source_key", F.col("slice").alias("edge_key"), (F.col("extra") - F.col("before")).alias("edge_take"), F.col("n").alias("edge_size"))
     return targets.drop("extra").join(edge, "source_key", "left")
 
 
