@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RING = 4096
-VNODES = 64
+RING = 1 << 16
+VNODES = 512
 
 
 def ring_nodes(n_shards: int, vnodes: int = VNODES, ring: int = RING) -> list[tuple[int, int]]:
@@ -53,16 +53,20 @@ def ring_pieces(counts: dict[int, int], n_shards: int, slack: float = 0.0, vnode
     return out
 
 
+def ring_position(ring: int = RING) -> Column:
+    return F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(ring)).cast("int")
+
+
 def shard_documents(docs: DataFrame, n_shards: int = 8, slack: float = 0.0, vnodes: int = VNODES, ring: int = RING) -> DataFrame:
     """Every row of docs (doc_id, text) with its shard: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
-    The key is doc_id.  size: UTF-8 bytes of the text plus 1 (null text: none, so 1, and the checksum of no bytes).
+    The key is doc_id (of a row without one, its text).  size: UTF-8 bytes of the text plus 1 (null text: none, so 1, and the checksum of no bytes).
     With slack 0 the law ``rows`` holds: shard counts differ by one at most.  slot counts from 0 in each shard without gaps.
-    Null keys hash like any value; repeated rows each take a slot; an empty table gives no rows; other columns are ignored.
+    Repeated rows each take a slot; rows that share a doc_id share a position of the ring and are ranked together; an empty table gives no rows; other columns are ignored.
     Two passes: one reads doc_id alone and counts per position, one ranks the rows of each position (one shuffle
     of ids, sizes and checksums, no texts).
     """
-    position = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(ring)).cast("int")
+    position = ring_position(ring)
     counts = {r["position"]: r["n"] for r in docs.select(position.alias("position")).groupBy("position").agg(F.count("*").alias("n")).collect()}
     pieces = docs.sparkSession.createDataFrame(
         ring_pieces(counts, n_shards, slack, vnodes, ring), "position int, from_rank long, to_rank long, shard int, first_slot long"
