@@ -239,7 +239,40 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str | None = None,
     Parquet table, so that Spark's commit makes the output whole even where tasks are repeated.
     """
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(_segments(tokenizer_file, end_id), SEGMENTS).write.parquet(path)
+    rows.mapInArrow(_segments(tokenizer_file, end_id), SEGMENTS).write.option("compression", "none").parquet(path)  # so a segment is read as it stands
+
+
+def segment_starts(table: DataFrame) -> DataFrame:
+    """part, segment, n_ids, segment_start (ids before it in the whole corpus): a running sum within each part, and one over parts."""
+    sizes = table.select("part", "segment", "n_ids")
+    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n_part"))
+    parts = parts.select("part", F.coalesce(F.sum("n_part").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("part_start"))
+    inner = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", "segment", "n_ids", F.coalesce(F.sum("n_ids").over(inner), F.lit(0)).alias("s")).join(parts, "part")
+    return starts.select("part", "segment", "n_ids", (F.col("s") + F.col("part_start")).alias("segment_start"))
+
+
+def tokens_at(spark, path: str, places: DataFrame) -> DataFrame:
+    """The ids at places (place: numbers of tokens in the corpus): place, token_id; places beyond the corpus are left out.
+
+    Each is read alone through the rank directories of its segment: nothing is decoded.  Places meet their segments by blocks of SEGMENT_IDS.
+    """
+    table = spark.read.schema(SEGMENTS).parquet(path)
+    starts = segment_starts(table)
+    blocks = F.sequence(F.floor(F.col("segment_start") / SEGMENT_IDS), F.floor((F.col("segment_start") + F.col("n_ids") - 1) / SEGMENT_IDS))
+    covered = starts.withColumn("block", F.explode(blocks))
+    wanted = places.select(F.col("place").cast("long").alias("place"), F.floor(F.col("place") / SEGMENT_IDS).alias("block")).join(covered, "block")
+    wanted = wanted.where("place >= segment_start AND place < segment_start + n_ids").select(F.col("part").alias("p"), F.col("segment").alias("s"), "place", (F.col("place") - F.col("segment_start")).alias("at"))
+
+    def look(key: tuple, segment: pa.Table, asked: pa.Table) -> pa.Table:
+        if not segment.num_rows or not asked.num_rows:
+            return pa.table({"place": pa.array([], pa.int64()), "token_id": pa.array([], pa.int64())})
+        dac = Dac(segment.column("payload")[0].as_py())
+        return pa.table({"place": asked.column("place"), "token_id": pa.array([dac[i] for i in asked.column("at").to_pylist()], pa.int64())})
+
+    chosen = wanted.select("p", "s").distinct()
+    needed = table.select("part", "segment", "payload").join(chosen, (F.col("part") == F.col("p")) & (F.col("segment") == F.col("s")), "left_semi")
+    return needed.groupBy("part", "segment").cogroup(wanted.groupBy("p", "s")).applyInArrow(look, "place long, token_id long")
 
 
 def read_tokens(spark, path: str) -> DataFrame:
@@ -248,12 +281,7 @@ def read_tokens(spark, path: str) -> DataFrame:
     The number of ids before each segment is a running sum in two steps: within a part, and over parts.
     """
     table = spark.read.schema(SEGMENTS).parquet(path)
-    sizes = table.select("part", "segment", "n_ids")
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n_part"))
-    parts = parts.select("part", F.coalesce(F.sum("n_part").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("part_start"))
-    inner = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", "segment", F.coalesce(F.sum("n_ids").over(inner), F.lit(0)).alias("s")).join(parts, "part")
-    starts = starts.select("part", "segment", (F.col("s") + F.col("part_start")).alias("segment_start"))
+    starts = segment_starts(table).drop("n_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
