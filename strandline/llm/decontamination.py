@@ -5,6 +5,8 @@ Documents join the items on shared seeds of ``min_match`` tokens.  For each pair
 in running Karp-Rabin: rolling fingerprints give the matching places, each grown to a maximal match, and the longest
 match of tokens not yet marked on either side is marked again and again until none of min_match tokens is left.  Tiles
 may come in any order, so reordered passages count.  A document is contaminated if the tiles cover enough of an item.
+A seed that a document repeats beyond the square of an item's length adds nothing: the tiles mark no more tokens of the document than the
+item has, each of which touches no more matches than the item has tokens, so an earlier match of the same words is always left and comes first.
 """
 
 from __future__ import annotations
@@ -75,6 +77,7 @@ class Seeds:
     def __init__(self, ids: list, items: list[np.ndarray], size: int):
         self.ids, self.items = ids, items
         lengths = np.array([len(x) for x in items], np.int64)
+        self.enough = int(lengths.max(initial=0)) ** 2
         bounds = np.concatenate(([0], np.cumsum(lengths)))
         at, keys = K.windows(np.concatenate([*items, np.empty(0, np.uint64)]), bounds, size)
         item = np.searchsorted(bounds, at, side="right") - 1
@@ -100,11 +103,22 @@ def _scan(seeds, min_match: int, coverage: float):
         hashes, bounds = tokens(batch.column("text"))
         at, keys = K.windows(hashes, bounds, min_match)
         hit, left, right = block.hits(keys)
+        at = at[hit]
+        doc = np.searchsorted(bounds, at, side="right") - 1
+        # how often the seed has been met before in the document: beyond the square of an item's length, an earlier one is always free
+        order = np.lexsort((at, left, doc))
+        new = np.ones(len(at), bool)
+        new[1:] = (doc[order][1:] != doc[order][:-1]) | (left[order][1:] != left[order][:-1])
+        nth = np.empty(len(at), np.int64)
+        nth[order] = np.arange(len(at)) - np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
         pairs: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        for a, lo, hi in zip(at[hit].tolist(), left.tolist(), right.tolist()):
-            d = int(np.searchsorted(bounds, a, side="right")) - 1
+        for a, d, n, lo, hi in zip(at.tolist(), doc.tolist(), nth.tolist(), left.tolist(), right.tolist()):
+            if n > block.enough:
+                continue
             for k in range(lo, hi):
-                pairs[d, int(block.item[k])].append((a - int(bounds[d]), int(block.place[k])))
+                i = int(block.item[k])
+                if n <= len(block.items[i]) ** 2:
+                    pairs[d, i].append((a - int(bounds[d]), int(block.place[k])))
         best: dict[int, list] = {}
         for (d, i), where in pairs.items():
             item = block.items[i]

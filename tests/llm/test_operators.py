@@ -749,3 +749,124 @@ def test_token_table(spark, docs, empty):
     got = [tuple(r)[:4] for r in tokens.token_table(docs).collect()]
     assert sorted(got, key=sort_key) == sorted(expect, key=sort_key)
     assert tokens.token_table(empty).count() == 0
+
+
+# ---- more brute force ----
+
+
+def test_a_repeated_word_is_tiled_within_bounds():
+    """Documents of few words, over and over: the tiles are those of brute force, though later seeds are passed over."""
+    rng = np.random.default_rng(4)
+    for words, n in ((1, 60), (2, 90), (3, 120)):
+        for _ in range(8):
+            doc, item = rng.integers(0, words, n), rng.integers(0, words, int(rng.integers(5, 8)))
+            texts = [" ".join("w%d" % x for x in row) for row in (doc, item)]
+            (dh, ih) = (decontamination.tokens(pa.array([t]))[0] for t in texts)
+            seeds = decontamination.Seeds([1], [ih], 3)
+
+            class Block:
+                value = seeds
+
+            batch = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([1]), pa.array([texts[0]])], names=["row", "doc_id", "text"])
+            out = decontamination._scan(Block, 3, 0.5)(batch).to_pylist()[0]
+            assert out["best_tiled"] == sum(t[2] for t in brute_tiles(dh.tolist(), ih.tolist(), 3))
+
+
+def test_a_long_document_of_one_word(spark):
+    text = "same " * 60_000
+    df = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "same " * 30), (2, "other words stand in this one")], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_items"], r["best_tiled"]) for r in decontamination.tile_benchmark(df, b).collect()}
+    assert got == {1: (1, 30), 2: (0, 0)}
+
+
+def test_ring_walk_key_by_key(spark):
+    """Every row walks alone: to its position, then clockwise past full shards."""
+    import xxhash
+
+    rng = random.Random(3)
+    rows = [(rng.randrange(-(1 << 40), 1 << 40), "t%d" % k) for k in range(1500)] + [(5, "x"), (5, "y"), (5, "x"), (None, "p"), (None, None), (None, "p")]
+    for n_shards, slack, vnodes, ring in ((8, 0.0, 16, 512), (5, 0.1, 4, 64), (8, 0.0, sharding.VNODES, sharding.RING)):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = sharding.shard_documents(df, n_shards, slack, vnodes, ring).collect()
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
+        of_long = lambda v, seed=42: signed(xxhash.xxh64(v.to_bytes(8, "little", signed=True), seed=seed).intdigest())
+        where = lambda d, t: (of_long(d) if d is not None else signed(xxhash.xxh64(t.encode(), seed=42).intdigest()) if t is not None else 42) % ring
+        keys = Counter(where(d, t) for d, t in rows)
+        nodes = sharding.ring_nodes(n_shards, vnodes, ring)
+        room = sharding.capacities(len(rows), n_shards, slack)
+        expect = Counter()
+        for position in sorted(keys):
+            for _ in range(keys[position]):
+                at = next((k for k, (p, _) in enumerate(nodes) if p >= position), 0)
+                while not room[nodes[at % len(nodes)][1]]:
+                    at += 1
+                shard = nodes[at % len(nodes)][1]
+                room[shard] -= 1
+                expect[position, shard] += 1
+        text_of = {zlib.crc32((t or "").encode()): t for _, t in rows}
+        found = Counter((where(r["doc_id"], text_of[r["text_crc32"]] if (r["doc_id"], r["size"]) != (None, 1) else None), r["shard"]) for r in got)
+        assert found == expect
+
+
+def test_movement_at_the_registered_setting():
+    """From 8 to 9 shards at slack 0, with the registered ring: little more than the ninth that must move, and few rows between old shards."""
+    rng = np.random.default_rng(1)
+    counts = dict(enumerate(rng.poisson(3, sharding.RING).tolist()))
+    n = sum(counts.values())
+
+    def placed(shards):
+        out = {}
+        for p, a, b, s, _ in sharding.ring_pieces(counts, shards):
+            out.setdefault(p, np.empty(counts[p], np.int64))[a:b] = s
+        return np.concatenate([out[p] for p in sorted(out)])
+
+    before, after = placed(8), placed(9)
+    moved = before != after
+    assert moved.mean() < 0.16 and (moved & (after != 8)).mean() < 0.05 and len(before) == n
+
+
+def test_tokens_are_read_alone(spark, docs, tmp_path):
+    path = str(tmp_path / "tokens")
+    tokens.write_tokens(docs, path)
+    every, parts = [], {}
+    for r in spark.read.parquet(path).select("part", "segment", "payload").collect():
+        parts[r["part"], r["segment"]] = tokens.Dac(bytes(r["payload"])).ids().tolist()
+    for k in sorted(parts):
+        every += parts[k]
+    places = sorted({*range(0, len(every), 97), 0, len(every) - 1})
+    df = spark.createDataFrame([(p,) for p in [*places, len(every), len(every) + 10**9]], "place long")
+    got = {r["place"]: r["token_id"] for r in tokens.tokens_at(spark, path, df).collect()}
+    assert got == {p: every[p] for p in places}
+
+
+def test_verdicts_match_brute_force(spark, docs):
+    """Path lengths walked node by node, and the threshold by trying all."""
+    labels = spark.createDataFrame([(d, int(d % 8 not in (3, 5)), 0) for d in range(100)], "doc_id long, quality int, toxic int")
+    got = quality.judge_documents(docs, labels).collect()
+    counts = quality.document_statistics(docs)
+    failed = (F.col("n_words") < quality.MIN_WORDS) | (100 * F.col("n_repeat_words") > quality.MAX_REPEAT_PERCENT * F.col("n_words"))
+    forest = quality.grow(counts.where(~failed).join(labels.select("doc_id", "quality"), "doc_id"))
+    names = quality.COUNTS + quality.EXTRA
+
+    def score(row):
+        x = quality.ratios({k: np.array([row[k]]) for k in names})[0]
+        total = 0.0
+        for feature, split, path in zip(forest.feature, forest.split, forest.path):
+            node = 0
+            while feature[node] >= 0:
+                node = 2 * node + (1 if x[feature[node]] <= split[node] else 2)
+            total += path[node]
+        return 2 ** (-total / len(forest.feature) / forest.norm)
+
+    scores = sorted(((r["doc_id"], round(score(r), 9)) for r in counts.collect()), key=str)
+    assert scores == sorted(((r["doc_id"], round(r["anomaly"], 9)) for r in got), key=str)
+    mark = {d: int(d % 8 not in (3, 5)) for d in range(100)}
+    rated = [(math.floor(r["anomaly"] * 1000), mark[r["doc_id"]]) for r in got if r["doc_id"] in mark and not r["base_failed"]]
+    best = (-2.0, 0)
+    for t in range(1001):
+        good, bad = [s for s, q in rated if q == 1], [s for s, q in rated if q == 0]
+        lost, hit = sum(s > t for s in good) / len(good), sum(s > t for s in bad) / len(bad)
+        best = max(best, (hit - lost if lost <= quality.MAX_GOOD_REJECTED else -1.0, t))
+    threshold = (best[1] + 1) / 1000
+    assert all(r["kept"] == (not r["base_failed"] and r["anomaly"] < threshold) for r in got)
