@@ -13,13 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import text_groups
+from strandline.llm.common import GROUP_BYTES, text_groups
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, h, pid): h is a hash of the text, pid the group.  Null ids and rows that share an id are spread by their texts."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    n = text_groups(rows)
+def grouped(docs: DataFrame, group_bytes: int = GROUP_BYTES, others: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, others, h, pid): h is a hash of the text, pid the group.  Null ids and rows that share an id are spread by their texts."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *others)
+    n = text_groups(rows, group_bytes=group_bytes)
     return rows.withColumn("h", F.xxhash64("text")).withColumn("pid", F.pmod(F.xxhash64("doc_id", "h"), F.lit(n)).cast("int"))
 
 

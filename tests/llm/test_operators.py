@@ -259,10 +259,10 @@ def test_scores_match_the_recursion(spark):
         assert (got[d]["n_tokens"], got[d]["n_known"], got[d]["train_tokens"]) == (len(count), sum(c > 0 for c in count), n)
 
 
-def test_scores_in_blocks_and_without_training(spark, docs, empty):
+def test_scores_in_groups_and_without_training(spark, docs, empty):
     some = context_tree.held_out_split(docs.where("doc_id < 40"))
     one = sorted(map(tuple, context_tree.score_documents(some).collect()))
-    many = sorted(map(tuple, context_tree.score_documents(some, block_entries=500).collect()))
+    many = sorted(map(tuple, context_tree.score_documents(some, group_bytes=500).collect()))
     assert [r[:5] for r in one] == [r[:5] for r in many]
     assert [x for r in one for x in r[5:]] == pytest.approx([x for r in many for x in r[5:]], rel=1e-6)
     assert context_tree.score_documents(context_tree.held_out_split(empty)).count() == 0
@@ -270,10 +270,10 @@ def test_scores_in_blocks_and_without_training(spark, docs, empty):
     assert all(r["bits_per_byte"] == pytest.approx(8) for r in none)
 
 
-def test_blocks_score_repeated_rows_and_null_ids_each(spark, docs):
+def test_groups_score_repeated_rows_and_null_ids_each(spark, docs):
     more = spark.createDataFrame([(None, "null id hers"), (None, "null id here"), (3, "one two"), (3, "two one")], "doc_id long, text string")
     every = context_tree.held_out_split(docs.select("doc_id", "text").unionByName(more))
-    one, many = (sorted(map(tuple, context_tree.score_documents(every, 3, block_entries=n).collect()), key=lambda r: (str(r[:5]), r[6])) for n in (1 << 24, 600))
+    one, many = (sorted(map(tuple, context_tree.score_documents(every, 3, group_bytes=n).collect()), key=lambda r: (str(r[:5]), r[6])) for n in (1 << 24, 600))
     assert len(one) == every.count()
     assert [r[:5] for r in one] == [r[:5] for r in many]
     assert [x for r in one for x in r[5:]] == pytest.approx([x for r in many for x in r[5:]], rel=1e-6)
@@ -299,7 +299,9 @@ def test_code_is_a_distribution():
     counts = np.zeros(256, np.int64)
     counts[[97, 98, 200]] = (5, 2, 1)
     tree = context_tree.Subtree(keys, counts, 2)
-    assert (10 ** tree.scores(tree.to_root())).sum() == pytest.approx(1)
+    near = context_tree.joined([tree.summary()])
+    root = context_tree.joined([context_tree.own_summary(near)])
+    assert (10 ** tree.scores([near, root])).sum() == pytest.approx(1)
 
 
 # ---- 4: near duplicates ----
