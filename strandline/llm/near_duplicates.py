@@ -5,10 +5,11 @@ signatures are compared batch by batch: after each batch the posterior of the si
 pair goes as soon as the probability that it reaches the threshold is below the chosen miss probability.  Survivors are verified on
 their full sets.
 
-Links matter only through the components they make.  So each bucket first offers, for each member, its likeliest partners.
-What these links leave apart is settled in a second round: survivors from different components, all of them, in small
-buckets as pairs, in large ones within the task that holds (a block pair of) the bucket, likeliest first and skipping what has been joined
-meanwhile.  No large bucket's pairs are ever emitted, and no link between components is left untested.
+Links matter only through the components they make.  So each bucket first offers, for each member, its likeliest partners; in a large bucket
+those among some two thousand members.  What these links leave apart is settled in a second round: survivors from different components, all of
+them, in small buckets as pairs, in large ones within the task that holds (a block pair of) the bucket, likeliest first and skipping what has
+been joined meanwhile.  Members of the bucket's largest component are not compared with each other again.  No large bucket's pairs are
+ever emitted, and no link between components is left untested.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import kernels as K
@@ -285,14 +286,30 @@ def joining(link: tuple[int, int]):
     return work
 
 
-def in_blocks(rows: DataFrame) -> DataFrame:
-    """Bucket rows (key, n_members, node, ...) for each pair of blocks that they belong to, ready for by_bucket."""
-    n_blocks = F.ceil(F.col("n_members") / BLOCK).cast("int")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-    rows = rows.withColumn("i", F.least("block", "with")).withColumn("j", F.greatest("block", "with")).drop("with", "n_members")
+def _dealt(rows: DataFrame, partners: Column) -> DataFrame:
+    """Rows with a block for each of the pairs (i, j) of their block and its partners, ready for by_bucket."""
+    rows = rows.withColumn("with", F.explode(partners))
+    rows = rows.withColumn("i", F.least("block", "with")).withColumn("j", F.greatest("block", "with")).select("key", "band", "i", "j", "block", "node", "component", *(c for c in ("sig", "bands", "members") if c in rows.columns))
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
+def in_near_blocks(rows: DataFrame) -> DataFrame:
+    """Bucket rows (key, n_members, node, ...) in blocks, each beside itself and the next one: copies don't grow with the bucket."""
+    n_blocks = F.ceil(F.col("n_members") / BLOCK).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
+    return _dealt(rows, F.array_distinct(F.array("block", F.pmod(F.col("block") + 1, n_blocks))))
+
+
+def in_split_blocks(rows: DataFrame) -> DataFrame:
+    """Bucket rows in blocks, those of the bucket's largest component apart (n_main of them): every pair of blocks but those within that
+    component, whose members are joined already.  A large group of near copies that the first round has joined costs little."""
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    main, rest = blocks(F.col("n_main")), blocks(F.col("n_members") - F.col("n_main"))
+    own = F.col("component") == F.col("main")
+    rows = rows.withColumn("block", F.when(own, F.pmod(F.xxhash64("node"), main)).otherwise(main + F.pmod(F.xxhash64("node"), F.greatest(rest, F.lit(1)))).cast("int"))
+    return _dealt(rows, F.sequence(F.when(own, main).otherwise(F.lit(0)), main + rest - 1))
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK) -> DataFrame:
     """Every row of docs (doc_id, text) with its component: doc_id, n_shingles, component_id, kept.
 
@@ -319,16 +336,17 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int]
     sets = written(map_texts(texts, _set_rows(size), "node long, members binary").dropDuplicates(["node"]), "sets")
 
     marks = classes.select("node", "sig", "bands")
-    first = in_blocks(buckets.withColumn("component", F.col("node")).join(marks, "node"))
+    first = in_near_blocks(buckets.withColumn("component", F.col("node")).join(marks, "node"))
     pairs = first.mapInArrow(by_bucket(likeliest(PARTNERS), similarity), "a long, b long")
     links = verified(pairs, sets, link)
     labels = written(connected_components(links), "labels")
 
     labelled = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-    rest = written(labelled.join(mixed, "key", "left_semi"), "rest")
-    small = in_blocks(rest.where(F.col("n_members") <= SMALL).join(marks, "node")).mapInArrow(by_bucket(every, similarity), "a long, b long")
-    large = in_blocks(rest.where(F.col("n_members") > SMALL).join(marks, "node").join(sets, "node")).mapInArrow(by_bucket(joining(link), similarity, True), "a long, b long")
+    parts = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("n_parts")).where("n_parts > 1")
+    rest = written(labelled.join(mixed.select("key", F.col("m.n").alias("n_main"), F.col("m.component").alias("main")), "key"), "rest")
+    small = in_near_blocks(rest.where(F.col("n_members") <= SMALL).join(marks, "node")).mapInArrow(by_bucket(every, similarity), "a long, b long")
+    large = in_split_blocks(rest.where(F.col("n_members") > SMALL).join(marks, "node").join(sets, "node")).mapInArrow(by_bucket(joining(link), similarity, True), "a long, b long")
     more = verified(small, sets, link).unionByName(large)
     own = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
     labels = written(connected_components(own.unionByName(more)), "labels")

@@ -347,9 +347,10 @@ def test_components(spark, docs, size, link, monkeypatch):
     assert got == brute_components(rows, size, link)
 
 
-def test_components_of_large_buckets(spark, monkeypatch):
+@pytest.mark.parametrize("block", [3, 7])
+def test_components_of_large_buckets(spark, monkeypatch, block):
     """Buckets beyond a block, and beyond what is emitted as pairs, give the same components."""
-    monkeypatch.setattr(near_duplicates, "BLOCK", 7)
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
     monkeypatch.setattr(near_duplicates, "SMALL", 4)
     monkeypatch.setattr(near_duplicates, "PARTNERS", 1)
     rng = random.Random(9)
