@@ -90,16 +90,19 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
         return pa.table({"pid": pa.array(np.full(len(keys), table.column("pid")[0].as_py(), np.int32)), "key": pa.array(keys), "several": pa.array(n > 1)})
 
     def extend(table: pa.Table, anchors: pa.Table) -> pa.Table:
-        """Distinct candidate windows of the group: whether it has each several times, and the document where it is first."""
-        names, types = ["pid", "key", "several", "doc_id"], [pa.int32(), pa.int64(), pa.bool_(), pa.int64()]
+        """Distinct candidate windows of the group: the document where each is first, and whether the group has it several times.  They go
+        in the order of documents, so that what is the same from row to row takes little room."""
+        names, types = ["pid", "doc_id", "several", "key"], [pa.int32(), pa.int64(), pa.bool_(), pa.int64()]
         if not table.num_rows or not anchors.num_rows:
             return pa.table([pa.array([], t) for t in types], names=names)
         g = Group(table, size)
         starts = g.candidates(_keys(anchors))
         keys, first, n = np.unique(g.windows(starts), return_index=True, return_counts=True)
+        order = np.argsort(first)
+        keys, first, n = keys[order], first[order], n[order]
         doc = pa.array(np.searchsorted(g.bounds, starts[first], side="right") - 1)
         pid = np.full(len(keys), table.column("pid")[0].as_py(), np.int32)
-        return pa.table([pa.array(pid), pa.array(keys), pa.array(n > 1), g.batch.column("doc_id").take(doc)], names=names)
+        return pa.table([pa.array(pid), g.batch.column("doc_id").take(doc), pa.array(n > 1), pa.array(keys)], names=names)
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
@@ -137,7 +140,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     by_key = Window.partitionBy("key")
     asked = rows.groupBy("pid").applyInArrow(ask, "pid int, key long, several boolean")
     anchors = asked.withColumn("m", F.count("*").over(by_key)).where("m > 1 OR several").select("pid", "key")
-    extended = rows.groupBy("pid").cogroup(anchors.groupBy("pid")).applyInArrow(extend, "pid int, key long, several boolean, doc_id long")
+    extended = rows.groupBy("pid").cogroup(anchors.groupBy("pid")).applyInArrow(extend, "pid int, doc_id long, several boolean, key long")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "pid")  # rows that share a doc_id: by their groups, in a group by their texts' hashes
     later = extended.withColumn("every", place != F.min(place).over(by_key)).where("every OR several").select("pid", "key", "every")
     return rows.groupBy("pid").cogroup(later.groupBy("pid")).applyInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
