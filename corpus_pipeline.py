@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import decontamination, mixing, near_duplicates, quality, sharding
-from strandline.llm.common import written
+from strandline.llm.common import temporary, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Near duplicates share 0.8 of their five-word shingles.
@@ -18,34 +18,69 @@ SHINGLE, LINK = 5, (80, 100)
 SHARDS = 8
 
 
-def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id has a kept verdict (a null id too; rows that share an id stay together)."""
-    chosen = verdicts.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+#: Stands for doc_id while an operator judges, so that rows that share an id, or have none, are told apart by their texts.
+KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias(KEY))
+
+
+def _as_id(keyed: DataFrame) -> DataFrame:
+    return keyed.select(F.col(KEY).alias("doc_id"), "text")
+
+
+def _kept(keyed: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The rows that have a kept verdict; rows that are equal in id and text have the same."""
+    chosen = verdicts.where("kept").select(F.col("doc_id").alias(KEY)).distinct()
+    return keyed.join(chosen, KEY, "left_semi").select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules or the forest reject go."""
+    """Documents that the rules or the forest reject go.
+
+    Null and empty texts have no words, so they go; labels count for every row of their doc_id; repeated rows share their verdict; an empty
+    table gives no rows; further columns are dropped.
+    """
+    keyed = _keyed(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _kept(docs, quality.judge_documents(docs, labels))
+    marks = labels.join(keyed.select("doc_id", KEY).distinct(), "doc_id").select(F.col(KEY).alias("doc_id"), "quality")
+    return _kept(keyed, quality.judge_documents(_as_id(keyed), marks))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest doc_id."""
-    return _kept(docs, near_duplicates.near_duplicates(docs, SHINGLE, LINK))
+    """One row of each group of near duplicates stays: one with the smallest doc_id (null last), of several the one whose key is least.
+
+    Of repeated rows one stays, too; rows without words are in no group and all stay; an empty table gives no rows; further columns are dropped.
+    """
+    keyed = _keyed(docs)
+    found = near_duplicates.near_duplicates(_as_id(keyed), SHINGLE, LINK)
+    groups = found.groupBy(F.col("doc_id").alias(KEY)).agg(F.min("component_id").alias("component"), F.min("n_shingles").alias("n_shingles"), F.count("*").alias("n_rows"))
+    ids = keyed.groupBy(KEY).agg(F.min("doc_id").alias("doc_id"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", KEY)
+    first = groups.where("n_shingles > 0").join(ids, KEY).groupBy("component").agg(F.min_by(F.struct(KEY, "n_rows"), order).alias("c")).select("c.*")
+    chosen = written(first.unionByName(groups.where("n_shingles = 0").select(KEY, F.lit(1).cast("long").alias("n_rows"))), "chosen")
+    once = keyed.join(chosen.where("n_rows = 1").select(KEY), KEY, "left_semi")
+    repeated = keyed.join(chosen.where("n_rows > 1").select(KEY), KEY, "left_semi").dropDuplicates([KEY])
+    return once.unionByName(repeated).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    Null and empty texts hold none and stay; repeated rows share their verdict; an empty table gives no rows; further columns are dropped.
+    """
+    keyed = _keyed(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _kept(docs, decontamination.tile_benchmark(docs, benchmark))
+    return _kept(keyed, decontamination.tile_benchmark(_as_id(keyed), benchmark))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are brought to their target weights: a document stands as often as the mix takes it, at most twice.
 
     Whole documents only: one of which the mix takes a part stands once more if that is half of it or more, and one without
-    words never.
+    words never.  Rows without a source are a source of their own; repeated rows are taken each; an empty table gives no rows; further columns
+    are dropped.
     """
     mixed = mixing.mix_documents(docs, keep=tuple(COLUMNS))
     times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
@@ -53,7 +88,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row of the mix gets its shard and its place there."""
+    """Every row of the mix gets its shard and its place there; a document that the mix has twice gets two.  An empty table gives no rows."""
     return sharding.shard_documents(docs, SHARDS)
 
 
@@ -72,5 +107,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        with temporary(spark):  # what the stage's operator wrote goes once the stage's result stands
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}", stays=True)
     return docs

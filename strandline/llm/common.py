@@ -2,38 +2,52 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.storage import new_path
+
 #: Bytes of text that one vectorised step works on; bounds the memory of a task.
 CHUNK_BYTES = 1 << 20
 #: Bytes of text that one group of documents holds on average.
 GROUP_BYTES = 4 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+#: For each open temporary(): the tables written within it.
+_open: list[list[str]] = []
+
 
+def written(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
+    """df, written as a Parquet table in the shared folder and read back: cuts the lineage and survives lost executors.
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as a Parquet table in the shared folder and read back: cuts the lineage and survives lost executors."""
+    Tables stay until the folder is cleared, as results may still read them; those written within temporary() go at its end, but for
+    those that stay."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
+    if _open and not stays:
+        _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession):
+    """Tables that operators write within are removed at the end: whatever reads them must have been written by then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        paths = spark._jvm.org.apache.hadoop.fs
+        for path in _open.pop():
+            at = paths.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """df with row, a number of each row that is the same in every pass: written once, since doc_ids may repeat or be null."""
     return written(df.withColumn("row", F.monotonically_increasing_id()), name)

@@ -14,7 +14,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import shared_dir, slices
+from strandline.llm.common import slices
+from strandline.storage import new_path
 
 END_ID = 2
 BLOCK = 512
@@ -305,6 +305,6 @@ def token_table(docs: DataFrame, tokenizer_file: str | None = None, end_id: int
     A null or empty text is its end id alone; repeated rows are written each; rows that share a doc_id follow in the order
     of their texts; an empty table gives no rows; other columns are ignored.
     """
-    path = f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
+    path = new_path(docs.sparkSession, "tokens")
     write_tokens(docs, path, tokenizer_file, end_id)
     return read_tokens(docs.sparkSession, path)

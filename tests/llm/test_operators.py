@@ -873,3 +873,65 @@ def test_verdicts_match_brute_force(spark, docs):
         best = max(best, (hit - lost if lost <= quality.MAX_GOOD_REJECTED else -1.0, t))
     threshold = (best[1] + 1) / 1000
     assert all(r["kept"] == (not r["base_failed"] and r["anomaly"] < threshold) for r in got)
+
+
+# ---- awkward inputs for all ten ----
+
+
+def awkward_rows():
+    rng = random.Random(17)
+    vocabulary = ["v%d" % k for k in range(400)]
+    say = lambda k: " ".join(rng.choice(vocabulary) for _ in range(k))
+    long, tie = say(30_000) + "\n" + "q" * 40_000, say(60)
+    rows = [(1, long), (2, long[:150_000]), (3, tie), (3, say(50)), (3, tie), (4, tie), (4, tie), (None, tie), (None, say(40)), (None, None), (5, ""), (6, "\n"), (7, say(25)), (7, None), (8, "a@b.cd +1 555 123 4567 " + say(20))]
+    return [(d, t, "en", None if k % 4 == 0 else "s%d" % (k % 3), 0, "x") for k, (d, t) in enumerate(rows)]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Very long texts, rows that share an id with the same and other texts, ties, nulls, and columns with clashing names."""
+    df = spark.createDataFrame(awkward_rows(), SCHEMA + ", row string")
+    clashing = ["key", "bucket", "band", "rank", "position", "pid", "h", "block", "component", "n_words", "size", "anomaly", "several", "node", "sig", "lead", "at", "place", "target", "kind"]
+    return df.withColumns({c: F.lit("clash") for c in clashing})
+
+
+def test_awkward_rows_scored(spark, awkward):
+    for name, out in (
+        ("decontamination", decontamination.tile_benchmark(awkward, spark.createDataFrame([(1, awkward_rows()[2][1]), (2, "x y")], "item_id long, text string"))),
+        ("mixing", mixing.mix_documents(awkward)), ("context tree", context_tree.score_documents(context_tree.held_out_split(awkward), 3)),
+        ("sharding", sharding.shard_documents(awkward)), ("pii", pii.detect(awkward)), ("tokens", tokens.token_table(awkward)),
+    ):
+        got = Counter(r["doc_id"] for r in out.collect())
+        assert got == Counter(r[0] for r in awkward_rows()), name
+
+
+def test_awkward_rows_against_brute_force(spark, awkward):
+    rows = [(r[0], r[1]) for r in awkward_rows()]
+    found = {}
+    for r in near_duplicates.near_duplicates(awkward).collect():
+        found.setdefault(r["doc_id"], set()).add((r["n_shingles"], r["component_id"]))
+    assert found == brute_components(rows, 3, (85, 100))
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 0), (4, 1, 0), (4, 0, 0), (8, 1, 0)], "doc_id long, quality int, toxic int")
+    judged = quality.judge_documents(awkward, labels).collect()
+    assert sorted((tuple(r)[:6] for r in judged), key=sort_key) == sorted(((d, *brute_counts(t)) for d, t in rows), key=sort_key)
+    bytes_ = [tuple(r) for r in byte_spans.remove_repeats(awkward).collect()]
+    assert sorted(bytes_, key=sort_key) == sorted(brute_bytes(rows, 400, 304), key=sort_key)
+    words = {}
+    for r in word_spans.remove_repeats(awkward).collect():
+        words.setdefault((r["doc_id"], r["n_words"]), []).append(r["n_removed"])
+    cut = len(rows[1][1].split())
+    assert words[1, 30_001] == [0] and words[2, cut] == [cut - 1]
+    assert sorted(words[3, 60]) == [0, 60] and sorted(words[4, 60]) == [60, 60] and words[None, 60] == [60]
+
+
+def test_ties_of_scores_and_partners(spark):
+    """Documents whose statistics are all equal are judged alike; many equal near copies have one component."""
+    base = " ".join("t%d" % k for k in range(80))
+    rows = [(d, base if d % 2 else base + " tail") for d in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r["component_id"], r["kept"]) for r in near_duplicates.near_duplicates(df).collect()} == {(0, False), (0, True)}
+    labels = spark.createDataFrame([(d, d % 2, 0) for d in range(30)], "doc_id long, quality int, toxic int")
+    verdicts = {}
+    for r in quality.judge_documents(df, labels).collect():
+        verdicts.setdefault(r["n_words"], set()).add((round(r["anomaly"], 12), r["kept"]))
+    assert all(len(v) == 1 for v in verdicts.values())

@@ -52,3 +52,39 @@ def test_mix_equals_sql(spark):
     expect = con.execute(f"SELECT {', '.join(columns)} FROM ({queries.oracle_sql()['op2_mixing']})").fetchall()
     got = [tuple(r) for r in queries.queries()["op2_mixing"](spark, SF).select(*columns).collect()]
     assert sorted(got) == sorted(expect)
+
+
+def test_stages_with_awkward_rows(spark, tmp_path):
+    """Null and repeated ids, repeated rows, null sources, clashing and further columns, then nothing at all, in every stage."""
+    item = " ".join("item%d" % k for k in range(30))
+    good = lambda w: " ".join("%s%d" % (w, k) for k in range(60))
+    rows = [
+        (1, good("a"), "en", None, 1), (1, good("a"), "en", None, 1), (1, "short", "en", "s", 1), (None, good("b"), None, "s", None), (None, good("b"), None, "s", None), (None, "short", "en", "s", 1),
+        (None, good("c") + " " + item, "en", "t", 1), (2, good("b") + " more", "en", "t", 1), (3, None, None, None, None), (4, "", "en", "s", 0), (5, good("d"), "en", None, 1), (5, good("e"), "en", None, 1),
+    ]
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item), (None, "x"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, SCHEMA)
+    more = docs.selectExpr("*", "'clash' AS row", "'clash' AS component", "'clash' AS key", "'clash' AS size", "'clash' AS kept", "'clash' AS rank")
+    stages = dict(corpus_pipeline.STAGES)
+    alike = lambda df: sorted(map(str, df.collect()))
+    for name, stage in stages.items():
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+        assert alike(stage(spark, more, str(tmp_path))) == alike(stage(spark, docs, str(tmp_path))), name
+    after = stages["quality rules"](spark, docs, str(tmp_path))
+    assert all(len((r["text"] or "").split()) >= 20 for r in after.collect())
+    kept = [(r["doc_id"], r["text"]) for r in stages["near duplicates"](spark, docs, str(tmp_path)).collect()]
+    assert Counter(kept) == Counter([(1, good("a")), (1, "short"), (2, good("b") + " more"), (None, good("c") + " " + item), (3, None), (4, ""), (5, good("d")), (5, good("e"))])
+    left = stages["benchmark decontamination"](spark, docs, str(tmp_path)).collect()
+    assert len(left) == len(rows) - 1 and all(item not in (r["text"] or "") for r in left)
+
+
+def test_run_removes_what_stages_wrote(spark, tmp_path):
+    item = " ".join("item%d" % k for k in range(30))
+    spark.createDataFrame([(d, " ".join("w%d" % (k * d % 97) for k in range(60)), "en", "s%d" % (d % 3), 1) for d in range(1, 30)], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(d, d % 2, 0) for d in range(30)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert all(n.startswith("stage-") for n in set(os.listdir(shared)) - before) and out.count() >= 0
