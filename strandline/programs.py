@@ -145,7 +145,7 @@ def contact_window_tokens(spark, sf_dir):
     return matrices.contact_window_tokens(files, 1, 16, 1e-3)
 
 
-@query(f"""WITH {MATRIX} SELECT k AS window_idx, i - a AS row_idx, list(CAST(CAST(f AS FLOAT) AS DOUBLE) ORDER BY j)[1:3] AS first_three, count(*) AS n FROM cell GROUP BY k, i, a""")
+@query(f"""WITH {MATRIX} SELECT k AS window_idx, i - a AS row_idx, CAST(CAST(arg_min(f, j) AS FLOAT) AS DOUBLE) AS first_value, CAST(CAST(arg_max(f, j) AS FLOAT) AS DOUBLE) AS last_value, count(*) AS n FROM cell GROUP BY k, i, a""")
 def contact_files(spark, sf_dir):
     """Contact windows packed as array files by tasks, and read back from their bytes."""
     rows, windows = _matrix_rows(spark, sf_dir)
@@ -162,7 +162,7 @@ def contact_files(spark, sf_dir):
     files = at.groupBy("window_idx").applyInArrow(pack, "path string, content binary")
     back = arrays.decode_contacts(files)
     numbered = back.join(contacts.window_numbers(back).select("chrom", "start", "end", "window_idx"), ["chrom", "start", "end"])
-    return numbered.select("window_idx", "row_idx", F.slice("row", 1, 3).cast("array<double>").alias("first_three"), F.size("row").cast("long").alias("n"))
+    return numbered.select("window_idx", "row_idx", F.element_at("row", 1).cast("double").alias("first_value"), F.element_at("row", -1).cast("double").alias("last_value"), F.size("row").cast("long").alias("n"))
 
 
 @query(f"WITH {TRACKS} SELECT track, 'tr ' || track AS name, bin, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM tracks")
@@ -360,10 +360,10 @@ def experiment_contacts(spark, sf_dir):
     return _contacts(spark, sf_dir)[1].withColumn("contact_freq", F.col("contact_freq").cast("double"))
 
 
-@query(f"""WITH {TRIPLES} SELECT accession, list_sort(list(DISTINCT resolution)) AS resolutions, list_sort(list(DISTINCT norm)) AS norms, len(list_distinct(list_concat(list(chrom1), list(chrom2)))) AS n_chroms FROM raw GROUP BY 1""")
+@query(f"""WITH {TRIPLES} SELECT accession, array_to_string(list_sort(list(DISTINCT resolution)), ',') AS resolutions, array_to_string(list_sort(list(DISTINCT norm)), ',') AS norms, len(list_distinct(list_concat(list(chrom1), list(chrom2)))) AS n_chroms FROM raw GROUP BY 1""")
 def contact_catalog(spark, sf_dir):
     triples = text.real_chromosomes(_raw_triples(spark, sf_dir))
-    return text.contact_catalog(triples).select("accession", "resolutions", "norms", F.size("chroms").cast("long").alias("n_chroms"))
+    return text.contact_catalog(triples).select("accession", F.array_join(F.col("resolutions").cast("array<string>"), ",").alias("resolutions"), F.array_join("norms", ",").alias("norms"), F.size("chroms").cast("long").alias("n_chroms"))
 
 
 @query(f"""WITH {AREAS}, {TRIPLES} SELECT 'TF ChIP-seq' AS assay, accession AS experiment_accession, 'b' || id % 2 AS biosample, 't' || id % 3 AS target, count(*) AS n_tokens, count(DISTINCT chrom) AS n_chroms, coalesce(round(median(auc), 3), -1) AS median_auc FROM t GROUP BY 2, 3, 4
