@@ -110,8 +110,14 @@ b AS (SELECT *, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400
 r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM b),
 g AS (SELECT doc_id, run, min(i) AS a, max(i) + 400 AS z FROM r GROUP BY 1, 2),
 k AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a0, a, z, row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) = 1 AS last FROM g),
-t AS (SELECT k.doc_id, count(*) AS n_spans, sum(z - a) AS gone, string_agg(substring(x, 2 * a0 + 1, 2 * (a - a0)) || CASE WHEN last THEN substring(x, 2 * z + 1) ELSE '' END, '' ORDER BY a) AS kept FROM k JOIN d USING (doc_id) GROUP BY 1)
-SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM d LEFT JOIN t USING (doc_id)
+t AS (SELECT k.doc_id, count(*) AS n_spans, sum(z - a) AS gone, string_agg(substring(x, 2 * a0 + 1, 2 * (a - a0)) || CASE WHEN last THEN substring(x, 2 * z + 1) ELSE '' END, '' ORDER BY a) AS kept FROM k JOIN d USING (doc_id) GROUP BY 1),
+p3 AS (SELECT doc_id, x, unnest(range(0, n - 303)) AS i FROM d WHERE n >= 304),
+h3 AS (SELECT doc_id, i, md5(substring(x, 2 * i + 1, 608)) AS k FROM p3),
+s3 AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY k) AS m FROM h3) WHERE m > 1),
+c3 AS (SELECT doc_id, i, least(304, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 304)) AS n FROM s3),
+t3 AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_repeated FROM c3 GROUP BY 1)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(n_repeated, 0) AS n_repeated, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id) LEFT JOIN t3 USING (doc_id)
 """
 
 

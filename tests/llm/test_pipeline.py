@@ -88,3 +88,15 @@ def test_run_removes_what_stages_wrote(spark, tmp_path):
     before = set(os.listdir(shared))
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert all(n.startswith("stage-") for n in set(os.listdir(shared)) - before) and out.count() >= 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+@pytest.mark.parametrize("name", ["op4_near_duplicates", "op6_word_spans", "op9_byte_spans"])
+def test_columns_equal_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    got = queries.queries()[name](spark, SF)
+    result = con.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in result.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(map(str, map(tuple, got.select(*names).collect()))) == sorted(map(str, result.fetchall()))
