@@ -30,10 +30,15 @@ def _as_id(keyed: DataFrame) -> DataFrame:
     return keyed.select(F.col(KEY).alias("doc_id"), "text")
 
 
+def _with_keys(keyed: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+    """The rows whose key is among n stored ones: few are broadcast (8 bytes each), more joined by shuffling the rows."""
+    return keyed.join(F.broadcast(keys) if n <= near_duplicates.BROADCAST_IDS else keys, KEY, "left_semi")
+
+
 def _kept(keyed: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The rows that have a kept verdict; rows that are equal in id and text have the same."""
-    chosen = verdicts.where("kept").select(F.col("doc_id").alias(KEY)).distinct()
-    return keyed.join(chosen, KEY, "left_semi").select(*COLUMNS)
+    chosen = written(verdicts.where("kept").select(F.col("doc_id").alias(KEY)).distinct(), "chosen")
+    return _with_keys(keyed, chosen, chosen.count()).select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +65,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull(), "doc_id", KEY)
     first = groups.where("n_shingles > 0").join(ids, KEY).groupBy("component").agg(F.min_by(F.struct(KEY, "n_rows"), order).alias("c")).select("c.*")
     chosen = written(first.unionByName(groups.where("n_shingles = 0").select(KEY, F.lit(1).cast("long").alias("n_rows"))), "chosen")
-    once = keyed.join(chosen.where("n_rows = 1").select(KEY), KEY, "left_semi")
-    repeated = keyed.join(chosen.where("n_rows > 1").select(KEY), KEY, "left_semi").dropDuplicates([KEY])
+    n = chosen.count()
+    once = _with_keys(keyed, chosen.where("n_rows = 1").select(KEY), n)
+    repeated = _with_keys(keyed, chosen.where("n_rows > 1").select(KEY), n).dropDuplicates([KEY])
     return once.unionByName(repeated).select(*COLUMNS)
 
 
