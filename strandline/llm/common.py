@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.storage import new_path
@@ -53,6 +53,21 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return written(df.withColumn("row", F.monotonically_increasing_id()), name)
 
 
+def ranked(df: DataFrame, tree: str, order: list[str], name: str) -> DataFrame:
+    """df with idx, the place of each row among those of its tree by ``order`` (nulls first; equal rows in any order), and n, how many those are.
+
+    Rows are dealt to sorted ranges of all trees together, so that a common tree spreads over many; what is summed along a tree is one row a range.
+    """
+    rows = numbered(df, f"{name}-rows")
+    keys = [tree, *order, "row"]
+    sorted_ = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("row").withColumn("at", F.monotonically_increasing_id())
+    dealt = written(sorted_, f"{name}-ranges").withColumn("range", F.shiftright("at", 33))  # the number of the partition
+    along = Window.partitionBy(tree).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    parts = dealt.groupBy(tree, "range").agg(F.min("at").alias("first"), F.count("*").alias("rows"))
+    parts = parts.select(tree, "range", "first", F.coalesce(F.sum("rows").over(along), F.lit(0)).alias("before"), F.sum("rows").over(Window.partitionBy(tree)).alias("n"))
+    return dealt.join(parts, [tree, "range"]).withColumn("idx", F.col("at") - F.col("first") + F.col("before")).select(*df.columns, "idx", "n")
+
+
 def text_groups(docs: DataFrame, text: str = "text", group_bytes: int = GROUP_BYTES) -> int:
     """Number of document groups so that each holds about group_bytes of text; follows the input."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import byte_spans, context_tree, decontamination, mixing, near_duplicates, pii, quality, sharding, tokens, word_spans
+from strandline.llm import byte_spans, context_tree, decontamination, manifest, mixing, near_duplicates, pii, quality, sharding, tokens, word_spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -53,6 +53,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_table(table(spark, sf_dir))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verify_documents(table(spark, sf_dir))
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
@@ -121,10 +125,37 @@ FROM d LEFT JOIN t USING (doc_id) LEFT JOIN t3 USING (doc_id)
 """
 
 
+_TAGGED = {c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", "text", "(n_chars + 1)")}
+_LEAF = " || ".join(_TAGGED[c] for c in ("doc_id", "source", "lang", "n_chars", "text"))
+_CHANGED = " || ".join(_TAGGED[c] for c in ("doc_id", "source", "lang", "(n_chars + 1)", "text"))
+_CRC32 = """xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+OP11_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, sha256({_LEAF}) AS leaf, CASE WHEN n_chars IS NOT NULL AND {_CRC32} % 7 = 0 THEN sha256({_CHANGED}) END AS changed FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM d),
+n AS (SELECT t, CAST(ceil(log2(count(*))) AS BIGINT) AS depth FROM l GROUP BY 1),
+v(t, level, i, h) AS (SELECT t, 0, i, leaf FROM l UNION ALL
+  SELECT v.t, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM v JOIN n USING (t) WHERE level < depth GROUP BY v.t, level, i // 2),
+s AS (SELECT v.t, h FROM v JOIN n ON n.t = v.t AND level = depth),
+m AS (SELECT CAST(ceil(log2(count(*))) AS BIGINT) AS depth FROM s),
+u(level, i, h) AS (SELECT 0, t, h FROM s UNION ALL SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM u CROSS JOIN m WHERE level < depth GROUP BY level, i // 2),
+r AS (SELECT h FROM u CROSS JOIN m WHERE level = depth),
+p AS (SELECT l.t, l.i, k.level, CASE WHEN h IS NULL THEN 'L' WHEN v.i % 2 = 0 THEN 'L' || h ELSE 'R' || h END AS step
+    FROM l JOIN (SELECT t, unnest(range(depth)) AS level FROM n) k ON k.t = l.t LEFT JOIN v ON v.t = l.t AND v.level = k.level AND v.i = xor(l.i >> k.level, 1)
+  UNION ALL SELECT l.t, l.i, 1000 + k.level, CASE WHEN h IS NULL THEN 'L' WHEN u.i % 2 = 0 THEN 'L' || h ELSE 'R' || h END
+    FROM l CROSS JOIN (SELECT unnest(range(depth)) AS level FROM m) k LEFT JOIN u ON u.level = k.level AND u.i = xor(l.t >> k.level, 1)),
+a AS (SELECT t, i, list(step ORDER BY level) AS steps FROM p GROUP BY 1, 2),
+f AS (SELECT l.doc_id, leaf, s.h AS subroot, r.h AS root, coalesce(steps, []) AS steps, coalesce(changed, leaf) AS given FROM l JOIN s USING (t) CROSS JOIN r LEFT JOIN a ON a.t = l.t AND a.i = l.i),
+g AS (SELECT *, list_reduce([given] || steps, lambda h, x: sha256(CASE WHEN x[1] = 'L' THEN x[2:] || h ELSE h || x[2:] END)) AS folded_root FROM f)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda x: x[2:]), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM g
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_decontamination, op2_mixing, op3_context_tree, op4_near_duplicates, op5_quality, op6_word_spans, op7_sharding, op8_pii, op9_byte_spans, op10_tokens]
+    named = [op1_decontamination, op2_mixing, op3_context_tree, op4_near_duplicates, op5_quality, op6_word_spans, op7_sharding, op8_pii, op9_byte_spans, op10_tokens, op11_manifest]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op6_word_spans": OP6_SQL, "op9_byte_spans": OP9_SQL}
+    return {"op2_mixing": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op6_word_spans": OP6_SQL, "op9_byte_spans": OP9_SQL, "op11_manifest": OP11_SQL}
