@@ -48,9 +48,9 @@ def temporary(spark: SparkSession):
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def numbered(df: DataFrame, name: str) -> DataFrame:
+def numbered(df: DataFrame, name: str, column: str = "row") -> DataFrame:
     """df with row, a number of each row that is the same in every pass: written once, since doc_ids may repeat or be null."""
-    return written(df.withColumn("row", F.monotonically_increasing_id()), name)
+    return written(df.withColumn(column, F.monotonically_increasing_id()), name)
 
 
 def ranked(df: DataFrame, tree: str, order: list[str], name: str) -> DataFrame:
@@ -58,9 +58,9 @@ def ranked(df: DataFrame, tree: str, order: list[str], name: str) -> DataFrame:
 
     Rows are dealt to sorted ranges of all trees together, so that a common tree spreads over many; what is summed along a tree is one row a range.
     """
-    rows = numbered(df, f"{name}-rows")
-    keys = [tree, *order, "row"]
-    sorted_ = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("row").withColumn("at", F.monotonically_increasing_id())
+    rows = numbered(df, f"{name}-rows", "_number")
+    keys = [tree, *order, "_number"]
+    sorted_ = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_number").withColumn("at", F.monotonically_increasing_id())
     dealt = written(sorted_, f"{name}-ranges").withColumn("range", F.shiftright("at", 33))  # the number of the partition
     along = Window.partitionBy(tree).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     parts = dealt.groupBy(tree, "range").agg(F.min("at").alias("first"), F.count("*").alias("rows"))

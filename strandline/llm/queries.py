@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import byte_spans, context_tree, decontamination, manifest, mixing, near_duplicates, pii, quality, sharding, tokens, word_spans
+from strandline.llm import byte_spans, context_tree, decontamination, hard_negatives, line_quality, manifest, mixing, near_duplicates, pii, quality, sharding, tokens, word_spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -57,6 +57,14 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify_documents(table(spark, sf_dir))
 
 
+def op12_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.score_documents(table(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
@@ -152,10 +160,21 @@ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps,
 """
 
 
+OP13_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score FROM e a JOIN e b ON a.vec_id != b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) QUALIFY row_number() OVER w <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_decontamination, op2_mixing, op3_context_tree, op4_near_duplicates, op5_quality, op6_word_spans, op7_sharding, op8_pii, op9_byte_spans, op10_tokens, op11_manifest]
+    named = [op1_decontamination, op2_mixing, op3_context_tree, op4_near_duplicates, op5_quality, op6_word_spans, op7_sharding, op8_pii, op9_byte_spans, op10_tokens, op11_manifest, op12_line_quality, op13_hard_negatives]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op6_word_spans": OP6_SQL, "op9_byte_spans": OP9_SQL, "op11_manifest": OP11_SQL}
+    return {"op2_mixing": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op6_word_spans": OP6_SQL, "op9_byte_spans": OP9_SQL, "op11_manifest": OP11_SQL, "op13_hard_negatives": OP13_SQL}
