@@ -5,14 +5,15 @@ Documents join the items on shared seeds of ``min_match`` tokens.  For each pair
 in running Karp-Rabin: rolling fingerprints give the matching places, each grown to a maximal match, and the longest
 match of tokens not yet marked on either side is marked again and again until none of min_match tokens is left.  Tiles
 may come in any order, so reordered passages count.  A document is contaminated if the tiles cover enough of an item.
-A seed that a document repeats beyond the square of an item's length adds nothing: the tiles mark no more tokens of the document than the
-item has, each of which touches no more matches than the item has tokens, so an earlier match of the same words is always left and comes first.
+Of the maximal matches of one span of an item, n tokens of its L, only the first n * L + 1 in the document are looked at.  All tiles together mark
+L tokens of the document at most, each within n of these matches at most, so one of them is never touched; at any time what is free of it holds what is free of
+any later one, and lies before it, so no later one is ever marked.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -21,32 +22,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import kernels as K
-from strandline.llm.common import map_texts, numbered
+from strandline.llm.common import map_texts, numbered, written
 
 MIN_MATCH = 5
 #: Share of an item's tokens that tiles must cover.
 COVERAGE = 0.5
 #: Bytes of benchmark text whose seeds one pass over the documents holds; a larger benchmark takes more passes.
 BLOCK_BYTES = 32 << 20
+#: Shared seeds of documents and items that are looked at together.
+HITS = 1 << 20
 
 
-def greedy_tiles(doc: np.ndarray, item: np.ndarray, seeds: list[tuple[int, int]], min_match: int) -> list[tuple[int, int, int]]:
-    """Tiles (place in doc, place in item, length), longest first; ties: the earliest in the document, then in the item."""
-    heap, seen = [], set()
-    for p, q in seeds:
-        if (p, q) in seen:
-            continue
-        while p and q and doc[p - 1] == item[q - 1]:
-            p, q = p - 1, q - 1
-        n = 0
-        while p + n < len(doc) and q + n < len(item) and doc[p + n] == item[q + n]:
-            seen.add((p + n, q + n))
-            n += 1
-        heap.append((-n, p, q))
-    heap = list(set(heap))
+def greedy_tiles(matches: list[tuple[int, int, int]], length: int, min_match: int) -> list[tuple[int, int, int]]:
+    """Tiles (place in doc, place in item, length) from all maximal matches with an item of that length: the longest first; ties: the earliest in the
+    document, then in the item."""
+    heap = [(-n, p, q) for p, q, n in matches]
     heapq.heapify(heap)
-    doc_marked, item_marked, tiles = set(), bytearray(len(item)), []
-    while heap:
+    doc_marked, item_marked, tiles = set(), bytearray(length), []
+    room = b"\0" * min_match
+    while heap and room in item_marked:  # an unmarked run of the item is left
         n, p, q = heapq.heappop(heap)
         free = [k for k in range(-n) if p + k not in doc_marked and not item_marked[q + k]]
         if len(free) == -n:
@@ -77,7 +71,7 @@ class Seeds:
     def __init__(self, ids: list, items: list[np.ndarray], size: int):
         self.ids, self.items = ids, items
         lengths = np.array([len(x) for x in items], np.int64)
-        self.enough = int(lengths.max(initial=0)) ** 2
+        self.lengths = lengths
         bounds = np.concatenate(([0], np.cumsum(lengths)))
         at, keys = K.windows(np.concatenate([*items, np.empty(0, np.uint64)]), bounds, size)
         item = np.searchsorted(bounds, at, side="right") - 1
@@ -86,6 +80,15 @@ class Seeds:
         self.filter = np.zeros(1 << 22, bool)
         self.filter[(self.keys & K.U((1 << 22) - 1)).astype(np.int64)] = True
 
+    def before(self, left: np.ndarray, right: np.ndarray, item: int) -> np.ndarray:
+        """In each range of seeds of one key, where the items from ``item`` on begin."""
+        low, high = left.copy(), right.copy()
+        while (low < high).any():
+            middle = (low + high) // 2
+            less = (low < high) & (self.item[np.minimum(middle, len(self.item) - 1)] < item)
+            low, high = np.where(less, middle + 1, low), np.where(less | (low >= high), high, middle)
+        return low
+
     def hits(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Numbers of the keys that are seeds, and the range of each in the sorted seeds."""
         maybe = np.flatnonzero(self.filter[(keys & K.U((1 << 22) - 1)).astype(np.int64)])
@@ -95,6 +98,48 @@ class Seeds:
         return maybe[found], left[found], right[found]
 
 
+def _expanded(doc: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, block: Seeds, first: int, last: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Seeds that documents share with the items first .. last - 1 (document, item, place in document, place in item), all of a document and an item
+    together, in pieces of HITS or a single pair's."""
+    count = right - left
+    if not len(at) or not count.sum():
+        return
+    if count.sum() > HITS and doc[0] != doc[-1]:
+        half = int(np.searchsorted(doc, doc[np.searchsorted(np.cumsum(count), count.sum() // 2)], "right"))
+        half = half if half < len(doc) else int(np.searchsorted(doc, doc[-1]))
+        yield from _expanded(doc[:half], at[:half], left[:half], right[:half], block, first, last)
+        yield from _expanded(doc[half:], at[half:], left[half:], right[half:], block, first, last)
+        return
+    if count.sum() > HITS and last - first > 1:  # a key's items ascend, so each half of the items is a part of its range
+        middle = (first + last) // 2
+        cut = block.before(left, right, middle)
+        yield from _expanded(doc, at, left, cut, block, first, middle)
+        yield from _expanded(doc, at, cut, right, block, middle, last)
+        return
+    seed = K.runs(left, count)
+    yield np.repeat(doc, count), block.item[seed], np.repeat(at, count), block.place[seed]
+
+
+def maximal_matches(doc: np.ndarray, item: np.ndarray, p: np.ndarray, q: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """From all shared seeds of ``size`` tokens: document, item, place in each, length, of the maximal matches that can matter, by document and item.
+
+    The seeds of a match follow each other on its diagonal."""
+    order = np.lexsort((p, p - q, item, doc))
+    doc, item, p, q = doc[order], item[order], p[order], q[order]
+    new = np.ones(len(p), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (p[1:] != p[:-1] + 1) | (q[1:] != q[:-1] + 1)
+    head = np.flatnonzero(new)
+    n = np.diff(np.append(head, len(p))) + size - 1
+    doc, item, p, q = doc[head], item[head], p[head], q[head]
+    order = np.lexsort((p, n, q, item, doc))
+    doc, item, p, q, n = doc[order], item[order], p[order], q[order], n[order]
+    other = np.ones(len(p), bool)
+    other[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (q[1:] != q[:-1]) | (n[1:] != n[:-1])
+    nth = np.arange(len(p)) - np.maximum.accumulate(np.where(other, np.arange(len(p)), 0))
+    kept = nth <= n * lengths[item]
+    return doc[kept], item[kept], p[kept], q[kept], n[kept]
+
+
 def _scan(seeds, min_match: int, coverage: float):
     names = ["row", "doc_id", "n_items", "n_shared", "best_item", "best_tiled", "best_coverage"]
 
@@ -105,30 +150,21 @@ def _scan(seeds, min_match: int, coverage: float):
         hit, left, right = block.hits(keys)
         at = at[hit]
         doc = np.searchsorted(bounds, at, side="right") - 1
-        # how often the seed has been met before in the document: beyond the square of an item's length, an earlier one is always free
-        order = np.lexsort((at, left, doc))
-        new = np.ones(len(at), bool)
-        new[1:] = (doc[order][1:] != doc[order][:-1]) | (left[order][1:] != left[order][:-1])
-        nth = np.empty(len(at), np.int64)
-        nth[order] = np.arange(len(at)) - np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-        pairs: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        for a, d, n, lo, hi in zip(at.tolist(), doc.tolist(), nth.tolist(), left.tolist(), right.tolist()):
-            if n > block.enough:
-                continue
-            for k in range(lo, hi):
-                i = int(block.item[k])
-                if n <= len(block.items[i]) ** 2:
-                    pairs[d, i].append((a - int(bounds[d]), int(block.place[k])))
         best: dict[int, list] = {}
-        for (d, i), where in pairs.items():
-            item = block.items[i]
-            tiled = sum(n for _, _, n in greedy_tiles(hashes[bounds[d] : bounds[d + 1]], item, where, min_match))
-            row = best.setdefault(d, [0, 0, None, 0, 0.0])
-            share = tiled / len(item)
-            row[0] += share >= coverage
-            row[1] += 1
-            if row[2] is None or (share, -block.ids[i]) > (row[4], -row[2]):
-                row[2:] = [block.ids[i], tiled, share]
+        for piece in _expanded(doc, at, left, right, block, 0, len(block.items)):
+            found = maximal_matches(*piece, block.lengths, min_match)
+            d_, i_ = found[0], found[1]
+            heads = np.flatnonzero(np.concatenate(([True], (d_[1:] != d_[:-1]) | (i_[1:] != i_[:-1]))))
+            for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(d_)]):
+                d, i = int(d_[a]), int(i_[a])
+                size = int(block.lengths[i])
+                tiled = sum(n for _, _, n in greedy_tiles(list(zip(*(x[a:b].tolist() for x in found[2:]))), size, min_match))
+                row = best.setdefault(d, [0, 0, None, 0, 0.0])
+                share = tiled / size
+                row[0] += share >= coverage
+                row[1] += 1
+                if row[2] is None or (share, -block.ids[i]) > (row[4], -row[2]):
+                    row[2:] = [block.ids[i], tiled, share]
         rows = [best.get(d, [0, 0, None, 0, 0.0]) for d in range(batch.num_rows)]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
         return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(types))], names=names)
@@ -141,10 +177,10 @@ def tile_benchmark(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_M
 
     Returns doc_id, n_shared (items that share a seed), n_items (those covered enough), best_item (the most covered, then the
     smallest id), best_tiled (its tokens in tiles), best_coverage, kept (no item is covered enough).  Null or empty texts
-    share nothing; an item of fewer than min_match tokens cannot be found; repeated items count each; null item ids are left
+    share nothing; long texts are tiled whole (a text must fit a task's memory some 60 times over); an item of fewer than min_match tokens cannot be found; repeated items count each; null item ids are left
     out; an empty benchmark keeps every row; an empty table gives no rows.  Nothing is shuffled for a benchmark of one block
     of block_bytes; for a larger one, each block of items takes a pass over
-    the numbered rows, and the passes are merged by row; repeated rows and null ids come back each.
+    the numbered rows, one after the other, and the passes are merged by row; repeated rows and null ids come back each.
     """
     spark = docs.sparkSession
     items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -159,7 +195,11 @@ def tile_benchmark(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_M
         hashes, bounds = tokens(mine.column("text"))
         found = [(i, hashes[a:b]) for i, a, b in zip(mine.column("item_id").to_pylist(), bounds[:-1], bounds[1:]) if b - a >= min_match]
         seeds = spark.sparkContext.broadcast(Seeds([i for i, _ in found], [x for _, x in found], min_match))  # at most block_bytes of text
-        scans.append(map_texts(rows.select("row", "doc_id", "text"), _scan(seeds, min_match, coverage), schema))
+        scan = map_texts(rows.select("row", "doc_id", "text"), _scan(seeds, min_match, coverage), schema)
+        if n_blocks > 1:  # one block at a time stands on the driver and in the tasks
+            scan = written(scan, "scan")
+            seeds.destroy()
+        scans.append(scan)
     out = scans[0]
     if n_blocks > 1:
         best = F.max(F.struct("best_coverage", (-F.col("best_item")).alias("i"), "best_tiled"))

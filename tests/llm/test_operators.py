@@ -135,7 +135,40 @@ def test_tiles_match_brute_force():
         d, i = rng.integers(0, 4, 40), rng.integers(0, 4, 25)
         least = 3
         seeds = [(p, q) for p in range(len(d) - 2) for q in range(len(i) - 2) if (d[p : p + 3] == i[q : q + 3]).all()]
-        assert decontamination.greedy_tiles(d, i, seeds, least) == brute_tiles(d.tolist(), i.tolist(), least)
+        pairs = [np.array(x, np.int64) for x in zip(*seeds)] or [np.zeros(0, np.int64)] * 2
+        none = np.zeros(len(seeds), np.int64)
+        found = decontamination.maximal_matches(none, none, *pairs, np.array([len(i)]), least)
+        assert decontamination.greedy_tiles(list(zip(*(x.tolist() for x in found[2:]))), len(i), least) == brute_tiles(d.tolist(), i.tolist(), least)
+
+
+def fragments(times):
+    """An item of 14 tokens; a document of its overlapping fragments, each in other surroundings and many times over, and the whole item last."""
+    item = ["t%d" % k for k in range(14)]
+    parts = [item[k : k + 5] for k in range(8)] + [item[8:14]]
+    document = [w for r in range(times) for k, part in enumerate(parts) for w in [*part, "gap%d" % ((r + k) % 3)]]
+    return " ".join(item), " ".join([*document, *item])
+
+
+def test_fragments_repeated_before_the_whole_item(spark, monkeypatch):
+    """However often its parts come before, the item is found whole; also where the shared seeds are looked at in small pieces."""
+    item, document = fragments(400)
+    df = spark.createDataFrame([(1, document), (2, document.rsplit(" ", 14)[0]), (3, "nothing of it")], "doc_id long, text string")
+    b = spark.createDataFrame([(k, item if k < 3 else "others %d " % k * 6) for k in range(6)], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_shared"], r["n_items"], r["best_tiled"], r["kept"]) for r in decontamination.tile_benchmark(df, b).collect()}
+    assert got[1] == (3, 3, 14, False) and got[3] == (0, 0, 0, True)
+    short, least = fragments(4)[1].rsplit(" ", 14)[0], decontamination.MIN_MATCH  # no part is longer than 6
+    assert got[2][2] == sum(t[2] for t in brute_tiles(short.split(), item.split(), least))
+    monkeypatch.setattr(decontamination, "HITS", 50)
+    items = [decontamination.tokens(pa.array([r["text"]]))[0] for r in b.collect()]
+
+    class Block:
+        value = decontamination.Seeds(list(range(6)), items, least)
+
+    texts = [fragments(5)[1], "nothing of it", fragments(3)[1], None]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 4), pa.array(range(4)), pa.array(texts)], names=["row", "doc_id", "text"])
+    small = decontamination._scan(Block, least, 0.5)(batch).to_pylist()
+    monkeypatch.setattr(decontamination, "HITS", 1 << 20)
+    assert small == decontamination._scan(Block, least, 0.5)(batch).to_pylist() and small[0]["best_tiled"] == small[2]["best_tiled"] == 14
 
 
 def test_reordered_passages_are_caught(spark, docs, empty):
