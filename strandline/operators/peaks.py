@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators import block_peaks, blocks, medians
+from strandline.storage import written
+
 #: Fixed values of the caller.
 PROMINENCE_FRACTION = 0.5
 MIN_PROMINENCE = 1e-4
@@ -142,53 +144,20 @@ def find_peaks(x: np.ndarray, resolution: int, distance_bp: int = MIN_DISTANCE_B
     return {"start": a * resolution, "end": b * resolution, "summit": peaks * resolution, "auc": area, "signal_value": x[peaks], "prominence": prominences}
 
 
-def with_pieces(signal: DataFrame, gap: int, keys: tuple[str, ...] = ("chrom", "track"), block: int = BLOCK) -> DataFrame:
-    """Adds piece: the bin where the part of its track begins that each bin belongs to.
+def call_peaks(signal: DataFrame, resolution: int, distance_bp: int = MIN_DISTANCE_BP, keys: tuple[str, ...] = ("chrom", "track"), block: int = BLOCK, fan: int = block_peaks.FAN) -> DataFrame:
+    """Peaks of every dense signal: keys, then PEAKS.
 
-    Tracks without negative values are parted within runs of ``gap`` (two at least) zeros or more, once a block at most.  Peaks on both sides of such a run are
-    further apart than it is long, and every base and crossing on its way meets a zero, so the pieces can be taken each for itself.
-    """
-    rows = signal.withColumn("block", F.floor(F.col("bin") / block))
-    by_block = Window.partitionBy(*keys, "block").orderBy("bin")
-    zeros = rows.where("value = 0").select(*keys, "block", "bin", (F.col("bin") - F.row_number().over(by_block)).alias("run"))
-    runs = zeros.groupBy(*keys, "block", "run").agg(F.min("bin").alias("a"), F.count("*").alias("n")).where(F.col("n") >= max(gap, 2))
-    cuts = runs.groupBy(*keys, "block").agg(F.min(F.col("a") + F.floor(F.col("n") / 2)).alias("cut"))
-    blocks = rows.groupBy(*keys, "block").agg(F.min("value").alias("low"))  # a row a block from here on
-    along = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("low", F.min("low").over(Window.partitionBy(*keys))).join(cuts, [*keys, "block"], "left")
-    blocks = blocks.withColumn("cut", F.when(F.col("low") >= 0, F.col("cut"))).withColumn("before", F.coalesce(F.last("cut", True).over(along), F.lit(0).cast("long")))
-    piece = F.when(F.col("bin") >= F.col("cut"), F.col("cut")).otherwise(F.col("before"))
-    return rows.join(blocks.drop("low"), [*keys, "block"]).withColumn("piece", piece).drop("block", "cut", "before")
-
-
-def call_peaks(signal: DataFrame, resolution: int, distance_bp: int = MIN_DISTANCE_BP, keys: tuple[str, ...] = ("chrom", "track"), pieces: bool = False, block: int = BLOCK) -> DataFrame:
-    """Peaks of every dense signal (keys, bin, value): keys, then PEAKS.
-
-    Suppression by distance and prominence look along a whole track, so a task holds one track of one chromosome (some 8
-    million bins of 32 base pairs at most for the longest human one), never more.  With pieces=True a task holds a piece between runs of zeros
-    instead; the signal is then read three times, so it should be a stored table.
+    signal: rows (keys, bin, value), or blocks (keys, block_idx, values) of ``block`` bins; it is written once as blocks.  Suppression by distance, prominence and width look
+    along a whole track, but no task holds more than a block: see operators.block_peaks.
     """
-    kinds = {f.name: f.dataType.simpleString() for f in signal.schema.fields}
-    rows = signal.select(*keys, "bin", F.col("value").cast("double").alias("value"))
-    if pieces:
-        rows = with_pieces(rows, math.ceil(distance_bp / resolution), keys, block).join(nonzero_median(rows, keys).select(*keys, "min_prominence"), list(keys))
-    else:
-        rows = rows.withColumn("piece", F.lit(0).cast("long")).withColumn("min_prominence", F.lit(None).cast("double"))
-
-    def one(key: tuple, table: pa.Table) -> pa.Table:
-        table, first = table.sort_by("bin"), key[-1].as_py()
-        found = find_peaks(table.column("value").to_numpy(), resolution, distance_bp, table.column("min_prominence")[0].as_py())
-        found |= {c: found[c] + first * resolution for c in ("start", "end", "summit")}
-        n = len(found["start"])
-        columns = [pa.array([k.as_py()] * n, k.type) for k in key[:-1]]
-        columns += [pa.array(found[c], pa.int64() if c in ("start", "end", "summit") else pa.float64()) for c in ("start", "end", "summit", "auc", "signal_value", "prominence")]
-        return pa.table(columns, names=[*keys, "start", "end", "summit", "auc", "signal_value", "prominence"])
-
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), PEAKS])
-    return rows.groupBy(*keys, "piece").applyInArrow(one, schema)
+    dense = signal.select(*keys, "block_idx", F.col("values").cast("array<double>").alias("values")) if "values" in signal.columns else blocks.from_rows(signal, keys, block)
+    dense = written(dense, "blocks")
+    least = nonzero_median(dense.select(*keys, F.explode("values").alias("value")), keys)
+    return block_peaks.call_peaks(dense, resolution, distance_bp, least, block, keys, REL_HEIGHT, MIN_WIDTH_BINS, fan)
 
 
 def nonzero_median(signal: DataFrame, keys: tuple[str, ...] = ("chrom", "track")) -> DataFrame:
-    """Median of the positive values of each track, and the least prominence that follows from it."""
-    m = signal.groupBy(*keys).agg(F.median(F.when(F.col("value") > 0, F.col("value"))).alias("median_nonzero"))
+    """Median of the positive values of each track (null without any), and the least prominence that follows from it."""
+    positive = medians.exact_median(signal.where(F.col("value") > 0), keys, "value", "median_nonzero")
+    m = medians.null_safe(signal.select(*keys).distinct(), positive, keys, "left")
     return m.withColumn("min_prominence", F.greatest(F.coalesce(F.col("median_nonzero") * PROMINENCE_FRACTION, F.lit(0.0)), F.lit(MIN_PROMINENCE)))

@@ -22,8 +22,8 @@ FINE = peaks_sql("tracks", 64, distance=4)
 
 @query(f"WITH RECURSIVE {TRACKS}, {FINE}")
 def fine_peaks(spark, sf_dir):
-    """Bins of 64 base pairs: peaks suppress others within four bins.  Tracks are taken in pieces between runs of empty bins."""
-    found = peaks.call_peaks(tracks(spark, sf_dir), 64, pieces=True, block=128)
+    """Bins of 64 base pairs: peaks suppress others within four bins, also across blocks."""
+    found = peaks.call_peaks(tracks(spark, sf_dir), 64, block=64)
     return found.select("track", "start", "end", "summit", F.round("auc", 4).alias("auc"), "signal_value", F.round("prominence", 6).alias("prominence"))
 
 

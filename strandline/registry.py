@@ -204,7 +204,7 @@ PEAKS_SQL = f"WITH {TRACKS}, {SMOOTH}, {peaks_sql('smooth', 3600)}"
 
 @query(PEAKS_SQL)
 def call_peaks(spark, sf_dir):
-    found = peaks.call_peaks(smoothed(spark, sf_dir), 3600)
+    found = peaks.call_peaks(smoothed(spark, sf_dir), 3600, block=64)  # a dozen blocks in a month's hours
     return found.select("track", "start", "end", "summit", F.round("auc", 4).alias("auc"), "signal_value", F.round("prominence", 6).alias("prominence"))
 
 

@@ -377,21 +377,3 @@ def test_one_experiment_limit(spark):
     e = spark.createDataFrame([("x", "a", "K", 1), ("y", "a", "K", 0), ("z", "a", "H", 2)], "accession string, assay string, biosample string, place int")
     assert sorted(r["accession"] for r in portal.first_experiments(e, 1).collect()) == ["y", "z"]
     assert portal.first_experiments(e, None).count() == 3
-
-
-@pytest.mark.parametrize("block", [16, 50])
-def test_pieces_give_the_same_peaks(spark, block):
-    """Tracks with empty stretches of all lengths, one without and one with negative values."""
-    rng = np.random.default_rng(block)
-    data = []
-    for t in range(4):
-        x = np.round(np.convolve(rng.random(300), np.ones(4) / 4, "same") * 10, 1)
-        for a in range(10, 300, 37) if t else ():
-            x[a : a + int(rng.integers(1, 16))] = 0
-        x = x - 0.5 if t == 3 else x
-        data += [("c", t, k, float(v)) for k, v in enumerate(x)]
-    df = spark.createDataFrame(data, "chrom string, track int, bin long, value double")
-    whole, parts = (rows(peaks.call_peaks(df, 50, pieces=p, block=block), "track", "start") for p in (False, True))
-    assert len(whole) > 20 and [tuple(np.round(r[1:], 9)) for r in whole] == [tuple(np.round(r[1:], 9)) for r in parts]
-    n = {r["track"]: r["n"] for r in peaks.with_pieces(df, 4, block=block).groupBy("track").agg(F.countDistinct("piece").alias("n")).collect()}
-    assert n[0] == n[3] == 1 and n[1] > 2 and n[2] > 2
