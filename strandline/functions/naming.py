@@ -87,14 +87,28 @@ def url_suffix(url: Column | str) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(name, r"^\.?[^.]*((?:\.[^.]+)+)$", 1), F.lit("")), F.lit(".bin"))
 
 
+#: What a number looks like, blanks around it allowed.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+
+
+def whole_number(text: Column | str) -> Column:
+    """The whole part of a number, exact where it is written as a whole one; null if it is no number, not finite or out of range."""
+    plain = F.trim(_col(text).cast("string"))
+    number = F.when(plain.rlike(_NUMBER), plain)
+    return F.coalesce(number.try_cast("bigint"), number.try_cast("double").try_cast("bigint"))
+
+
 def lenient_long(text: Column | str) -> Column:
-    """A whole number, or 0."""
-    return F.coalesce(F.expr(f"try_cast({text} AS BIGINT)") if isinstance(text, str) else text.try_cast("bigint"), F.lit(0))
+    """The whole part of a number, or 0."""
+    return F.coalesce(whole_number(text), F.lit(0).cast("bigint"))
 
 
 def lenient_float(text: Column | str) -> Column:
     """A float, or NaN."""
-    return F.coalesce(_col(text).try_cast("float"), F.lit(float("nan")).cast("float"))
+    plain = F.trim(_col(text).cast("string"))
+    number = F.when(plain.rlike(_NUMBER) | plain.rlike(_INFINITE), plain)
+    return F.coalesce(number.try_cast("float"), F.lit(float("nan")).cast("float"))
 
 
 def finite_or_null(value: Column | str) -> Column:

@@ -51,9 +51,9 @@ def merge_tracks(signal: DataFrame, how: str = "mean", keys: tuple[str, ...] = (
 
 
 def feature_matrix(features: DataFrame, sizes: DataFrame, resolution: int, columns: list[str]) -> DataFrame:
-    """Every bin with a column for each named feature, 0 where it has none: chrom, start, end, then ``columns``.
+    """Every bin with a column for each named feature, 0 where it has none (NaN stays): chrom, start, end, then ``columns``.
 
     features: chrom, bin, name, value, with one value for each.  The names are given, so that the pivot needs no extra pass.
     """
     wide = features.groupBy("chrom", "bin").pivot("name", columns).agg(F.max("value"))
-    return skeleton(sizes, resolution).join(wide, ["chrom", "bin"], "left").na.fill(0.0, columns).select("chrom", "start", "end", *columns)
+    return skeleton(sizes, resolution).join(wide, ["chrom", "bin"], "left").select("chrom", "start", "end", *(F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c) for c in columns))

@@ -61,7 +61,10 @@ def sparse_contacts(triples: DataFrame, resolution: int | str, chroms: DataFrame
 
 
 def window_numbers(files: DataFrame) -> DataFrame:
-    """Windows known by their files (chrom, start, end; one row a file or more): chrom, start, end, window_idx by start, n_windows."""
+    """Windows known by their files (chrom, start, end; one row a file or more): chrom, start, end, window_idx by start, n_windows.
+
+    A file without tracks has no matrix rows, yet its place: take the windows from sources.arrays.window_files where there may be such.
+    """
     each = files.select("chrom", "start", "end").distinct()
     by_start = Window.partitionBy("chrom").orderBy("start", "end")
     return each.withColumn("window_idx", (F.row_number().over(by_start) - 1).cast("long")).withColumn("n_windows", F.count("*").over(Window.partitionBy("chrom")))

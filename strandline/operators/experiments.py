@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators import medians
+
 #: Fixed values, in the order of preference.
 PEAK_OUTPUTS = ("IDR thresholded peaks", "optimal IDR thresholded peaks", "pseudoreplicated IDR thresholded peaks")
 SIGNAL_OUTPUT = "fold change over control"
@@ -55,10 +57,10 @@ def summarise(tokens: DataFrame) -> DataFrame:
 
     tokens: assay, experiment_accession, biosample, target, chrom, auc.
     """
-    return tokens.groupBy("assay", "experiment_accession").agg(
-        F.min("biosample").alias("biosample"), F.min("target").alias("target"), F.count("*").alias("n_tokens"),
-        F.countDistinct("chrom").alias("n_chroms"), F.coalesce(F.median(F.when(~F.isnan("auc"), F.col("auc"))), F.lit(float("nan"))).alias("median_auc"),
-    )
+    keys = ("assay", "experiment_accession")
+    counts = tokens.groupBy(*keys).agg(F.min("biosample").alias("biosample"), F.min("target").alias("target"), F.count("*").alias("n_tokens"), F.countDistinct("chrom").alias("n_chroms"))
+    out = medians.null_safe(counts, medians.exact_median(tokens, keys, "auc", "median_auc"), keys, "left")
+    return out.withColumn("median_auc", F.coalesce("median_auc", F.lit(float("nan"))))
 
 
 def ordered_columns(rows: DataFrame, columns: list[str]) -> DataFrame:

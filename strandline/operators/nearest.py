@@ -50,7 +50,7 @@ def representatives(transcripts: DataFrame) -> DataFrame:
 
 def tss_table(gtf: DataFrame, all_tags: bool = False) -> DataFrame:
     """Transcription starts (chrom, pos, name, ord) from parsed annotation lines (see sources.annotation)."""
-    flag = F.col("attributes").rlike(r'(?:^|;)\s*tag\s+"?[^";]*MANE_Select') if all_tags else F.col("first_tag").contains("MANE_Select")
+    flag = F.col("attributes").rlike(r'(?:^|;)\s*tag\s+"?[^";]*MANE[_ ]Select') if all_tags else F.col("first_tag").rlike("MANE[_ ]Select")
     rows = gtf.withColumn("is_mane", F.coalesce(flag, F.lit(False))).withColumn("span", F.col("end") - F.col("start"))
     once = last_wins(rows.select("transcript_id", "gene_id", "gene_name", "chrom", "tss", "is_mane", "span", "line_no"), "transcript_id", "line_no")
     genes = once.groupBy("gene_id").agg(F.min("first_line").alias("ord"))

@@ -93,8 +93,10 @@ def first_experiments(experiments_: DataFrame, limit: int | None) -> DataFrame:
 
 
 def write_all(peaks: DataFrame, contacts_: DataFrame, path: str) -> None:
-    """All tokens by assay and experiment, and the summary.  Reading an assay's folder gives its experiments merged."""
+    """All tokens by assay and experiment, and the summary of what was written.  Reading an assay's folder gives its experiments merged."""
     slugged = peaks.withColumn("assay_slug", N.assay_slug("assay"))
     sinks.write_tokens(slugged, f"{path}/peaks", ("assay_slug", "experiment_accession"))
     sinks.write_tokens(contacts_, f"{path}/hi_c", ("experiment_accession",))
-    sinks.write_summary(summarise_all(peaks, contacts_).orderBy("assay", "experiment_accession"), f"{path}/summary")
+    spark = peaks.sparkSession
+    summary = summarise_all(sinks.read_tokens(spark, f"{path}/peaks", slugged), sinks.read_tokens(spark, f"{path}/hi_c", contacts_))
+    sinks.write_summary(summary.orderBy("assay", "experiment_accession"), f"{path}/summary")

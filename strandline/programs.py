@@ -66,7 +66,19 @@ def element_tokens(spark, sf_dir):
     return out.withColumns(rounded).withColumn("auc", F.col("auc").cast("long")).withColumn("atac_signal", F.col("atac_signal").cast("double")).drop("signal_value")
 
 
-def _elements(spark, sf_dir):
+@query(f"""WITH {ELEMENTS}, y AS (SELECT chrom, day, CAST(sum(q) AS BIGINT) + 1 AS v FROM d GROUP BY 1, 2),
+w AS (SELECT u.chrom, a, b, CAST(coalesce(sum(v), 0) AS DOUBLE) / (b - a) AS atac FROM u LEFT JOIN y ON y.chrom = u.chrom AND day >= a AND day < b GROUP BY 1, 2, 3)
+SELECT 'ccre:' || e.chrom || ':' || e.a || ':' || e.b AS token_id, m AS summit, round(CAST(CAST(atac AS FLOAT) AS DOUBLE), 3) AS atac_signal, dist AS tss_distance FROM e JOIN w ON w.chrom = e.chrom AND w.a = e.a AND w.b = e.b""")
+def element_tokens_atac(spark, sf_dir):
+    """With the mean of a signal by base over each element, kept as blocks of 32 days in which a day without a value is 0."""
+    daily = _daily(spark, sf_dir).groupBy("chrom", "day").agg((F.sum("q") + 1).cast("double").alias("value"))
+    known = daily.groupBy("chrom", F.floor(F.col("day") / 32).alias("block_idx")).agg(F.map_from_entries(F.collect_list(F.struct((F.col("day") % 32).cast("int"), "value"))).alias("v"))
+    values = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.coalesce(F.try_element_at("v", k), F.lit(0.0)))
+    out = _elements(spark, sf_dir, known.select("chrom", "block_idx", values.alias("values")))
+    return out.select("token_id", "summit", F.round(F.col("atac_signal").cast("double"), 3).alias("atac_signal"), "tss_distance")
+
+
+def _elements(spark, sf_dir, atac=None):
     daily = _daily(spark, sf_dir)
     name = F.when(F.col("track") == "O", "h3k4me3").otherwise("h3k27ac")
     both = daily.groupBy("chrom", "day").agg(F.sum("q").alias("q")).select("chrom", F.lit("ctcf").alias("name"), "day", "q")
@@ -78,7 +90,7 @@ def _elements(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     at = F.element_at(F.array(*map(F.lit, "ANR")), (F.col("p_partkey") % 3 + 1).cast("int"))
     tss = p.select(at.alias("chrom"), ((F.col("p_partkey") * 31) % 400).alias("pos"), F.concat(F.lit("g"), F.col("p_partkey").cast("string")).alias("name"), F.col("p_partkey").alias("ord"))
-    return pipelines.element_tokens(found, signal, tss, 1, ["h3k4me3", "h3k27ac", "ctcf"])
+    return pipelines.element_tokens(found, signal, tss, 1, ["h3k4me3", "h3k27ac", "ctcf"], atac, 32)
 
 
 @query(f"""WITH {ELEMENTS} SELECT CASE WHEN {_HIGH["x"]} AND dist <= 200 THEN 'PLS' WHEN {_HIGH["x"]} THEN 'DNase-H3K4me3' WHEN {_HIGH["y"]} AND dist <= 2000 THEN 'pELS' WHEN {_HIGH["y"]} THEN 'dELS' WHEN {_HIGH["t"]} THEN 'CTCF-only' ELSE 'low-DNase' END AS ccre_class,
@@ -371,12 +383,10 @@ UNION ALL SELECT 'Hi-C', accession, biosample, '', count(*), count(DISTINCT chro
 def portal_summary(spark, sf_dir):
     """Tokens of all experiments of both kinds, written by assay and experiment, read back merged and summed up."""
     path = new_path(spark, "portal")
-    found = portal.finish_peaks(_experiment_peaks(spark, sf_dir).drop("token_id"))
-    slugged = found.withColumn("assay_slug", N.assay_slug("assay"))
-    sinks.write_tokens(slugged, f"{path}/peaks", ("assay_slug", "experiment_accession"))
-    sinks.write_tokens(_contacts(spark, sf_dir)[1], f"{path}/hi_c", ("experiment_accession",))
-    summary = portal.summarise_all(sinks.read_tokens(spark, f"{path}/peaks"), sinks.read_tokens(spark, f"{path}/hi_c"))
-    return summary.withColumn("median_auc", F.round(F.nanvl(F.col("median_auc").cast("double"), F.lit(-1.0)), 3))
+    portal.write_all(portal.finish_peaks(_experiment_peaks(spark, sf_dir).drop("token_id")), _contacts(spark, sf_dir)[1], path)
+    schema = "assay string, experiment_accession string, biosample string, target string, n_tokens long, n_chroms long, median_auc double"
+    summary = spark.read.schema(schema).csv(f"{path}/summary", sep="\t", header=True, nanValue="NaN", emptyValue="").na.fill("", ["target"])
+    return summary.withColumn("median_auc", F.round(F.nanvl("median_auc", F.lit(-1.0)), 3))
 
 
 @query(f"""WITH {AREAS} SELECT accession AS experiment_accession, count(*) AS n, count(*) FILTER (WHERE auc IS NULL) AS n_missing, count(DISTINCT chrom) AS n_tracks FROM t GROUP BY 1""")
@@ -451,3 +461,65 @@ def nearest_unknown_partition(spark, sf_dir):
     q = table(spark, sf_dir, "orders").where("o_orderkey % 10 = 0").select(F.lit("none").alias("chrom"), F.col("o_custkey").alias("query_id"), F.col("o_orderkey").alias("pos"))
     p = table(spark, sf_dir, "part").select(F.lit("some").alias("chrom"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("name"), F.col("p_partkey").alias("ord"))
     return nearest.nearest_point(q, p)
+
+
+# ---- corners: numbers as text, white space, windows without tracks, names by chromosome, NaN ----
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber WHEN 1 THEN q WHEN 2 THEN q * 100 WHEN 3 THEN q WHEN 4 THEN 0 WHEN 5 THEN -q WHEN 6 THEN 0 ELSE 9007199254740993 + l_orderkey END AS whole,
+CASE l_linenumber WHEN 1 THEN CAST(q + 0.5 AS DOUBLE) WHEN 2 THEN q * 100 WHEN 3 THEN q WHEN 4 THEN -1 WHEN 5 THEN -q - 0.5 WHEN 6 THEN 0.5 ELSE -2 END AS real
+FROM (SELECT *, CAST(l_quantity AS BIGINT) AS q FROM lineitem)""")
+def numbers_as_text(spark, sf_dir):
+    """Whole numbers are cut from any number and exact beyond 2**53; what only a programming language would call a number is none."""
+    line, q, n = table(spark, sf_dir, "lineitem"), F.col("l_quantity").cast("long").cast("string"), F.col("l_linenumber")
+    big = (F.lit(9007199254740993) + F.col("l_orderkey")).cast("string")
+    given = F.when(n == 1, F.concat(q, F.lit(".5"))).when(n == 2, F.concat(q, F.lit("e2"))).when(n == 3, F.concat(F.lit(" "), q, F.lit(" "))).when(n == 4, F.concat(q, F.lit("d"))).when(n == 5, F.concat(F.lit("-"), q, F.lit(".5"))).when(n == 6, F.lit(".5")).otherwise(big)
+    rows = line.select("l_orderkey", "l_linenumber", "l_partkey", N.lenient_long(given).alias("whole"), F.nanvl(N.lenient_float(given), F.lit(-1.0).cast("float")).cast("double").alias("real"))
+    return rows.withColumn("real", F.when(n > 6, -2.0).otherwise(F.col("real")))
+
+
+@query("""SELECT 'chr' || l_suppkey AS chrom, l_partkey AS start, l_partkey + 9 AS "end", CASE WHEN l_linenumber = 3 THEN '-1' ELSE 'n' END AS name, CASE WHEN l_linenumber = 4 THEN 5 ELSE -1 END AS score, '-1' AS strand FROM lineitem WHERE l_linenumber < 5""")
+def narrow_peak_white_space(spark, sf_dir):
+    """Blanks and tabs around a line go; a line of nothing else is none; fractions are cut."""
+    n, chrom, start = F.col("l_linenumber"), F.concat(F.lit("chr"), F.col("l_suppkey").cast("string")), F.col("l_partkey").cast("string")
+    end = (F.col("l_partkey") + 9).cast("string")
+    core = lambda *more: F.concat_ws("\t", chrom, start, end, *map(F.lit, more))
+    value = F.when(n == 1, F.concat(F.lit("\t "), core("n"), F.lit("\t"))).when(n == 2, F.concat(core("n"), F.lit(" \t\t"))).when(n == 3, core()).when(n == 4, F.concat(F.concat_ws("\t", chrom, F.concat(start, F.lit(".7")), end, F.lit("n\t5.2"))))
+    lines = table(spark, sf_dir, "lineitem").select(value.otherwise(F.when(n == 5, F.lit("\t")).when(n == 6, F.lit(" \t# no peak")).otherwise(F.lit("\ttrack name"))).alias("value"))
+    return text.parse_narrow_peak(lines).select("chrom", "start", "end", "name", "score", "strand")
+
+
+@query(f"""WITH {MATRIX} SELECT 'contact:t:v:' || i || ':' || j AS token_id, i AS bin1_start, j AS bin2_start, f AS contact_freq
+FROM cell WHERE k > 0 AND k < n - 1 AND i >= x0 AND i < x1 AND j >= x0 AND j < x1 AND i <= j AND f >= 0.001""")
+def windows_without_tracks(spark, sf_dir):
+    """The first and the last window file have no track: the others still are inner ones."""
+    rows, windows = _matrix_rows(spark, sf_dir)
+    path = F.concat(F.lit("/maps/v_"), F.col("start").cast("string"), F.lit("_"), F.col("end").cast("string"), F.lit(".npz"))
+    files = arrays.window_files(windows.select(path.alias("path"))).select("chrom", "start", "end")
+    inner = windows.where("window_idx > 0 AND window_idx < n_windows - 1").select("window_idx", "start", "end")
+    held = rows.join(inner, "window_idx").select("chrom", "start", "end", F.col("track").alias("track_name"), "row_idx", "row")
+    return matrices.contact_window_tokens(held, 1, 16, 1e-3, files).select("token_id", "bin1_start", "bin2_start", "contact_freq")
+
+
+@query(f"""WITH {MATRIX}, t AS (SELECT i, round(sum(CASE WHEN f >= 0.0001 THEN f ELSE 0 END), 8) AS total FROM cell GROUP BY 1)
+SELECT 'v' AS chrom, i AS bin, 'contact_total' AS name, total AS value FROM t UNION ALL SELECT 'w', i, 'contact_total_t', total FROM t UNION ALL SELECT 'w', i, 'contact_total_u_x', total FROM t""")
+def contact_totals_by_chromosome(spark, sf_dir):
+    """A chromosome with one track has a plain name, one with two has both names."""
+    rows, windows = _matrix_rows(spark, sf_dir)
+    named = lambda c, t: F.struct(F.lit(c).alias("c"), F.lit(t).alias("t"))
+    tracks_ = rows.withColumn("at", F.explode(F.array(named("v", "t"), named("w", "t"), named("w", "U x"))))
+    both = windows.withColumn("chrom", F.explode(F.array(F.lit("v"), F.lit("w"))))
+    out = matrices.contact_totals(tracks_.select(F.col("at.c").alias("chrom"), "window_idx", F.col("at.t").alias("track"), "row_idx", "row"), both, 1)
+    return out.select("chrom", "bin", "name", F.round("value", 8).alias("value"))
+
+
+@query(f"""WITH {ORDER_TRACKS}, s AS (SELECT chrom, bin, track_idx, sum(value) AS value FROM t GROUP BY 1, 2, 3)
+SELECT chrom, bin, name, CASE WHEN bool_or(track_idx = 4) AND name = 'odd' THEN -1 ELSE round(sum(CASE WHEN track_idx = 4 THEN 0 ELSE value END) / CASE name WHEN 'odd' THEN 2 ELSE 3 END, 3) END AS value
+FROM (SELECT *, CASE WHEN track_idx IN (1, 4) THEN 'odd' ELSE 'even' END AS name FROM s) GROUP BY 1, 2, 3""")
+def features_with_nan(spark, sf_dir):
+    """The mean of a feature's tracks: one that lacks a bin counts as 0, NaN (here -1) stays."""
+    signal = _order_tracks(spark, sf_dir).groupBy("chrom", "bin", "track_idx").agg(F.sum("value").alias("value")).withColumn("value", F.when(F.col("track_idx") == 4, F.lit(float("nan"))).otherwise(F.col("value")))
+    numbers = signal.select("track_idx").distinct()
+    names = numbers.select("track_idx", F.lit("x").alias("name"), F.when(F.col("track_idx").isin(1, 4), "odd").otherwise("even").alias("transcription_factor"))
+    out = matrices.assay_columns(signal, names, "chip_tf")
+    return out.select("chrom", "bin", "name", F.round(F.nanvl("value", F.lit(-1.0)), 3).alias("value"))

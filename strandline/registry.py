@@ -497,7 +497,8 @@ SELECT 'chr' || c AS chrom, CASE WHEN plus THEN s - 1 ELSE s + p_size - 1 END AS
 def tss_table(spark, sf_dir):
     p, start = table(spark, sf_dir, "part"), (F.col("p_partkey") * 31) % 100000 + 1
     name = F.when(F.col("p_partkey") % 5 == 0, F.lit("")).otherwise(F.concat(F.lit(' gene_name "g'), F.col("p_brand"), F.lit('";')))
-    tag = F.when(F.col("p_type") == "PROMO", F.lit(' tag "MANE_Select"; tag "basic";')).otherwise(F.lit(' tag "basic"; tag "MANE_Select";'))
+    mane = F.when(F.col("p_partkey") % 2 == 0, F.lit(' tag "MANE_Select"; tag "basic";')).otherwise(F.lit(' tag "MANE Select"; tag "basic";'))
+    tag = F.when(F.col("p_type") == "PROMO", mane).otherwise(F.lit(' tag "basic"; tag "MANE_Select";'))
     attributes = F.concat(F.lit('gene_id "'), F.col("p_brand"), F.lit('.3"; transcript_id "T'), F.col("p_partkey").cast("string"), F.lit('.1";'), name, tag)
     strand = F.when(F.col("p_partkey") % 2 == 0, "+").otherwise("-")
     lines = p.select(F.concat_ws("\t", F.concat(F.lit("chr"), (F.col("p_partkey") % 7).cast("string")), F.lit("x"), F.lit("transcript"), start.cast("string"), (start + F.col("p_size")).cast("string"), F.lit("."), strand, F.lit("."), attributes).alias("value"), F.col("p_partkey").alias("line_no"))

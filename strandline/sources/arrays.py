@@ -45,23 +45,33 @@ def read_contacts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def decode_contacts(files: DataFrame) -> DataFrame:
-    """Contact window files (path {chrom}_{start}_{end}.npz, content; in it values: bins x bins x tracks) as matrix rows; other names are left out."""
+    """Contact window files (path {chrom}_{start}_{end}.npz, content; in it values: bins x bins x tracks) as matrix rows; other names are left out.
+
+    A file without tracks, or with values of another shape, gives no rows (see window_files); tracks without names are called contact_track_0 and so on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content, chrom, start, end in zip(*(batch.column(c).to_pylist() for c in ("path", "content", "chrom", "start", "end"))):
                 data = np.load(io.BytesIO(content), allow_pickle=False)
-                values, names = data["values"], [str(x) for x in data["track_names"]]
-                n = len(values)
+                values = data["values"]
+                if values.ndim != 3:
+                    continue
+                n, n_tracks = len(values), values.shape[2]
+                names = [str(x) for x in data["track_names"]] if "track_names" in data else [f"contact_track_{t}" for t in range(n_tracks)]
                 for t, name in enumerate(names):
                     columns = [[file] * n, [chrom] * n, [start] * n, [end] * n, [int(data["resolution"])] * n, [t] * n, [name] * n, list(range(n)), list(values[:, :, t])]
                     types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.list_(pa.float32())]
                     yield pa.RecordBatch.from_arrays([pa.array(v, t_) for v, t_ in zip(columns, types)], names=["file", "chrom", "start", "end", "resolution", "track_idx", "track_name", "row_idx", "row"])
 
+    return window_files(files).mapInArrow(run, CONTACTS)
+
+
+def window_files(files: DataFrame) -> DataFrame:
+    """Files named like contact windows: their columns, and chrom, start, end from the name.  Where only these are selected, no content is read."""
     name = F.regexp_extract("path", r"([^/]+)\.npz$", 1)
     part = lambda k: F.regexp_extract(name, r"^(.+)_(\d+)_(\d+)$", k)
-    files = files.select("path", "content", part(1).alias("chrom"), part(2).alias("s"), part(3).alias("e"))
-    return files.where("chrom != ''").select("path", "content", "chrom", F.col("s").cast("long").alias("start"), F.col("e").cast("long").alias("end")).mapInArrow(run, CONTACTS)
+    return files.where(part(1) != "").withColumns({"chrom": part(1), "start": part(2).cast("long"), "end": part(3).cast("long")})
 
 
 def read_track_names(spark: SparkSession, path: str) -> DataFrame:

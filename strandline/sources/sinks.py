@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 TSV_ROWS = 10_000
 
 
 def write_tokens(tokens: DataFrame, path: str, partitions: tuple[str, ...] = ("chrom",), order: tuple[str, ...] = ("token_id",), tsv: bool = True) -> None:
-    """Parquet by partition, of which only those present are replaced, and the first TSV_ROWS rows as a readable table."""
-    writer = tokens.repartition(*partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Parquet by partition, of which only those present are replaced, and the first TSV_ROWS rows as a readable table.
+
+    tokens are evaluated once: the readable rows come from what was written.  Rows are brought together by partition, a large one in several tasks (and files) of
+    spark.sql.adaptive.advisoryPartitionSizeInBytes.  The partitions that were written, as many as folders, are noted on the way.
+    """
+    seen = Observation()
+    noted = tokens.observe(seen, F.collect_set(F.struct(*partitions)).alias("partitions"))
+    writer = noted.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions).parquet(f"{path}/tokens")
     if tsv:
-        tokens.orderBy(*order).limit(TSV_ROWS).write.mode("overwrite").csv(f"{path}/tsv", sep="\t", header=True)
+        back = read_tokens(tokens.sparkSession, path, tokens)
+        same = lambda p: reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(p[c])) for c in partitions))
+        fresh = reduce(Column.__or__, map(same, seen.get["partitions"]), F.lit(False))
+        back.where(fresh).orderBy(*order).limit(TSV_ROWS).write.mode("overwrite").csv(f"{path}/tsv", sep="\t", header=True)
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """All partitions together."""
-    return spark.read.parquet(f"{path}/tokens")
+def read_tokens(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
+    """All partitions together, with the columns and types of ``like`` if given."""
+    return spark.read.schema(like.schema).parquet(f"{path}/tokens").select(*like.columns) if like is not None else spark.read.parquet(f"{path}/tokens")
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.functions.naming import gtf_attribute, lenient_float, lenient_long, strand_position, without_version
+from strandline.functions.naming import gtf_attribute, lenient_float, lenient_long, strand_position, whole_number, without_version
 
 #: The columns of a narrowPeak line and their types.
 NARROW_PEAK = (
@@ -15,11 +15,11 @@ NARROW_PEAK = (
 
 
 def parse_narrow_peak(lines: DataFrame, lenient: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
-    """narrowPeak lines as typed columns; comment, header and blank lines go, short lines are filled up with -1.
+    """narrowPeak lines as typed columns; comment, header and blank lines go, white space around a line too; short lines are filled up with -1.
 
-    A malformed whole number is an error unless lenient (then 0); a malformed float is NaN.
+    Whole numbers are cut from any number (12.7 is 12); what is none is an error unless lenient (then 0); a malformed float is NaN.
     """
-    kept = lines.withColumn("_line", F.trim("value")).where(~F.col("_line").rlike(r"^(#|track|browser)|^$"))
+    kept = lines.withColumn("_line", F.regexp_replace("value", r"(?U)^\s+|\s+$", "")).where(~F.col("_line").rlike(r"^(#|track|browser)|^$"))
     parts = F.split("_line", "\t")
     filled = F.concat(parts, F.array_repeat(F.lit("-1"), F.greatest(F.lit(len(NARROW_PEAK)) - F.size(parts), F.lit(0))))
     rows = kept.select(*extra, filled.alias("p"))
@@ -30,7 +30,8 @@ def parse_narrow_peak(lines: DataFrame, lenient: bool = False, extra: tuple[str,
             return raw.alias(name)
         if kind == "float":
             return lenient_float(raw).alias(name)
-        return (lenient_long(raw).cast(kind) if lenient else raw.cast(kind)).alias(name)
+        strict = F.coalesce(whole_number(raw), F.raise_error(F.concat(F.lit(f"no whole number in column {name}: "), raw)).cast("bigint"))
+        return (lenient_long(raw) if lenient else strict).cast(kind).alias(name)
 
     return rows.select(*extra, *(column(k, n, t) for k, (n, t) in enumerate(NARROW_PEAK)))
 
