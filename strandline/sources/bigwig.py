@@ -131,7 +131,9 @@ class BigWigReader(DataSourceReader):
                 out.append(Blocks(path, index.names, run, index.unpacked > 0, index.order))
         return out
 
-    def read(self, partition: Blocks) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Blocks | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # there is no block to read
+            return
         names = ["file", "accession", "chrom", "start", "end", "value"]
         with opened(partition.path) as file:
             for place, size in partition.blocks:
