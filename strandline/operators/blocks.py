@@ -24,12 +24,36 @@ def key_fields(df: DataFrame, keys: tuple[str, ...]) -> list[str]:
     return [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys]
 
 
-def from_rows(signal: DataFrame, keys: tuple[str, ...] = ("chrom", "track"), block: int = BLOCK) -> DataFrame:
-    """Blocks of a dense signal in rows (keys, bin, value)."""
+def from_rows(signal: DataFrame, keys: tuple[str, ...] = ("chrom", "track"), block: int = BLOCK, sizes: DataFrame | None = None) -> DataFrame:
+    """Blocks of a signal in rows (keys, bin, value): of a dense one; with sizes (keys[0], n_bins) of any, in which absent bins count as 0 and bins beyond the end go."""
+    if sizes is not None:
+        return _filled(signal, sizes, keys, block)
     rows = signal.groupBy(*keys, F.floor(F.col("bin") / block).alias("block_idx")).agg(F.array_sort(F.collect_list(F.struct("bin", F.col("value").cast("double").alias("value")))).alias("v"))
     return rows.select(*keys, "block_idx", F.transform("v", lambda s: s["value"]).alias("values"))
 
 
+def _filled(signal: DataFrame, sizes: DataFrame, keys: tuple[str, ...], block: int) -> DataFrame:
+    at = F.floor(F.col("bin") / block).alias("block_idx")
+    rows = signal.select(*keys, at, "bin", F.col("value").cast("double").alias("value"), F.lit(None).cast("long").alias("n"))
+    length = F.least(F.lit(block).cast("long"), F.col("n_bins") - F.col("block_idx") * block).alias("n")
+    all_ = signal.select(*keys).distinct().join(sizes.where("n_bins > 0").select(keys[0], F.col("n_bins").cast("long").alias("n_bins")), keys[0])
+    all_ = all_.withColumn("block_idx", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_bins") - 1) / block))))
+    rows = rows.unionByName(all_.select(*keys, "block_idx", F.lit(None).cast("long").alias("bin"), F.lit(None).cast("double").alias("value"), length))
+
+    def fill(key: tuple, table: pa.Table) -> pa.Table:
+        names = [*keys, "block_idx", "values"]
+        n = max((v for v in table.column("n").to_pylist() if v is not None), default=0)
+        held = table.filter(table.column("n").is_null())
+        bins, x = held.column("bin").to_numpy() - key[-1].as_py() * block, np.zeros(n)
+        inside = bins < n
+        x[bins[inside]] = held.column("value").fill_null(0.0).to_numpy()[inside]
+        columns = [*(pa.array([k.as_py()] * (n > 0), k.type) for k in key), list_of([x] if n else [])]
+        return pa.table(columns, names=names)
+
+    schema = ", ".join([*key_fields(signal, keys), "block_idx long, values array<double>"])
+    return rows.groupBy(*keys, "block_idx").applyInArrow(fill, schema)
+
+
 def to_rows(blocks: DataFrame, keys: tuple[str, ...] = ("chrom", "track"), block: int = BLOCK) -> DataFrame:
     """A row a bin: keys, bin, value."""
     each = blocks.select(*keys, "block_idx", F.posexplode("values").alias("i", "value"))

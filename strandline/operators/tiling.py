@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +48,29 @@ def assign_batches(windows: DataFrame, batch_size: int = 10) -> DataFrame:
     return windows.withColumn("batch", F.floor(F.col("window_idx") / batch_size))
 
 
+def whole_batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One record batch for each batch of assign_batches, from sorted rows that Spark may have cut anywhere."""
+    held: list[pa.RecordBatch] = []
+    of = None
+
+    def joined() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]  # some windows
+
+    for part in rows:
+        keys = list(zip(part.column("chrom").to_pylist(), part.column("batch").to_pylist()))
+        a = 0
+        for b in range(1, len(keys) + 1):
+            if b < len(keys) and keys[b] == keys[a]:
+                continue
+            if held and keys[a] != of:
+                yield joined()
+                held = []
+            held.append(part.slice(a, b - a))
+            of, a = keys[a], b
+    if held:
+        yield joined()
+
+
 def keep_ranges(windows: DataFrame, stride: int = STRIDE, gapless: int | None = None) -> DataFrame:
     """Adds keep_start, keep_end: the part of each window that the stitched track takes.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import naming as N
-from strandline.operators import binning, classify, experiments, intervals, nearest, peaks, smoothing, tiling
+from strandline.operators import blocks, classify, experiments, intervals, nearest, peaks, tiling
 
 #: Columns of the token tables, in order.
 PEAK_TOKENS = ["token_id", "chrom", "start", "end", "summit", "auc", "signal_value", "prominence", "track_name", "assay"]
@@ -35,20 +35,28 @@ def predict_tracks(
     sizes: DataFrame, predictor: Callable, schema: str, resolution: int, window: int = tiling.WINDOW, stride: int = tiling.STRIDE, batch: int = 10, done: DataFrame | None = None
 ) -> DataFrame:
     """Tile, predict, stitch.  predictor: a mapInArrow function from windows (with model_start and model_end, their extent for a model of fixed
-    length) to (chrom, window_idx, track, local_bin, value).  Chromosomes in done (chrom) are left out."""
+    length) to (chrom, window_idx, track, local_bin, value).  It is called once in a task, so it can load its model before the first batch, and gets each batch of
+    ``batch`` windows (the last of a chromosome: what is left) whole, as one record batch.  Chromosomes in done (chrom) are left out."""
     sizes = experiments.still_to_do(sizes, done, ["chrom"]) if done is not None else sizes
     windows = tiling.generate_windows(sizes, window, stride)
     batches = tiling.assign_batches(tiling.model_windows(windows, window), batch)
-    return tiling.stitch(batches.repartition("chrom", "batch").mapInArrow(predictor, schema), windows, resolution, stride)
+    dealt = batches.repartition("chrom", "batch").sortWithinPartitions("chrom", "batch", "window_idx")
+    return tiling.stitch(dealt.mapInArrow(lambda rows: predictor(tiling.whole_batches(rows)), schema), windows, resolution, stride)
 
 
 def peak_tokens(signal: DataFrame, names: DataFrame, sizes: DataFrame, assay: str, source: int, target: int, sigma: float = 3.0) -> DataFrame:
-    """Pool to the target resolution, smooth, call peaks, name.  signal: chrom, track, bin, value; names: track, track_name; sizes: chrom, chrom_size."""
-    n = sizes.select("chrom", F.ceil(F.col("chrom_size") / source).alias("n_bins"))
-    if target > source:
-        signal = binning.mean_pool(signal, n, target // source)
-        n = n.select("chrom", F.floor(F.col("n_bins") / (target // source)).alias("n_bins"))
-    found = peaks.call_peaks(smoothing.gaussian_smooth(signal, n, sigma), max(source, target))
+    """Pool to the target resolution, smooth, call peaks, name.  names: track, track_name; sizes: chrom, chrom_size.
+
+    signal: blocks (chrom, track, block_idx, values) of blocks.BLOCK bins, or rows (chrom, track, bin, value), which are brought into blocks first.  From there on no bin is a row.
+    """
+    factor = max(1, target // source)
+    block = blocks.BLOCK // factor * factor
+    if "values" not in signal.columns:
+        signal = blocks.from_rows(signal, ("chrom", "track"), block, sizes.select("chrom", F.ceil(F.col("chrom_size") / source).alias("n_bins")))
+    elif block != blocks.BLOCK:
+        raise ValueError("blocks must hold whole tiles")
+    smooth = blocks.smooth(blocks.pool(signal, factor, block), sigma, block // factor)
+    found = peaks.call_peaks(smooth, max(source, target), block=block // factor)
     out = found.join(names, "track").withColumn("assay", F.lit(assay))
     out = out.withColumn("token_id", N.peak_token_id("assay", "track_name", "chrom", "start", "end"))
     return experiments.ordered_columns(out, PEAK_TOKENS)

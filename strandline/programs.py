@@ -9,10 +9,10 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from strandline.functions import naming as N
-from strandline.operators import classify, contacts, experiments, nearest, peaks, tiling
+from strandline.operators import blocks, classify, contacts, experiments, nearest, peaks, tiling
 from strandline.plans import matrices, pipelines, portal
 from strandline.registry import DAILY, FILES_SQL, MATRIX, ORDER_TRACKS, TRACKS, _daily, _matrix_rows, _nation_sizes, _nested_files, _order_tracks, hours, peaks_sql, query, smooth_sql, table, tracks
-from strandline.sources import arrays, sinks, text
+from strandline.sources import arrays, bigwig, files, npz, sinks, text
 from strandline.storage import new_path
 
 # ---- peaks of tracks, from fine bins to named tokens ----
@@ -195,6 +195,49 @@ def track_files(spark, sf_dir):
     return signal.join(names, "track_idx").select(F.substring("name", 4, 100).alias("track"), "name", "bin", F.col("value").cast("double").alias("value"))
 
 
+@query(f"WITH {TRACKS} SELECT track, bin, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM tracks")
+def track_archives(spark, sf_dir):
+    """A file for each track, written block by block with a commit at the end, and read back in ranges of rows."""
+    path, signal = new_path(spark, "archives"), tracks(spark, sf_dir)
+    n = hours(spark, sf_dir).select(F.lit(1).alias("one"), "n_bins")
+    dense = blocks.from_rows(signal.withColumn("one", F.lit(1)), ("one", "track"), 100, n)
+    rows = dense.join(n, "one").select(F.lit("events").alias("assay"), F.col("track").alias("chrom"), F.col("n_bins").alias("chrom_size"), F.lit(1).alias("resolution"), F.lit(0).alias("track_idx"), "block_idx", "values")
+    npz.write_tracks(rows, path)
+    back = arrays.long_form(npz.read_tracks(spark, path, 64, 400), 64)
+    return back.select(F.col("chrom").alias("track"), "bin", F.col("value").cast("double").alias("value"))
+
+
+@query(f"""WITH {DAILY} SELECT chrom AS accession, track AS chrom, day AS start, day + 1 AS "end", CAST(q AS DOUBLE) AS value FROM d WHERE track = 'O' OR day BETWEEN 100 AND 299""")
+def bigwig_ranges(spark, sf_dir):
+    """A binary file for each return flag, written by tasks; of one chromosome all is read, of the other a range."""
+    path = new_path(spark, "bigwig")
+    daily = _daily(spark, sf_dir).where("day >= 0")
+
+    def pack(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.sort_by([("track", "ascending"), ("day", "ascending")])
+        rows = [(c, d, d + 1, float(q)) for c, d, q in zip(*(t.column(c).to_pylist() for c in ("track", "day", "q")))]
+        system, at = files.located(f"{path}/{key[0].as_py()}.bw")
+        system.create_dir(at.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(at) as out:
+            out.write(bigwig.encode([("F", 10_000), ("O", 10_000)], rows))
+        return pa.table({"rows": [len(rows)]})
+
+    daily.groupBy("chrom").applyInArrow(pack, "rows long").count()
+    parts = bigwig.read_bigwig(spark, path, "O", part_bytes=2000).unionByName(bigwig.read_bigwig(spark, path, "F", 100, 300, 2000))
+    return parts.select("accession", "chrom", "start", "end", F.col("value").cast("double").alias("value"))
+
+
+@query("""SELECT CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber AS token_id, 'c' || l_suppkey % 5 AS chrom, l_partkey AS start FROM lineitem""")
+def resumed_tokens(spark, sf_dir):
+    """Two chromosomes are done, a third is left half written by a run that was killed: the next run writes what is missing, each partition once."""
+    line, path = table(spark, sf_dir, "lineitem"), new_path(spark, "resumed")
+    tokens = line.select(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("token_id"), F.concat(F.lit("c"), (F.col("l_suppkey") % 5).cast("string")).alias("chrom"), F.col("l_partkey").alias("start"))
+    sinks.write_missing(tokens.where("chrom IN ('c0', 'c1')"), path)
+    tokens.where("chrom = 'c2' AND start % 2 = 0").write.mode("append").partitionBy("chrom").parquet(f"{path}/data")
+    sinks.write_missing(tokens, path)
+    return sinks.read_committed(spark, path, ("chrom",), tokens)
+
+
 @query(f"WITH {TRACKS} SELECT track, bin // 100 AS block_idx, count(*) AS n, round(sum(CAST(value AS FLOAT)), 3) AS total FROM tracks GROUP BY 1, 2")
 def track_blocks(spark, sf_dir):
     """Tracks written as blocks by assay and chromosome, and read back."""

@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.operators import experiments
+from strandline.sources.files import located
+
 TSV_ROWS = 10_000
 
 
+def _partitions(seen: Observation) -> list:
+    """The partitions noted while rows were written; none where Spark found no row to write, and so nothing to note."""
+    try:
+        return seen.get["partitions"]
+    except Py4JJavaError:
+        return []
+
+
 def write_tokens(tokens: DataFrame, path: str, partitions: tuple[str, ...] = ("chrom",), order: tuple[str, ...] = ("token_id",), tsv: bool = True) -> None:
     """Parquet by partition, of which only those present are replaced, and the first TSV_ROWS rows as a readable table.
 
@@ -23,10 +35,43 @@ def write_tokens(tokens: DataFrame, path: str, partitions: tuple[str, ...] = ("c
     if tsv:
         back = read_tokens(tokens.sparkSession, path, tokens)
         same = lambda p: reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(p[c])) for c in partitions))
-        fresh = reduce(Column.__or__, map(same, seen.get["partitions"]), F.lit(False))
+        fresh = reduce(Column.__or__, map(same, _partitions(seen)), F.lit(False))
         back.where(fresh).orderBy(*order).limit(TSV_ROWS).write.mode("overwrite").csv(f"{path}/tsv", sep="\t", header=True)
 
 
+def committed(spark: SparkSession, path: str, keys: tuple[str, ...], like: DataFrame) -> DataFrame:
+    """The partitions of a table that are whole (keys, n_rows): those that its manifest names."""
+    schema = ", ".join([*(f"`{k}` {like.schema[k].dataType.simpleString()}" for k in keys), "n_rows long"])
+    system, at = located(f"{path}/manifest")
+    if system.get_file_info(at).type.name == "NotFound":
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/manifest").groupBy(*keys).agg(F.max("n_rows").alias("n_rows"))
+
+
+def write_missing(rows: DataFrame, path: str, keys: tuple[str, ...] = ("chrom",)) -> DataFrame:
+    """Rows of the partitions that aren't committed yet, written by partition; then they are committed: a line a partition in the manifest, after all data.
+
+    What a killed run left behind is in no manifest, so the next run replaces it: each partition stands once, whole.  Returns the partitions written now.  rows are evaluated once,
+    and of them only those partitions that are missing (an anti join on keys, which reaches a source that is dealt by them).
+    """
+    spark = rows.sparkSession
+    todo = experiments.still_to_do(rows, committed(spark, path, keys, rows), list(keys))
+    seen = Observation()
+    noted = todo.observe(seen, F.collect_set(F.struct(*keys)).alias("partitions"))
+    writer = noted.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(f"{path}/data")
+    now = spark.createDataFrame(_partitions(seen), ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys))  # as many as folders
+    kept = spark.read.schema(rows.schema).parquet(f"{path}/data").join(F.broadcast(now), list(keys), "left_semi").groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    kept.write.mode("append").parquet(f"{path}/manifest")
+    return now
+
+
+def read_committed(spark: SparkSession, path: str, keys: tuple[str, ...], like: DataFrame) -> DataFrame:
+    """The rows of committed partitions alone."""
+    rows = spark.read.schema(like.schema).parquet(f"{path}/data").select(*like.columns)
+    return rows.join(committed(spark, path, keys, like), list(keys), "left_semi")
+
+
 def read_tokens(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
     """All partitions together, with the columns and types of ``like`` if given."""
     return spark.read.schema(like.schema).parquet(f"{path}/tokens").select(*like.columns) if like is not None else spark.read.parquet(f"{path}/tokens")

@@ -57,3 +57,98 @@ def test_stream_equals_batch(spark, tmp_path):
     q.stop()
     got = sorted(tuple(r) for r in spark.sql("SELECT track, start, value, n FROM bins_out").collect())
     assert got == sorted(tuple(r) for r in bins.stream_bins(df).select("track", "start", "value", "n").collect())
+
+
+def test_predictor_gets_whole_batches(spark, tmp_path):
+    """Each batch comes once and whole, whatever Spark's record batches are; a predictor starts once a task."""
+    import pyarrow as pa
+
+    from strandline.operators import tiling
+    from strandline.plans import pipelines
+
+    log = str(tmp_path)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+
+        def predictor(batches):
+            import uuid
+
+            with open(f"{log}/{uuid.uuid4().hex}", "w") as out:  # one file a call
+                for b in batches:
+                    out.write(f"{b.column('chrom')[0]} {b.column('batch')[0]} {' '.join(map(str, b.column('window_idx').to_pylist()))}\n")
+                    yield pa.RecordBatch.from_arrays([b.column("chrom"), b.column("window_idx"), pa.array(["t"] * b.num_rows), pa.array([0] * b.num_rows), pa.array([1.0] * b.num_rows)], names=["chrom", "window_idx", "track", "local_bin", "value"])
+
+        sizes = spark.createDataFrame([("a", 2700), ("b", 100), ("c", 1010)], "chrom string, chrom_size long")
+        pipelines.predict_tracks(sizes, predictor, "chrom string, window_idx long, track string, local_bin long, value double", 100, 100, 100, batch=10).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = sorted(line.strip() for f in tmp_path.iterdir() for line in f.read_text().splitlines())
+    expect = [f"{c} {k // 10} {' '.join(map(str, range(k, min(k + 10, n))))}" for c, n in (("a", 27), ("b", 1), ("c", 11)) for k in range(0, n, 10)]
+    assert got == sorted(expect)
+
+
+def test_feature_matrices_have_no_cross_join(spark):
+    from strandline.plans import matrices
+
+    signal = spark.createDataFrame([("a", t, b, float(t + b)) for t in range(3) for b in range(8)], "chrom string, track_idx int, bin long, value double")
+    names = spark.createDataFrame([(0, "Histone ChIP-seq H3K4me3", ""), (1, "Histone ChIP-seq H3K27ac", ""), (2, "Histone ChIP-seq H3K27ac", "")], "track_idx int, name string, transcription_factor string")
+    sizes = spark.createDataFrame([("a", 8), ("b", 2)], "chrom string, chrom_size long")
+    out = matrices.fixed_bin_tokens({"chip_histone": (signal, names, 1), "atac": (signal.where("track_idx = 0"), names.where("track_idx = 0"), 1)}, sizes, 1)
+    plan = out._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert out.columns == ["chrom", "start", "end", "atac", "h3k27ac", "h3k4me3"]
+    assert [tuple(r)[3:] for r in out.where("chrom = 'a' AND start < 2").orderBy("start").collect()] == [(0.0, 1.5, 0.0), (1.0, 2.5, 1.0)]
+    assert [tuple(r)[3:] for r in out.where("chrom = 'b'").collect()] == [(0.0, 0.0, 0.0)] * 2
+
+
+def test_tokens_are_evaluated_once_and_split(spark, tmp_path):
+    """A counter on the source: one evaluation for Parquet and readable rows; a large partition comes in several files."""
+    from pyspark.sql import functions as F
+
+    from strandline.sources import sinks
+
+    met = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            met.add(b.num_rows)
+            yield b
+
+    rows = spark.range(60_000).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("token_id"), F.when(F.col("id") % 20 == 0, "small").otherwise("large").alias("chrom"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        sinks.write_tokens(rows.mapInArrow(count, rows.schema), str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert met.value == 60_000
+    assert len([f for f in (tmp_path / "tokens" / "chrom=large").iterdir() if f.suffix == ".parquet"]) > 2
+    assert sinks.read_tokens(spark, str(tmp_path)).count() == 60_000
+    first = spark.read.csv(f"{tmp_path}/tsv", sep="\t", header=True).orderBy("token_id").limit(1).first()
+    assert first["token_id"] == "t0" and spark.read.csv(f"{tmp_path}/tsv", sep="\t", header=True).count() == sinks.TSV_ROWS
+
+
+def test_a_killed_run_is_taken_up(spark, tmp_path):
+    """Data without a line in the manifest is written again, what is committed isn't looked at."""
+    from pyspark.sql import functions as F
+
+    from strandline.sources import sinks
+
+    path = str(tmp_path)
+    rows = spark.createDataFrame([(c, k) for c in "abcd" for k in range(5)], "chrom string, v int")
+    assert sorted(r["chrom"] for r in sinks.write_missing(rows.where("chrom < 'c'"), path).collect()) == ["a", "b"]
+    rows.where("chrom = 'c' AND v < 3").write.mode("append").partitionBy("chrom").parquet(f"{path}/data")  # killed before its commit
+    assert {r["chrom"] for r in sinks.read_committed(spark, path, ("chrom",), rows).select("chrom").distinct().collect()} == {"a", "b"}
+    changed = rows.withColumn("v", F.when(F.col("chrom") == "a", -1).otherwise(F.col("v")))
+    assert sorted(r["chrom"] for r in sinks.write_missing(changed, path).collect()) == ["c", "d"]
+    assert sorted(map(tuple, sinks.read_committed(spark, path, ("chrom",), rows).collect())) == sorted(map(tuple, rows.collect()))
+    assert sinks.write_missing(rows, path).collect() == []
+    assert {(r["chrom"], r["n_rows"]) for r in sinks.committed(spark, path, ("chrom",), rows).collect()} == {(c, 5) for c in "abcd"}
+
+
+def test_blocks_of_sparse_rows(spark):
+    from strandline.operators import blocks
+
+    rows = spark.createDataFrame([("a", 1, 2, 5.0), ("a", 1, 17, 1.0), ("a", 1, 99, 7.0), ("b", 2, 0, 3.0), ("a", 3, 4, None)], "chrom string, track int, bin long, value double")
+    sizes = spark.createDataFrame([("a", 18), ("b", 3), ("c", 4)], "chrom string, n_bins long")
+    got = {(r["chrom"], r["track"], r["block_idx"]): list(r["values"]) for r in blocks.from_rows(rows, block=8, sizes=sizes).collect()}
+    assert got == {("a", 1, 0): [0, 0, 5, 0, 0, 0, 0, 0], ("a", 1, 1): [0.0] * 8, ("a", 1, 2): [0, 1], ("b", 2, 0): [3, 0, 0], ("a", 3, 0): [0.0] * 8, ("a", 3, 1): [0.0] * 8, ("a", 3, 2): [0, 0]}
