@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.operators import blocks as B
-from strandline.storage import written
+from strandline.storage import written, written_noting
 
 #: Blocks of one row of the hierarchy.
 FAN = 256
@@ -88,8 +88,8 @@ def summary(x: np.ndarray, start: int) -> dict[str, object]:
 _ARROW = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
 
 
-def summaries(blocks: DataFrame, block: int = B.BLOCK, keys: tuple[str, ...] = ("chrom", "track")) -> DataFrame:
-    """A row a block: keys, block_idx and what summary() gives, written once."""
+def summaries(blocks: DataFrame, block: int = B.BLOCK, keys: tuple[str, ...] = ("chrom", "track")) -> tuple[DataFrame, int]:
+    """A row a block: keys, block_idx and what summary() gives, written once; and the highest block_idx."""
     kinds = _PLAIN | _LISTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +103,8 @@ def summaries(blocks: DataFrame, block: int = B.BLOCK, keys: tuple[str, ...] = (
                     yield pa.RecordBatch.from_arrays([*(own.column(c) for c in (*keys, "block_idx")), *columns], names=[*keys, "block_idx", *kinds])
 
     schema = ", ".join([*B.key_fields(blocks, keys), "block_idx long", *(f"{c} {t}" for c, t in _PLAIN.items()), *(f"{c} array<{t}>" for c, t in _LISTS.items())])
-    return written(blocks.select(*keys, "block_idx", "values").mapInArrow(run, schema), "summaries")
+    sums, last = written_noting(blocks.select(*keys, "block_idx", "values").mapInArrow(run, schema), "summaries", F.max("block_idx"))
+    return sums, last or 0
 
 
 def maxima(sums: DataFrame, block: int = B.BLOCK, keys: tuple[str, ...] = ("chrom", "track")) -> DataFrame:
@@ -177,13 +178,12 @@ def suppress(peaks: DataFrame, distance: int, zone: int, keys: tuple[str, ...] =
         out = table.set_column(table.schema.get_field_index("kept"), "kept", pa.array(found == 1))
         return out.filter(pa.array(own & (found != 2))).select([*keys, "bin", "height", "kept"])
 
-    state = written(state, "peaks")
     while True:
         home = F.floor(F.col("bin") / zone)
         zones = F.array_distinct(F.array(home, F.floor((F.col("bin") - distance + 1) / zone), F.floor((F.col("bin") + distance - 1) / zone)))
         sent = state.withColumn("zone", F.explode(zones)).withColumn("own", F.col("zone") == home)
-        state = written(sent.groupBy(*keys, "zone").applyInArrow(one, fields), "peaks")
-        if state.where("NOT kept").isEmpty():
+        state, open_ = written_noting(sent.groupBy(*keys, "zone").applyInArrow(one, fields), "peaks", F.sum((~F.col("kept")).cast("long")))
+        if not open_:
             break
     return peaks.join(state.select(*keys, "bin"), [*keys, "bin"], "left_semi")
 
@@ -191,14 +191,14 @@ def suppress(peaks: DataFrame, distance: int, zone: int, keys: tuple[str, ...] =
 class Hierarchy:
     """Extremes of blocks, FAN to a row, level upon level, until a row has a track's all.  entries: idx, low, high, by idx."""
 
-    def __init__(self, sums: DataFrame, keys: tuple[str, ...], fan: int = FAN):
+    def __init__(self, sums: DataFrame, last: int, keys: tuple[str, ...], fan: int = FAN):
         self.keys, self.fan, self.levels = keys, fan, []
-        rows, last = sums.select(*keys, F.col("block_idx").alias("idx"), "low", "high"), sums.agg(F.max("block_idx")).first()[0] or 0
+        rows = sums.select(*keys, F.col("block_idx").alias("idx"), "low", "high")
         while True:
             entries = F.array_sort(F.collect_list(F.struct("idx", "low", "high")))  # fan at most
             level = rows.groupBy(*keys, F.floor(F.col("idx") / fan).alias("row")).agg(entries.alias("entries"))
-            self.levels.append(written(level, "extremes"))
             last //= fan
+            self.levels.append(written(level, "extremes") if last or self.levels else level)
             if not last:
                 return
             rows = self.levels[-1].select(*keys, F.col("row").alias("idx"), F.array_min(F.transform("entries", lambda e: e["low"])).alias("low"), F.array_max(F.transform("entries", lambda e: e["high"])).alias("high"))
@@ -339,17 +339,16 @@ def call_peaks(
     blocks: dense values of a stored table; thresholds: keys, min_prominence (tracks without one have no peaks).  Peaks nearer than distance_bp to a higher one go first, then those of a
     prominence below the threshold, then those narrower than least_width bins at rel_height of their prominence.
     """
-    sums = summaries(blocks, block, keys)
-    tree = Hierarchy(sums, keys, fan)
+    sums, last = summaries(blocks, block, keys)
+    tree = Hierarchy(sums, last, keys, fan)
     kept = suppress(written(maxima(sums, block, keys), "maxima"), math.ceil(distance_bp / resolution), block, keys)
     tall = prominences(kept, sums, tree, keys).join(thresholds.select(*keys, "min_prominence"), list(keys)).where("prominence >= min_prominence").drop("min_prominence")
-    found = written(_in_blocks(blocks, tall, block, resolution, rel_height, keys), "widths")
-    ends = _ends(found.where("area IS NULL"), sums, tree, block, rel_height, keys)
-    wide = found.where("area IS NOT NULL").unionByName(ends).where(F.col("right") - F.col("left") >= least_width)
+    found, n_open = written_noting(_in_blocks(blocks, tall, block, resolution, rel_height, keys), "widths", F.sum(F.col("area").isNull().cast("long")))
     a = F.floor("left")
-    wide = wide.withColumns({"a": a, "b": F.greatest(F.ceil("right"), a + 1)})
-    rest = wide.where("area IS NULL").drop("area")
-    rest = rest.join(_areas(rest, blocks, sums, block, resolution, keys), [*keys, "bin"])
+    within = lambda rows: rows.where(F.col("right") - F.col("left") >= least_width).withColumns({"a": a, "b": F.greatest(F.ceil("right"), a + 1)})
+    out = within(found.where("area IS NOT NULL"))
+    if n_open:
+        rest = written(within(_ends(found.where("area IS NULL"), sums, tree, block, rel_height, keys)).drop("area"), "ends")
+        out = out.unionByName(rest.join(_areas(rest, blocks, sums, block, resolution, keys), [*keys, "bin"]))
     bp = lambda c: (F.col(c) * resolution).cast("long")
-    out = wide.where("area IS NOT NULL").unionByName(rest)
     return out.select(*keys, bp("a").alias("start"), bp("b").alias("end"), bp("bin").alias("summit"), F.col("area").alias("auc"), F.col("height").alias("signal_value"), "prominence")

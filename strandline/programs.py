@@ -12,7 +12,7 @@ from strandline.functions import naming as N
 from strandline.operators import blocks, classify, contacts, experiments, nearest, peaks, tiling
 from strandline.plans import matrices, pipelines, portal
 from strandline.registry import DAILY, FILES_SQL, MATRIX, ORDER_TRACKS, TRACKS, _daily, _matrix_rows, _nation_sizes, _nested_files, _order_tracks, hours, peaks_sql, query, smooth_sql, table, tracks
-from strandline.sources import arrays, bigwig, files, npz, sinks, text
+from strandline.sources import arrays, bigwig, files, hic, npz, sinks, text
 from strandline.storage import new_path
 
 # ---- peaks of tracks, from fine bins to named tokens ----
@@ -179,20 +179,20 @@ def contact_files(spark, sf_dir):
 
 @query(f"WITH {TRACKS} SELECT track, 'tr ' || track AS name, bin, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM tracks")
 def track_files(spark, sf_dir):
-    """Tracks and their descriptions packed as an array file and a list, and read back from their bytes."""
+    """Each track packed as an array file, its description as a list beside it, and both read back from their bytes."""
 
     def pack(key: tuple, t: pa.Table) -> pa.Table:
-        t = t.sort_by([("track_idx", "ascending"), ("bin", "ascending")])
-        values = t.column("value").to_numpy().reshape(len(_EVENTS), -1).T.astype(np.float32)
-        out = io.BytesIO()
-        np.savez_compressed(out, values=values, resolution=np.int32(1), chrom=np.array("month"), chrom_size=np.int64(len(values)))
-        return pa.table({"path": ["/tracks/month.npz"], "content": pa.array([out.getvalue()], pa.binary())})
+        t, out = t.sort_by("bin"), io.BytesIO()
+        values = t.column("value").to_numpy().astype(np.float32)
+        np.savez_compressed(out, values=values, resolution=np.int32(1), chrom=np.array(key[0].as_py()), chrom_size=np.int64(len(values)))
+        return pa.table({"path": [f"/tracks/{key[0].as_py()}.npz"], "content": pa.array([out.getvalue()], pa.binary())})
 
-    files = _tracks_by_number(spark, sf_dir).groupBy("chrom").applyInArrow(pack, "path string, content binary")
-    signal = arrays.long_form(arrays.decode_signal(files, 100), 100)
-    listed = tracks(spark, sf_dir).select("track").distinct().agg(F.to_json(F.transform(F.array_sort(F.collect_list("track")), lambda t: F.struct(F.concat(F.lit("tr "), t).alias("name"), F.lit(".").alias("strand")))).alias("value"))
-    names = arrays.parse_track_names(listed.withColumn("file", F.lit("/tracks/month.json"))).select("track_idx", "name")
-    return signal.join(names, "track_idx").select(F.substring("name", 4, 100).alias("track"), "name", "bin", F.col("value").cast("double").alias("value"))
+    files_ = tracks(spark, sf_dir).groupBy("track").applyInArrow(pack, "path string, content binary")
+    signal = arrays.decode_signal(files_, 100)
+    listed = tracks(spark, sf_dir).select("track").distinct().select(F.concat(F.lit("/tracks/"), "track", F.lit(".json")).alias("file"), F.to_json(F.array(F.struct(F.concat(F.lit("tr "), "track").alias("name"), F.lit(".").alias("strand")))).alias("value"))
+    names = arrays.parse_track_names(listed).select(F.regexp_extract("file", r"([^/]+)\.json$", 1).alias("chrom"), "track_idx", "name")
+    long = arrays.long_form(signal, 100).join(names, ["chrom", "track_idx"])
+    return long.select(F.col("chrom").alias("track"), "name", "bin", F.col("value").cast("double").alias("value"))
 
 
 @query(f"WITH {TRACKS} SELECT track, bin, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM tracks")
@@ -566,3 +566,32 @@ def features_with_nan(spark, sf_dir):
     names = numbers.select("track_idx", F.lit("x").alias("name"), F.when(F.col("track_idx").isin(1, 4), "odd").otherwise("even").alias("transcription_factor"))
     out = matrices.assay_columns(signal, names, "chip_tf")
     return out.select("chrom", "bin", "name", F.round(F.nanvl("value", F.lit(-1.0)), 3).alias("value"))
+
+
+@query("""WITH p AS (SELECT l_orderkey AS k, l_linenumber AS n, s_nationkey * 100000 + s_suppkey AS c, CAST(l_quantity AS BIGINT) AS q FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+t AS (SELECT least(a.c, b.c) AS x, greatest(a.c, b.c) AS y, sum(a.q + b.q) AS counts FROM p a JOIN p b ON a.k = b.k AND a.n < b.n GROUP BY 1, 2)
+SELECT 'r' || x // 100000 % 5 AS accession, 'KR' AS norm, 'n' || x // 100000 AS chrom1, x % 100000 * 10 AS bin1, 'n' || y // 100000 AS chrom2, y % 100000 * 10 AS bin2,
+round(CAST(CAST(counts / ((1 + x % 3) / 2.0 * ((1 + y % 3) / 2.0)) AS FLOAT) AS DOUBLE), 2) AS counts FROM t WHERE counts < 30000""")
+def hic_matrices(spark, sf_dir):
+    """Contacts of suppliers as binary files with a normalisation, written by tasks and read back by blocks."""
+    path = new_path(spark, "hic")
+    line, s = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+    place = s.select(F.col("s_suppkey").alias("l_suppkey"), (F.col("s_nationkey") * 100000 + F.col("s_suppkey")).cast("long").alias("c"))
+    side = lambda k: line.join(place, "l_suppkey").select("l_orderkey", F.col("l_linenumber").alias(f"n{k}"), F.col("c").alias(f"c{k}"), F.col("l_quantity").cast("long").alias(f"q{k}"))
+    pairs = side(1).join(side(2), "l_orderkey").where("n1 < n2")
+    cells = pairs.groupBy(F.least("c1", "c2").alias("x"), F.greatest("c1", "c2").alias("y")).agg(F.sum(F.col("q1") + F.col("q2")).alias("counts"))
+
+    def pack(key: tuple, t: pa.Table) -> pa.Table:
+        x, y, v = (t.column(c).to_numpy() for c in ("x", "y", "counts"))
+        kept = v < 30000
+        cells_ = [(int(a) // 100000, int(a) % 100000, int(b) // 100000, int(b) % 100000, float(n)) for a, b, n in zip(x[kept], y[kept], v[kept])]
+        size = 1 + max(max(c[1], c[3]) for c in cells_)
+        vectors = {("KR", k, 10): [(1 + (k * 100000 + j) % 3) / 2 for j in range(size)] for k in range(25)}
+        system, at = files.located(f"{path}/r{key[0].as_py()}.hic")
+        system.create_dir(at.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(at) as out:
+            out.write(hic.encode([(f"n{k}", size * 10) for k in range(25)], {10: cells_}, vectors, whole=True))
+        return pa.table({"rows": [len(cells_)]})
+
+    cells.groupBy((F.floor(F.col("x") / 100000) % 5).alias("r")).applyInArrow(pack, "rows long").count()
+    return hic.read_hic(spark, path, ["KR"]).select("accession", "norm", "chrom1", "bin1", "chrom2", "bin2", F.round(F.col("counts").cast("double"), 2).alias("counts"))

@@ -4,24 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators import experiments
 from strandline.sources.files import located
+from strandline.storage import noted
 
 TSV_ROWS = 10_000
 
 
-def _partitions(seen: Observation) -> list:
-    """The partitions noted while rows were written; none where Spark found no row to write, and so nothing to note."""
-    try:
-        return seen.get["partitions"]
-    except Py4JJavaError:
-        return []
-
-
 def write_tokens(tokens: DataFrame, path: str, partitions: tuple[str, ...] = ("chrom",), order: tuple[str, ...] = ("token_id",), tsv: bool = True) -> None:
     """Parquet by partition, of which only those present are replaced, and the first TSV_ROWS rows as a readable table.
 
@@ -29,13 +21,13 @@ def write_tokens(tokens: DataFrame, path: str, partitions: tuple[str, ...] = ("c
     spark.sql.adaptive.advisoryPartitionSizeInBytes.  The partitions that were written, as many as folders, are noted on the way.
     """
     seen = Observation()
-    noted = tokens.observe(seen, F.collect_set(F.struct(*partitions)).alias("partitions"))
-    writer = noted.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    watched = tokens.observe(seen, F.collect_set(F.struct(*partitions)).alias("partitions"))
+    writer = watched.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions).parquet(f"{path}/tokens")
     if tsv:
         back = read_tokens(tokens.sparkSession, path, tokens)
         same = lambda p: reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(p[c])) for c in partitions))
-        fresh = reduce(Column.__or__, map(same, _partitions(seen)), F.lit(False))
+        fresh = reduce(Column.__or__, map(same, noted(seen, "partitions", [])), F.lit(False))
         back.where(fresh).orderBy(*order).limit(TSV_ROWS).write.mode("overwrite").csv(f"{path}/tsv", sep="\t", header=True)
 
 
@@ -57,10 +49,10 @@ def write_missing(rows: DataFrame, path: str, keys: tuple[str, ...] = ("chrom",)
     spark = rows.sparkSession
     todo = experiments.still_to_do(rows, committed(spark, path, keys, rows), list(keys))
     seen = Observation()
-    noted = todo.observe(seen, F.collect_set(F.struct(*keys)).alias("partitions"))
-    writer = noted.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    watched = todo.observe(seen, F.collect_set(F.struct(*keys)).alias("partitions"))
+    writer = watched.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(f"{path}/data")
-    now = spark.createDataFrame(_partitions(seen), ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys))  # as many as folders
+    now = spark.createDataFrame(noted(seen, "partitions", []), ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys))  # as many as folders
     kept = spark.read.schema(rows.schema).parquet(f"{path}/data").join(F.broadcast(now), list(keys), "left_semi").groupBy(*keys).agg(F.count("*").alias("n_rows"))
     kept.write.mode("append").parquet(f"{path}/manifest")
     return now

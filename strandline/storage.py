@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,3 +30,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def noted(seen: Observation, name: str, without: object = None) -> object:
+    """A value of an observation once its job has run; ``without`` where Spark found no row to look at, and so noted nothing."""
+    try:
+        value = seen.get[name]
+    except Py4JJavaError:
+        return without
+    return without if value is None else value
+
+
+def written_noting(df: DataFrame, name: str, value: Column) -> tuple[DataFrame, object]:
+    """written(), and an aggregate of the rows that is taken on the way."""
+    seen = Observation()
+    return written(df.observe(seen, value.alias("value")), name), noted(seen, "value")

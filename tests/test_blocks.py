@@ -45,9 +45,9 @@ def test_peaks_of_blocks_are_those_of_whole_tracks(spark, block, fan, resolution
 def test_no_task_holds_more_than_a_block(spark):
     """What is grouped is a block, a zone of peaks or FAN blocks' extremes; along a track only rows of blocks are ordered."""
     b = blocks.from_rows(frame(spark, tracks_of_all_kinds()), block=8)
-    sums = block_peaks.summaries(b, 8)
+    sums, last = block_peaks.summaries(b, 8)
     assert sums.select(F.max(F.size("p_bin")).alias("n")).first()["n"] <= 8 and sums.select(F.max("n").alias("n")).first()["n"] == 8
-    tree = block_peaks.Hierarchy(sums, ("chrom", "track"), 2)
+    tree = block_peaks.Hierarchy(sums, last, ("chrom", "track"), 2)
     assert len(tree.levels) == 5 and all(level.select(F.max(F.size("entries")).alias("n")).first()["n"] <= 2 for level in tree.levels)
 
 
