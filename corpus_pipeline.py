@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import decontamination, mixing, near_duplicates, quality, sharding
-from strandline.llm.common import temporary, written
+from strandline.llm.common import numbered, temporary, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Near duplicates share 0.8 of their five-word shingles.
@@ -18,57 +18,54 @@ SHINGLE, LINK = 5, (80, 100)
 SHARDS = 8
 
 
-#: Stands for doc_id while an operator judges, so that rows that share an id, or have none, are told apart by their texts.
+#: Stands for doc_id while an operator judges: a number of the row, so that rows that share an id, or have none, are told apart.
 KEY = "_row_key"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias(KEY))
+    """docs with KEY, written once for a stage, so that every pass sees the same numbers."""
+    return numbered(docs.select(*COLUMNS), "keyed", KEY)
 
 
 def _as_id(keyed: DataFrame) -> DataFrame:
     return keyed.select(F.col(KEY).alias("doc_id"), "text")
 
 
-def _with_keys(keyed: DataFrame, keys: DataFrame, n: int) -> DataFrame:
-    """The rows whose key is among n stored ones: few are broadcast (8 bytes each), more joined by shuffling the rows."""
-    return keyed.join(F.broadcast(keys) if n <= near_duplicates.BROADCAST_IDS else keys, KEY, "left_semi")
+def _with_keys(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose key is among keys: few are broadcast (8 bytes each), more joined by shuffling the rows."""
+    chosen = written(keys, "chosen")
+    few = chosen.count() <= near_duplicates.BROADCAST_IDS
+    return keyed.join(F.broadcast(chosen) if few else chosen, KEY, "left_semi").select(*COLUMNS)
 
 
 def _kept(keyed: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows that have a kept verdict; rows that are equal in id and text have the same."""
-    chosen = written(verdicts.where("kept").select(F.col("doc_id").alias(KEY)).distinct(), "chosen")
-    return _with_keys(keyed, chosen, chosen.count()).select(*COLUMNS)
+    """The rows that have a kept verdict."""
+    return _with_keys(keyed, verdicts.where("kept").select(F.col("doc_id").alias(KEY)))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or the forest reject go.
 
     Null and empty texts have no words, so they go; labels count for every row of their doc_id; repeated rows share their verdict; an empty
-    table gives no rows; further columns are dropped.
+    table gives no rows; further columns are dropped.  Texts of any length are judged whole.
     """
     keyed = _keyed(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    marks = labels.join(keyed.select("doc_id", KEY).distinct(), "doc_id").select(F.col(KEY).alias("doc_id"), "quality")
+    marks = labels.join(keyed.select("doc_id", KEY), "doc_id").select(F.col(KEY).alias("doc_id"), "quality")
     return _kept(keyed, quality.judge_documents(_as_id(keyed), marks))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates stays: one with the smallest doc_id (null last), of several the one whose key is least.
+    """One row of each group of near duplicates stays: one with the smallest doc_id (null last), of several the one that comes first.
 
     Of repeated rows one stays, too; rows without words are in no group and all stay; an empty table gives no rows; further columns are dropped.
     """
     keyed = _keyed(docs)
-    found = near_duplicates.near_duplicates(_as_id(keyed), SHINGLE, LINK)
-    groups = found.groupBy(F.col("doc_id").alias(KEY)).agg(F.min("component_id").alias("component"), F.min("n_shingles").alias("n_shingles"), F.count("*").alias("n_rows"))
-    ids = keyed.groupBy(KEY).agg(F.min("doc_id").alias("doc_id"))
+    found = near_duplicates.near_duplicates(_as_id(keyed), SHINGLE, LINK).select(F.col("doc_id").alias(KEY), "component_id", "n_shingles")
+    rows = found.join(keyed.select(KEY, "doc_id"), KEY)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", KEY)
-    first = groups.where("n_shingles > 0").join(ids, KEY).groupBy("component").agg(F.min_by(F.struct(KEY, "n_rows"), order).alias("c")).select("c.*")
-    chosen = written(first.unionByName(groups.where("n_shingles = 0").select(KEY, F.lit(1).cast("long").alias("n_rows"))), "chosen")
-    n = chosen.count()
-    once = _with_keys(keyed, chosen.where("n_rows = 1").select(KEY), n)
-    repeated = _with_keys(keyed, chosen.where("n_rows > 1").select(KEY), n).dropDuplicates([KEY])
-    return once.unionByName(repeated).select(*COLUMNS)
+    first = rows.where("n_shingles > 0").groupBy("component_id").agg(F.min_by(KEY, order).alias(KEY)).select(KEY)
+    return _with_keys(keyed, first.unionByName(rows.where("n_shingles = 0").select(KEY)))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -94,7 +91,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row of the mix gets its shard and its place there; a document that the mix has twice gets two.  An empty table gives no rows."""
+    """Every row of the mix gets its shard and its place there; a document that the mix has twice gets two.  Rows without an id are spread by their texts, a null text
+    counts as none; an empty table gives no rows; further columns are ignored."""
     return sharding.shard_documents(docs, SHARDS)
 
 
