@@ -79,6 +79,24 @@ def test_stages_with_awkward_rows(spark, tmp_path):
     assert len(left) == len(rows) - 1 and all(item not in (r["text"] or "") for r in left)
 
 
+def test_stages_with_a_very_long_text(spark, tmp_path):
+    """A text of some megabytes is judged whole: its near copy goes, the item at its very end is found, and it takes its place among shards."""
+    import random
+
+    rng = random.Random(4)
+    item = " ".join("item%d" % k for k in range(30))
+    long = " ".join("w%d" % rng.randrange(50_000) for k in range(300_000))
+    rows = [(1, long, "en", "s", 1), (2, long + " more", "en", "s", 1), (3, long[:200_000] + " " + item, "en", "t", 1)] + [(d, " ".join("v%d" % rng.randrange(900) for _ in range(60)), "en", "t", 1) for d in range(4, 12)]
+    spark.createDataFrame([(d, int(d < 10), 0) for d in range(12)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, SCHEMA)
+    ids = lambda name: sorted(r["doc_id"] for r in dict(corpus_pipeline.STAGES)[name](spark, docs, str(tmp_path)).collect())
+    assert {1, 2, 3} <= set(ids("quality rules"))
+    assert ids("near duplicates") == [1, *range(3, 12)]
+    assert ids("benchmark decontamination") == [1, 2, *range(4, 12)]
+    assert ids("sharding") == list(range(1, 12)) and len(ids("mixing sources")) >= 9
+
+
 def test_run_removes_what_stages_wrote(spark, tmp_path):
     item = " ".join("item%d" % k for k in range(30))
     spark.createDataFrame([(d, " ".join("w%d" % (k * d % 97) for k in range(60)), "en", "s%d" % (d % 3), 1) for d in range(1, 30)], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
