@@ -429,7 +429,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, group_bytes: int = GROU
     (add-one word model), score (log10 probability of the bytes and the end mark under context-tree weighting) and bits_per_byte
     (-score in bits over bytes plus end mark).  A null text is empty: only its end counts.  Without training rows every
     decision has probability 1/2.  An empty table gives no rows; other columns are ignored.  Repeated rows and null ids are
-    scored each.  depth is 2 at least.  group_bytes decides how documents are dealt, nothing else.
+    scored each, equal texts alike.  A text must fit a task's memory some 60 times over.  depth is 2 at least.  group_bytes decides how documents are dealt, nothing else.
     """
     if depth < TOP:
         raise ValueError(f"depth must be at least {TOP}")

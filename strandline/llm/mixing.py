@@ -86,6 +86,7 @@ def mix_documents(docs: DataFrame, seed: str = SEED, keep: tuple[str, ...] = ("d
     size: words of the text (null: 0).  taken: words that the mix takes of the row, repeats counted; at most max_epochs times
     its size.  The words taken of a source are its target rounded to whole words (less one a row where rows share a doc_id).
     The same seed gives the same mix.  Null sources form one source; rows without words take none; an empty table gives no rows.
+    Rows that share a doc_id share a place in the order; where the mix ends there, each takes its part of what is left.  A text of any length counts whole.
     """
     sizes = written(docs.select("doc_id", "source", _size().alias("size"), _key(seed).alias("key")), "sizes")
     plan = written(mixing_plan(sizes, **how), "mix")

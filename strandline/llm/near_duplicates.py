@@ -317,7 +317,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int]
     Documents whose sets reach link[0] / link[1] are linked; component_id is the smallest doc_id that can be reached and kept
     says whether it is the document itself.  Null or blank texts have no shingles and link with nothing.  Of rows that share a
     doc_id, each is a document; null ids link, but name a component only where it has no other id.  An empty
-    table gives no rows; other columns are ignored.  Sets are compared as 64-bit fingerprints of shingles.
+    table gives no rows; other columns are ignored.  Sets are compared as 64-bit fingerprints of shingles; a long text's set is held whole, so it must
+    fit a task's memory some 60 times over.  Equal texts, however many, are one class; ties between partners go to the smaller.
     """
     similarity = link[0] / link[1]
     schema = "doc_id long, n_shingles long, node long, sig binary, bands array<long>"

@@ -188,7 +188,8 @@ def detect(docs: DataFrame) -> DataFrame:
     """Every row of docs (doc_id, text): doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_disguised.
 
     spans lists kind:start:end in code points, end exclusive, by start, then kind.  A null or empty text has no spans (its
-    base_sha256 is that of no bytes); repeated rows are read each; an empty table gives no rows; other columns are ignored.
+    base_sha256 is that of no bytes); repeated rows are read each; an empty table gives no rows; other columns are ignored.  A long text is read whole, in
+    time linear in its length; spans that begin together are listed by kind.
     Rows are independent: nothing is shuffled.
     """
     names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_disguised"]

@@ -205,7 +205,8 @@ def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     A null or empty text has no words and fails the base rule.  Repeated rows are judged each; where rows share a doc_id, all
     of them take part as labelled.  Labels without a document, or null, are ignored; without both kinds of label only the
-    base rule judges.  An empty table gives no rows; other columns are ignored.
+    base rule judges.  An empty table gives no rows; other columns are ignored.  A text of any length is counted whole, and must fit a task's memory some 60
+    times over; equal statistics have equal verdicts.
     """
     counts = written(document_statistics(docs), "counts")
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))

@@ -62,8 +62,8 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, slack: float = 0.0, vnod
 
     The key is doc_id (of a row without one, its text).  size: UTF-8 bytes of the text plus 1 (null text: none, so 1, and the checksum of no bytes).
     With slack 0 the law ``rows`` holds: shard counts differ by one at most.  slot counts from 0 in each shard without gaps.
-    Repeated rows each take a slot; rows that share a doc_id share a position of the ring and are ranked together; an empty table gives no rows; other columns are ignored.
-    Two passes: one reads doc_id alone and counts per position, one ranks the rows of each position (one shuffle
+    Repeated rows each take a slot; rows that share a doc_id share a position of the ring and are ranked together; an empty table gives no rows; other columns are ignored; of a text, however long, only its size and checksum
+    are carried.  Two passes: one reads doc_id alone and counts per position, one ranks the rows of each position (one shuffle
     of ids, sizes and checksums, no texts).
     """
     position = ring_position(ring)

@@ -11,6 +11,7 @@ and, but for the last level, u64 words of the bitmap (64 bits each) and one u32
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -116,14 +117,22 @@ class Dac:
         return out
 
 
+def fits(description: dict) -> bool:
+    """Whether a tokenizer cuts texts as the pieces above assume: byte-level with its own pattern, and nothing changed before."""
+    cut = description.get("pre_tokenizer") or {}
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+    return plain and not description.get("normalizer") and description["model"]["type"] == "BPE" and not description["model"].get("dropout")
+
+
 class PieceEncoder:
-    """Ids of texts, piece by piece; pieces met before come from a bounded memory."""
+    """Ids of texts, piece by piece; pieces met before come from a bounded memory.  With a tokenizer that these pieces don't fit, whole texts are encoded."""
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.fits = fits(json.loads(self.tokenizer.to_str()))
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self._reset()
@@ -157,6 +166,8 @@ class PieceEncoder:
         self.known.update(zip(whole + other, range(n, n + len(pieces))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.fits:
+            return [np.array(code.ids, np.uint32) for code in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         whole = [k for k, t in enumerate(texts) if self.special and self.special.search(t)]
         if whole:  # a special token's string is matched in the whole text first
             rest = iter(self.encode(["" if self.special.search(t) else t for t in texts]))
@@ -300,7 +311,8 @@ def read_tokens(spark, path: str) -> DataFrame:
 
 
 def token_table(docs: DataFrame, tokenizer_file: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """write_tokens into the shared folder and read_tokens from there.
+    """write_tokens into the shared folder and read_tokens from there.  Rows that share a doc_id, or have none, follow each other; a text of any length is encoded whole, in a segment of its own
+    where it is long; a tokenizer that isn't byte-level encodes whole texts, too (slower).
 
     A null or empty text is its end id alone; repeated rows are written each; rows that share a doc_id follow in the order
     of their texts; an empty table gives no rows; other columns are ignored.

@@ -771,6 +771,19 @@ def test_pieces_equal_whole_texts():
         assert x.tolist() == plain.encode(t, add_special_tokens=False).ids
 
 
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, encoder, rng = Tokenizer.from_file(path), tokens.PieceEncoder(path), random.Random(6)
+    assert not encoder.fits and tokens.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json")).fits
+    bits = ["a", "b ", "\n", " ", "  ", "\t", "é", "'s", "12", "!", "the ", "Word", "\xa0", "漢", "-"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(800)]
+    for x, t in zip(encoder.encode(texts), texts):
+        assert x.tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
 def test_token_table(spark, docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
