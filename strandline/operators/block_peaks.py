@@ -192,7 +192,7 @@ class Hierarchy:
     """Extremes of blocks, FAN to a row, level upon level, until a row has a track's all.  entries: idx, low, high, by idx."""
 
     def __init__(self, sums: DataFrame, last: int, keys: tuple[str, ...], fan: int = FAN):
-        self.keys, self.fan, self.levels = keys, fan, []
+        self.keys, self.fan, self.levels, self.last = keys, fan, [], last
         rows = sums.select(*keys, F.col("block_idx").alias("idx"), "low", "high")
         while True:
             entries = F.array_sort(F.collect_list(F.struct("idx", "low", "high")))  # fan at most
@@ -206,6 +206,8 @@ class Hierarchy:
     def nearest(self, asked: DataFrame, left: bool, up: bool) -> DataFrame:
         """asked (keys, pos: a block, height, least, others) with target, the nearest block before (left) or after pos that holds a value above height (up), or
         one not above it; null if there is none.  least becomes the lowest value of the blocks between, too."""
+        if not self.last:  # tracks of one block have no other
+            return asked.withColumn("pos", F.lit(None).cast("long")).withColumnRenamed("pos", "target")
         fits = (lambda e, h: e["high"] > h) if up else (lambda e, h: e["low"] <= h)
 
         def look(rows: DataFrame, level: int, inside: bool) -> DataFrame:
@@ -233,6 +235,8 @@ class Hierarchy:
 
 def prominences(peaks: DataFrame, sums: DataFrame, tree: Hierarchy, keys: tuple[str, ...]) -> DataFrame:
     """keys, bin, height, prominence: the height above the higher of the two bases, each the lowest value on the way to the nearest higher bin or the track's end."""
+    if not tree.last:
+        return peaks.select(*keys, "bin", "height", (F.col("height") - F.greatest("llow", "rlow")).alias("prominence"))
     sides = []
     for left, (block, low, open_) in ((True, ("lblock", "llow", "lopen")), (False, ("rblock", "rlow", "ropen"))):
         rows = peaks.select(*keys, "bin", "height", F.col(block).alias("pos"), F.col(low).alias("least"), F.col(open_).alias("open"))
