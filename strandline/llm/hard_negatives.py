@@ -241,7 +241,7 @@ def _sent(anchors: DataFrame, boxes: DataFrame, same: bool, home: bool) -> DataF
     if run == 1:
         placed = boxes.withColumn("run", (F.row_number().over(Window.orderBy("label", "part")) - 1).cast("int"))  # TOP rows at most
     else:
-        placed = ranked(boxes.withColumn("tree", F.lit("")), "tree", ["label", "part"], "boxes").withColumn("run", F.floor(F.col("idx") / run).cast("int"))
+        placed = ranked(boxes.select("label", "part", "low", "high", F.lit("").alias("tree")), "tree", ["label", "part"], "boxes").withColumn("run", F.floor(F.col("idx") / run).cast("int"))
     labels = placed.groupBy("run").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("parts"))
     each = placed.select("run", F.posexplode(F.arrays_zip("low", "high")).alias("k", "x")).groupBy("run", "k").agg(F.min("x.low").alias("low"), F.max("x.high").alias("high"), F.count("*").alias("have"))
     short = lambda c, f: F.when(F.col("have") < F.col("parts"), f(c, F.lit(0))).otherwise(F.col(c)).alias(c)  # noqa: E731  (a coordinate that some lack is 0 there)

@@ -221,10 +221,10 @@ class Model:
         features = neighbours(self.scaled(x), lines)
         d, of = features.shape[1], np.repeat(np.arange(len(quality)), np.diff(lines))
         labels = quality[of]
-        alone = np.arange(len(x) + 1)  # every line a chain of its own
-        at = minimise(lambda w: self._alone(w, features, alone, labels), np.zeros(d))
-        good = Chain(at, np.zeros((2, 2))).marginals(features, alone)
-        point = np.concatenate((at, np.zeros(4)))
+        own = np.r_[0 : len(STATS), d - 1]  # first each line by itself, so that good lines beside bad ones show
+        point = np.zeros(d + 4)
+        point[own] = minimise(lambda w: self._logistic(w, features[:, own], labels), np.zeros(len(own)))
+        good = 1 / (1 + np.exp(-np.clip(features @ point[:d], -500, 500)))
         for _ in range(ROUNDS):
             worst = np.full(len(quality), np.inf)
             np.minimum.at(worst, of, good)
@@ -236,10 +236,6 @@ class Model:
         inputs = np.column_stack((share - 0.5, np.ones(len(share))))[some]
         self.slope, self.shift = minimise(lambda w: self._logistic(w, inputs, quality[some]), np.zeros(2)).tolist()
 
-    @staticmethod
-    def _alone(w: np.ndarray, x: np.ndarray, lines: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray]:
-        return Model._logistic(w, x, labels)
-
     @staticmethod
     def _logistic(w: np.ndarray, x: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray]:
         score = x @ w
@@ -251,10 +247,12 @@ class Model:
 
     @staticmethod
     def _shares(good: np.ndarray, lines: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        total = np.concatenate(([0.0], np.cumsum(length)))
-        weighted = np.concatenate(([0.0], np.cumsum(length * good)))
-        size = total[lines[1:]] - total[lines[:-1]]
-        return (weighted[lines[1:]] - weighted[lines[:-1]]) / np.maximum(size, 1), size > 0
+        some = np.diff(lines) > 0
+        share = np.zeros(len(some))
+        at = lines[:-1][some]  # sums of each document by itself, so that equal texts score alike
+        if len(at):
+            share[some] = np.round(np.add.reduceat(length * good, at) / np.add.reduceat(length, at), 9)
+        return share, some
 
     def lines(self, x: np.ndarray, lines: np.ndarray) -> np.ndarray:
         """Probability of each line to be good."""

@@ -70,7 +70,7 @@ def test_awkward_rows(spark):
 
 def test_empty_and_alone(spark):
     assert compare(spark, [], 10) == [] and compare(spark, [(100, [1.0, 2.0], 3)], 10) == []
-    assert compare(spark, [(100, [1.0, 2.0], 3), (1, [1.0, 2.0], 3), (2, [0.5, 0.9], 4)], 10) == [(100, 1, 1, 2, 327680, 148224)]
+    assert compare(spark, [(100, [1.0, 2.0], 3), (1, [1.0, 2.0], 3), (2, [0.5, 0.9], 4)], 10) == [(100, 1, 1, 2, 327680, 150528)]
 
 
 def test_tree_search_skips_boxes():
