@@ -179,7 +179,7 @@ def encode(sizes: list[tuple[str, int]], ranges: list[tuple[str, int, int, float
     tree = put("IIIIQQ", TREE_MAGIC, max(len(sizes), 1), width, 8, len(sizes), 0) + put("BBH", 1, 0, len(sizes))
     tree += b"".join(c.encode().ljust(width, b"\0") + put("II", ids[c], n) for c, n in sizes)
     data_at = 64 + len(tree)
-    body, entries, at = put("I", 0), [], data_at + 4
+    body, entries, at = [], [], data_at + 4
     groups: list[list] = []
     for r in ranges:
         if not groups or groups[-1][0][0] != r[0] or len(groups[-1]) == SLOT:
@@ -193,9 +193,8 @@ def encode(sizes: list[tuple[str, int]], ranges: list[tuple[str, int, int, float
         largest = max(largest, len(head + rows))
         block = zlib.compress(head + rows) if packed else head + rows
         entries.append((ids[group[0][0]], group[0][1], ids[group[0][0]], group[-1][2], at, len(block)))
-        body += block
+        body.append(block)
         at += len(block)
-    body = put("I", len(groups)) + body[4:]
     # the index from the leaves up; nodes are placed once all levels are known
     levels, nodes = [], [(e[:4], e) for e in entries]
     while True:
@@ -222,4 +221,4 @@ def encode(sizes: list[tuple[str, int]], ranges: list[tuple[str, int, int, float
     ends = (entries[0][0], entries[0][1], entries[-1][2], entries[-1][3]) if entries else (0, 0, 0, 0)
     index = put("IIQIIIIQII", INDEX_MAGIC, FAN, len(entries), *ends, at, SLOT, 0) + index
     head = put("IHHQQQHHQQIQ", MAGIC, 4, 0, 64, data_at, index_at, 0, 0, 0, 0, largest if packed else 0, 0)
-    return head + tree + body + index
+    return head + tree + put("I", len(groups)) + b"".join(body) + index

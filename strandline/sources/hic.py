@@ -250,7 +250,7 @@ def encode(chroms: list[tuple[str, int]], contacts: dict[int, list[tuple[int, in
     text = lambda s: s.encode() + b"\0"
     head = text("made") + put("i", 0) + put("i", len(chroms)) + b"".join(text(c) + put("i", n) for c, n in chroms)
     head += put("i", len(contacts)) + b"".join(put("i", r) for r in contacts) + put("i", 0)
-    body, at = b"", 16 + len(head)
+    body, at = [], 16 + len(head)
 
     def packed(cells: list[tuple[int, int, float]]) -> bytes:
         x0, y0 = min(x for x, _, _ in cells), min(y for _, y, _ in cells)
@@ -277,7 +277,8 @@ def encode(chroms: list[tuple[str, int]], contacts: dict[int, list[tuple[int, in
             for k, each in enumerate(blocks.values()):
                 data = packed(each)
                 places.append((k, at, len(data)))
-                body, at = body + data, at + len(data)
+                body.append(data)
+                at += len(data)
             matrices.setdefault(pair, []).append((resolution, places))
     entries = []
     for (a, b), zooms in matrices.items():
@@ -285,12 +286,14 @@ def encode(chroms: list[tuple[str, int]], contacts: dict[int, list[tuple[int, in
         for k, (resolution, places) in enumerate(zooms):
             data += text(UNIT) + put("i4f3i", k, 0, 0, 0, 0, resolution, block_bins, 1) + put("i", len(places)) + b"".join(put("iqi", *p) for p in places)
         entries.append((f"{a}_{b}", at, len(data)))
-        body, at = body + data, at + len(data)
+        body.append(data)
+        at += len(data)
     index = []
     for (norm, chrom, resolution), values in vectors.items():
         data = put("i", len(values)) + put(f"{len(values)}d", *values)
         index.append(text(norm) + put("i", chrom) + text(UNIT) + put("iqi", resolution, at, len(data)))
-        body, at = body + data, at + len(data)
+        body.append(data)
+        at += len(data)
     expected = text(UNIT) + put("ii2di", 5, 2, 1.0, 2.0, 1) + put("id", 0, 1.0)
     footer = put("i", len(entries)) + b"".join(text(k) + put("qi", p, n) for k, p, n in entries) + put("i", 1) + expected + put("i", 1) + text("KR") + expected + put("i", len(index)) + b"".join(index)
-    return MAGIC + put("iq", 8, at) + head + body + put("i", len(footer)) + footer
+    return MAGIC + put("iq", 8, at) + head + b"".join(body) + put("i", len(footer)) + footer
