@@ -24,7 +24,9 @@ def pieces(first: Column, end: Column) -> Column:
         return F.transform(mine, lambda x: F.struct(level.alias("level"), x.alias("node")))
 
     levels = F.sequence(F.lit(0), F.greatest(F.ceil(F.log(F.greatest(end - first, F.lit(1))) / F.log(F.lit(float(FAN)))), F.lit(0)).cast("int"))
-    return F.flatten(F.transform(levels, at))
+    short = F.transform(F.sequence(first, F.greatest(end - 1, first)), lambda x: F.struct(F.lit(0).alias("level"), x.alias("node")))
+    few = (end > first) & (end - first <= FAN * FAN)  # bin by bin is as good
+    return F.when(few, short).otherwise(F.flatten(F.transform(levels, at)))
 
 
 def _node_sums(rows: DataFrame, keys: tuple[str, ...], bin_: str, top: int) -> DataFrame:
@@ -34,9 +36,12 @@ def _node_sums(rows: DataFrame, keys: tuple[str, ...], bin_: str, top: int) -> D
     return each.groupBy(*keys, "level", node.alias("node")).agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
 
 
-def _top(ranges: DataFrame) -> int:
-    """The highest level among ranges in pieces: one number."""
-    return ranges.agg(F.max(F.array_max(F.transform("pieces", lambda p: p["level"])))).first()[0] or 0
+def _top(ranges: DataFrame, first: Column, end: Column) -> int:
+    """A level that no piece of the ranges lies above: one number."""
+    longest, top = ranges.agg(F.max(end - first)).first()[0] or 0, 0
+    while longest > FAN * FAN and FAN**top < longest:
+        top += 1
+    return top
 
 
 def overlap_mean(intervals: DataFrame, signal: DataFrame, resolution: int, keys: tuple[str, ...] = ("chrom",)) -> DataFrame:
@@ -49,7 +54,7 @@ def overlap_mean(intervals: DataFrame, signal: DataFrame, resolution: int, keys:
     ranges = intervals.select(*keys, "interval_id", pieces(first, end).alias("pieces"))
     rows = signal.where("value IS NOT NULL").select(*keys, "bin", F.col("value").alias("s"), F.lit(1).alias("n"))
     asked = ranges.select(*keys, "interval_id", F.inline("pieces"))
-    sums = asked.join(_node_sums(rows, keys, "bin", _top(ranges)), [*keys, "level", "node"]).groupBy(*keys, "interval_id")
+    sums = asked.join(_node_sums(rows, keys, "bin", _top(intervals, first, end)), [*keys, "level", "node"]).groupBy(*keys, "interval_id")
     means = sums.agg((F.sum("s") / F.sum("n")).alias("mean_value"))
     return intervals.join(means, [*keys, "interval_id"], "left").withColumn("mean_value", F.coalesce("mean_value", F.lit(0.0)))
 
@@ -68,7 +73,7 @@ def block_mean(intervals: DataFrame, blocks: DataFrame, block: int, keys: tuple[
     cut = ends.join(blocks.select(*keys, "block_idx", "values"), [*keys, "block_idx"]).select(*keys, "interval_id", total(part).alias("s"), F.size(part).cast("long").alias("n"))
     between = spans.where("high - low > 1").select(*keys, "interval_id", pieces(F.col("low") + 1, F.col("high")).alias("pieces"))
     whole = blocks.select(*keys, "block_idx", total(F.col("values")).alias("s"), F.size("values").cast("long").alias("n"))
-    inner = between.select(*keys, "interval_id", F.inline("pieces")).join(_node_sums(whole, keys, "block_idx", _top(between)), [*keys, "level", "node"]).select(*keys, "interval_id", "s", "n")
+    inner = between.select(*keys, "interval_id", F.inline("pieces")).join(_node_sums(whole, keys, "block_idx", _top(spans, F.col("low") + 1, F.col("high"))), [*keys, "level", "node"]).select(*keys, "interval_id", "s", "n")
     sums = cut.unionByName(inner).groupBy(*keys, "interval_id").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     out = intervals.join(sums, [*keys, "interval_id"], "left")
     return out.withColumn("mean_value", F.when(F.col("n") > 0, F.col("s") / F.col("n")).otherwise(0.0)).drop("s", "n")
