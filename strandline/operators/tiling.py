@@ -110,11 +110,14 @@ def stitch(values: DataFrame, windows: DataFrame, resolution: int, stride: int =
 
 
 def placed(values: DataFrame, windows: DataFrame, resolution: int, stride: int = STRIDE, gapless: int | None = None) -> DataFrame:
-    """The window-local values that are kept, with their genome bin: a row for each window that keeps it."""
+    """The window-local values that are kept, with their genome bin: a row for each window that keeps it.
+
+    Windows come from a row a chromosome, so Spark takes them for few; they grow with the genome, so they are never broadcast.
+    """
     kept = keep_ranges(windows, stride, gapless)
     low = F.floor((F.col("keep_start") - F.col("start")) / resolution)
     high = F.ceil((F.least("keep_end", "end") - F.col("start")) / resolution)
     ranges = kept.select("chrom", "window_idx", "chrom_size", "start", low.alias("low"), high.alias("high"))
-    rows = values.join(ranges, ["chrom", "window_idx"]).where("local_bin >= low AND local_bin < high")
+    rows = values.join(ranges.hint("merge"), ["chrom", "window_idx"]).where("local_bin >= low AND local_bin < high")
     rows = rows.withColumn("bin", F.floor((F.col("start") + F.col("low") * resolution) / resolution) + F.col("local_bin") - F.col("low"))
     return rows.where(F.col("bin") < F.ceil(F.col("chrom_size") / resolution))

@@ -152,3 +152,15 @@ def test_blocks_of_sparse_rows(spark):
     sizes = spark.createDataFrame([("a", 18), ("b", 3), ("c", 4)], "chrom string, n_bins long")
     got = {(r["chrom"], r["track"], r["block_idx"]): list(r["values"]) for r in blocks.from_rows(rows, block=8, sizes=sizes).collect()}
     assert got == {("a", 1, 0): [0, 0, 5, 0, 0, 0, 0, 0], ("a", 1, 1): [0.0] * 8, ("a", 1, 2): [0, 1], ("b", 2, 0): [3, 0, 0], ("a", 3, 0): [0.0] * 8, ("a", 3, 1): [0.0] * 8, ("a", 3, 2): [0, 0]}
+
+
+def test_predictions_are_joined_with_windows_by_shuffling(spark):
+    """Windows grow with the genome, though they come from a row a chromosome: neither they nor the predicted values are sent whole through the driver."""
+
+    def predict(batches):
+        yield from ()
+
+    sizes = spark.range(1).select(F.lit("a").alias("chrom"), F.lit(100).cast("long").alias("chrom_size"))  # its size is known to Spark
+    out = pipelines.predict_tracks(sizes, predict, "chrom string, window_idx long, track string, local_bin long, value double", 10, 40, 20)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
