@@ -579,19 +579,12 @@ def hic_matrices(spark, sf_dir):
     place = s.select(F.col("s_suppkey").alias("l_suppkey"), (F.col("s_nationkey") * 100000 + F.col("s_suppkey")).cast("long").alias("c"))
     side = lambda k: line.join(place, "l_suppkey").select("l_orderkey", F.col("l_linenumber").alias(f"n{k}"), F.col("c").alias(f"c{k}"), F.col("l_quantity").cast("long").alias(f"q{k}"))
     pairs = side(1).join(side(2), "l_orderkey").where("n1 < n2")
-    cells = pairs.groupBy(F.least("c1", "c2").alias("x"), F.greatest("c1", "c2").alias("y")).agg(F.sum(F.col("q1") + F.col("q2")).alias("counts"))
-
-    def pack(key: tuple, t: pa.Table) -> pa.Table:
-        x, y, v = (t.column(c).to_numpy() for c in ("x", "y", "counts"))
-        kept = v < 30000
-        cells_ = [(int(a) // 100000, int(a) % 100000, int(b) // 100000, int(b) % 100000, float(n)) for a, b, n in zip(x[kept], y[kept], v[kept])]
-        size = 1 + max(max(c[1], c[3]) for c in cells_)
-        vectors = {("KR", k, 10): [(1 + (k * 100000 + j) % 3) / 2 for j in range(size)] for k in range(25)}
-        system, at = files.located(f"{path}/r{key[0].as_py()}.hic")
-        system.create_dir(at.rsplit("/", 1)[0], recursive=True)
-        with system.open_output_stream(at) as out:
-            out.write(hic.encode([(f"n{k}", size * 10) for k in range(25)], {10: cells_}, vectors, whole=True))
-        return pa.table({"rows": [len(cells_)]})
-
-    cells.groupBy((F.floor(F.col("x") / 100000) % 5).alias("r")).applyInArrow(pack, "rows long").count()
+    cells = pairs.groupBy(F.least("c1", "c2").alias("c1"), F.greatest("c1", "c2").alias("c2")).agg(F.sum(F.col("q1") + F.col("q2")).alias("counts")).where("counts < 30000")
+    chrom, bin_ = (lambda c: F.floor(F.col(c) / 100000)), (lambda c: F.col(c) % 100000)
+    named = cells.select(F.concat(F.lit("r"), (chrom("c1") % 5).cast("string")).alias("accession"), chrom("c1").alias("one"), bin_("c1").alias("x"), chrom("c2").alias("two"), bin_("c2").alias("y"), "counts")
+    n, size = (1 + (m or 0) for m in place.agg(F.max(chrom("c")), F.max(bin_("c"))).first())
+    each = spark.range(n).crossJoin(F.broadcast(spark.range(5).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("accession"))))  # five files
+    values = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda j: (1 + (F.col("id") * 100000 + j) % 3) / 2)
+    vectors = each.select("accession", F.lit("KR").alias("norm"), F.col("id").alias("chrom"), values.alias("values"))
+    hic.write_hic(named, vectors, path, [(f"n{k}", size * 10) for k in range(n)], 10, whole=True)
     return hic.read_hic(spark, path, ["KR"]).select("accession", "norm", "chrom1", "bin1", "chrom2", "bin2", F.round(F.col("counts").cast("double"), 2).alias("counts"))

@@ -86,3 +86,36 @@ def test_other_files_are_an_error(spark, tmp_path):
     (tmp_path / "x.hic").write_bytes(b"HIC\0" + (9).to_bytes(4, "little") + bytes(200))
     with pytest.raises(Exception, match="version 9"):
         hic.read_hic(spark, str(tmp_path)).count()
+
+
+@pytest.mark.parametrize("whole,bins", [(True, 7), (False, 50), (False, 1000)])
+def test_files_written_by_tasks(spark, tmp_path, whole, bins, monkeypatch):
+    """Blocks are packed in tasks, whatever batches they come in, and a file is put together block by block: what is read back is what a file made at once gives."""
+    monkeypatch.setattr(hic, "BATCH_ROWS", 64)
+    contacts, vectors = made(4)
+    chroms = [*CHROMS[:3], ("chrX", 500_000)]
+    cells = [(n, a, x, b, y, v if whole else v / 3) for n in ("E1", "E2") for a, x, b, y, v in contacts[5000] if n == "E1" or a == 1]
+    rows = spark.createDataFrame(cells, "accession string, one int, x long, two int, y long, counts double").repartition(5)
+    kept = {k: v for k, v in vectors.items() if k[2] == 5000}
+    lists = spark.createDataFrame([("E1", n, k, v) for (n, k, _), v in kept.items()] + [("E3", "KR", 1, [1.0])], "accession string, norm string, chrom int, values array<double>")
+    path = str(tmp_path / "made")
+    hic.write_hic(rows, lists, path, chroms, 5000, bins, whole)
+    rows_of = lambda at: {(r["accession"], r["norm"], r["chrom1"], r["bin1"], r["chrom2"], r["bin2"]): r["counts"] for r in hic.read_hic(spark, at, part_bytes=900).collect()}
+    (tmp_path / "once").mkdir()
+    for n, v in (("E1", kept), ("E2", {})):
+        (tmp_path / "once" / f"{n}.hic").write_bytes(hic.encode(chroms, {5000: [c[1:] for c in cells if c[0] == n]}, v, whole=whole))
+    got = rows_of(path)
+    close(got, rows_of(str(tmp_path / "once")))
+    assert {k[0] for k in got} == {"E1", "E2"} and sorted(p.name for p in (tmp_path / "made").iterdir()) == ["E1.hic", "E2.hic"]
+
+
+def test_partitions_name_runs_of_the_index(tmp_path):
+    """What the driver plans is a place and a number for each run, however many blocks it has."""
+    cells = [(1, 2 * k, 1, 2 * k, 1.0) for k in range(3000)]
+    (tmp_path / "E1.hic").write_bytes(hic.encode([("All", 1), ("chr1", 100_000)], {10: cells}, {}, 2))
+    for part_bytes, n in ((1 << 20, 1), (2000, None)):
+        parts = hic.HicReader(str(tmp_path), None, None, None, True, part_bytes).partitions()
+        assert all(len(p.blocks) == 2 for p in parts) and sum(p.blocks[1] for p in parts) == 3000 and n in (None, len(parts))
+    with hic.opened(str(tmp_path / "E1.hic")) as file:
+        sizes = [hic.index(file, *p.blocks)["size"] for p in parts]
+    assert all(s[:-1].sum() < 2000 for s in sizes) and all(s.sum() >= 2000 for s in sizes[:-1])
