@@ -48,7 +48,7 @@ def sparse_contacts(triples: DataFrame, resolution: int | str, chroms: DataFrame
     """
     a, b = chroms.select(F.col("chrom").alias("chrom1"), F.col("ord").alias("o1")), chroms.select(F.col("chrom").alias("chrom2"), F.col("ord").alias("o2"))
     c = F.col("counts")
-    rows = triples.where((c > least) & ~F.isnan(c) & (c < F.lit(float("inf")))).join(a, "chrom1").join(b, "chrom2")
+    rows = triples.where((c > least) & ~F.isnan(c) & (c < F.lit(float("inf")))).join(F.broadcast(a), "chrom1").join(F.broadcast(b), "chrom2")  # a row a chromosome
     rows = rows if trans else rows.where("o1 = o2")
     wide = F.col(resolution) if isinstance(resolution, str) else F.lit(resolution)
     swap = F.col("o1") > F.col("o2")

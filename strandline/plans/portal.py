@@ -42,19 +42,19 @@ def chosen_matrices(triples: DataFrame, wanted: int, chroms: DataFrame) -> DataF
     """The triples of one resolution (the nearest to the wanted one) and one normalisation (the preferred one) of each source.
 
     triples: accession, norm, resolution, chrom1, bin1, chrom2, bin2, counts.  The normalisation is decided once a source, from what it has for the
-    wanted chromosomes.  What a source has is a few rows, found by one aggregation.
+    wanted chromosomes.  What a source has is a few rows, found by one aggregation.  The choice, a row a source, is broadcast: by its keys the triples of a source would all go to one task.
     """
     has = triples.groupBy("accession", "norm", "resolution", "chrom1").agg(F.count("*").alias("n"))
     resolution = contacts.nearest_resolution(has, wanted)
     first = has.join(chroms.select(F.col("chrom").alias("chrom1")), "chrom1", "left_semi")
     norm = contacts.preferred_normalisation(first)
-    return triples.join(resolution.join(norm, "accession"), ["accession", "resolution", "norm"], "left_semi")
+    return triples.join(F.broadcast(resolution.join(norm, "accession")), ["accession", "resolution", "norm"], "left_semi")
 
 
 def contact_tokens(triples: DataFrame, info: DataFrame, wanted: int, chroms: DataFrame, trans: bool = False, least: float = contacts.MIN_FREQUENCY) -> DataFrame:
-    """Contact tokens of all experiments.  info: accession, biosample; chroms: chrom, ord (the wanted ones, in order)."""
+    """Contact tokens of all experiments.  info: accession, biosample (a row an experiment, broadcast); chroms: chrom, ord (the wanted ones, in order)."""
     kept = contacts.sparse_contacts(chosen_matrices(triples, wanted, chroms), "resolution", chroms, trans, least)
-    return finish_contacts(kept.join(info.select("accession", "biosample"), "accession").withColumnRenamed("accession", "experiment_accession"))
+    return finish_contacts(kept.join(F.broadcast(info.select("accession", "biosample")), "accession").withColumnRenamed("accession", "experiment_accession"))
 
 
 def _coerced(rows: DataFrame, whole: tuple[str, ...], real: tuple[str, ...]) -> DataFrame:

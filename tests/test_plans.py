@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from strandline.plans import pipelines
+from strandline.plans import pipelines, portal
+from strandline.sources import text
 from strandline.streaming import bins
 
 
@@ -164,3 +165,14 @@ def test_predictions_are_joined_with_windows_by_shuffling(spark):
     out = pipelines.predict_tracks(sizes, predict, "chrom string, window_idx long, track string, local_bin long, value double", 10, 40, 20)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_triples_are_not_dealt_by_their_source(spark):
+    """The choice of matrices and what is known of a source are broadcast: few sources must not mean few tasks."""
+    triples = spark.createDataFrame([("A", "KR", 5000, "c1", 5000 * k, "c2", 0, 9.0) for k in range(20)] + [("A", "NONE", 5000, "c1", 0, "c2", 0, 9.0), ("A", "KR", 25000, "c1", 0, "c2", 0, 9.0)], text.TRIPLES)
+    info = triples.select("accession").distinct().withColumn("biosample", F.lit("b"))
+    chroms = spark.createDataFrame([("c1", 0), ("c2", 1)], "chrom string, ord int")
+    out = portal.contact_tokens(triples, info, 10_000, chroms, True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2  # of what the sources have and what is chosen, some rows a source
+    assert "ShuffledHashJoin" not in plan and sorted(r["start1"] for r in out.collect()) == [5000 * k for k in range(20)]
