@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.operators import experiments
 from strandline.sources.files import located
 from strandline.storage import noted
 
@@ -44,10 +43,12 @@ def write_missing(rows: DataFrame, path: str, keys: tuple[str, ...] = ("chrom",)
     """Rows of the partitions that aren't committed yet, written by partition; then they are committed: a line a partition in the manifest, after all data.
 
     What a killed run left behind is in no manifest, so the next run replaces it: each partition stands once, whole.  Returns the partitions written now.  rows are evaluated once,
-    and of them only those partitions that are missing (an anti join on keys, which reaches a source that is dealt by them).
+    and of them only those partitions that are missing (an anti join on keys, which reaches a source that is dealt by them).  What is committed is broadcast: a join that deals rows by
+    keys would bring each partition to one task, which the rebalancing before the write could not split.
     """
     spark = rows.sparkSession
-    todo = experiments.still_to_do(rows, committed(spark, path, keys, rows), list(keys))
+    done = F.broadcast(committed(spark, path, keys, rows).select(*keys))  # as many as folders
+    todo = rows.join(done, list(keys), "left_anti")
     seen = Observation()
     watched = todo.observe(seen, F.collect_set(F.struct(*keys)).alias("partitions"))
     writer = watched.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -61,7 +62,7 @@ def write_missing(rows: DataFrame, path: str, keys: tuple[str, ...] = ("chrom",)
 def read_committed(spark: SparkSession, path: str, keys: tuple[str, ...], like: DataFrame) -> DataFrame:
     """The rows of committed partitions alone."""
     rows = spark.read.schema(like.schema).parquet(f"{path}/data").select(*like.columns)
-    return rows.join(committed(spark, path, keys, like), list(keys), "left_semi")
+    return rows.join(F.broadcast(committed(spark, path, keys, like)), list(keys), "left_semi")
 
 
 def read_tokens(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:

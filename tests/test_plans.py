@@ -176,3 +176,23 @@ def test_triples_are_not_dealt_by_their_source(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin") == 2  # of what the sources have and what is chosen, some rows a source
     assert "ShuffledHashJoin" not in plan and sorted(r["start1"] for r in out.collect()) == [5000 * k for k in range(20)]
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path):
+    """What is committed is joined without dealing the rows, so that rows of one partition can be split between tasks when they are written."""
+    from pathlib import Path
+
+    from strandline.sources import sinks
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        rows = spark.range(0, 60_000, 1, 6).select(F.lit("a").alias("chrom"), F.sha2(F.col("id").cast("string"), 256).alias("token_id"))
+        path = str(tmp_path / "out")
+        assert [r["chrom"] for r in sinks.write_missing(rows, path).collect()] == ["a"]
+        assert sinks.read_committed(spark, path, ("chrom",), rows).count() == 60_000
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        assert "SortMergeJoin" not in sinks.read_committed(spark, path, ("chrom",), rows)._jdf.queryExecution().executedPlan().toString()
+        assert len(list(Path(path, "data").rglob("*.parquet"))) > 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
