@@ -18,9 +18,10 @@ CONTACT_WHOLE, CONTACT_REAL = ("start1", "end1", "start2", "end2", "resolution")
 
 def peak_files(experiments_: DataFrame, assembly: str, base: str) -> DataFrame:
     """Experiments (accession, assay_title, target, biosample, files) with their best peak and signal files; those without peaks go."""
-    e = experiments_.withColumn("p", experiments.best_peak_file(F.col("files"), assembly)).withColumn("s", experiments.best_signal_file(F.col("files"), assembly))
+    best = F.struct(experiments.best_peak_file(F.col("files"), assembly).alias("p"), experiments.best_signal_file(F.col("files"), assembly).alias("s"))
+    e = experiments_.select("accession", "assay_title", "target", "biosample", F.inline(F.filter(F.array(best), lambda b: b["p"].isNotNull())))  # a filter on p would choose it once more
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
-    return e.where("p IS NOT NULL").select(
+    return e.select(
         text("accession").alias("accession"), text("assay_title").alias("assay"), "target", "biosample", N.file_url("p.href", base).alias("peak_url"), text("p.accession").alias("peak_accession"),
         text("p.output_type").alias("peak_output_type"), N.file_url("s.href", base).alias("signal_url"), text("s.accession").alias("signal_accession"),
     )

@@ -443,15 +443,21 @@ def parse_narrow_peak(spark, sf_dir):
 
 
 def _nested_files(spark, sf_dir):
+    """Orders with their lines as files, in the order of lines.  What is shuffled, collected and sorted are numbers; names are put in afterwards."""
     line = table(spark, sf_dir, "lineitem")
-    kind = F.when(F.col("l_linestatus") == "O", "bed narrowPeak").otherwise("bigWig")
-    output = F.element_at(F.array(*map(F.lit, (*experiments.PEAK_OUTPUTS, experiments.SIGNAL_OUTPUT, "signal p-value", "other"))), (F.col("l_partkey") % 6 + 1).cast("int"))
-    status = F.when(F.col("l_returnflag") == "R", "archived").otherwise("released")
-    one = F.when(F.col("l_suppkey") % 3 > 0, F.lit("GRCh38"))
-    many = F.when(F.col("l_suppkey") % 3 == 0, F.when(F.col("l_suppkey") % 2 == 0, F.array(F.lit("hg19"), F.lit("GRCh38"))).otherwise(F.array(F.lit("hg19"))))
-    file = F.struct(kind.alias("file_type"), status.alias("status"), one.alias("assembly"), many.alias("assemblies"), output.alias("output_type"), F.concat(F.lit("/f/"), F.col("l_linenumber").cast("string")).alias("href"))
-    files = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", file.alias("file")))), lambda x: x["file"])
-    return line.groupBy(F.col("l_orderkey").alias("accession")).agg(files.alias("files"))
+    signal, released = F.when(F.col("l_linestatus") == "O", 0).otherwise(1), F.when(F.col("l_returnflag") == "R", 0).otherwise(1)
+    numbers = line.select(F.col("l_orderkey").alias("accession"), F.struct("l_linenumber", "l_partkey", "l_suppkey", signal.alias("signal"), released.alias("released")).alias("line"))
+    outputs = F.array(*map(F.lit, (*experiments.PEAK_OUTPUTS, experiments.SIGNAL_OUTPUT, "signal p-value", "other")))
+
+    def file(x):
+        third, second = x["l_suppkey"] % 3, x["l_suppkey"] % 2
+        return F.struct(
+            F.when(x["signal"] == 0, "bed narrowPeak").otherwise("bigWig").alias("file_type"), F.when(x["released"] == 0, "archived").otherwise("released").alias("status"), F.when(third > 0, F.lit("GRCh38")).alias("assembly"),
+            F.when(third == 0, F.when(second == 0, F.array(F.lit("hg19"), F.lit("GRCh38"))).otherwise(F.array(F.lit("hg19")))).alias("assemblies"),
+            F.try_element_at(outputs, (x["l_partkey"] % 6 + 1).cast("int")).alias("output_type"), F.concat(F.lit("/f/"), x["l_linenumber"].cast("string")).alias("href"),
+        )
+
+    return numbers.repartition("accession").groupBy("accession").agg(F.sort_array(F.collect_list("line")).alias("lines")).select("accession", F.transform("lines", file).alias("files"))
 
 
 FILES_SQL = """f AS (SELECT l_orderkey AS k, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS place, l_linestatus = 'O' AS peak, l_partkey % 6 AS o,

@@ -94,8 +94,13 @@ def parse_experiments(pages: DataFrame) -> DataFrame:
     """read_experiments for pages as JSON texts in a column ``value``."""
     file = "struct<accession:string,file_type:string,status:string,assembly:string,output_type:string,href:string>"
     schema = f"`@graph` array<struct<accession:string,assay_title:string,target:string,biosample_ontology:struct<term_name:string>,files:array<{file}>>>"
-    e = pages.select(F.explode(F.from_json("value", schema)["@graph"]).alias("e"))
-    names = lambda f: F.from_json(f["assembly"], "array<string>")
-    files = F.transform("e.files", lambda f: f.withField("assemblies", F.transform(names(f), lambda a: F.coalesce(F.get_json_object(a, "$.ncbi_version_name"), a))))
-    target = F.coalesce(F.get_json_object("e.target", "$.gene_name"), F.get_json_object("e.target", "$.label"), F.lit(""))
-    return e.select("e.accession", "e.assay_title", target.alias("target"), F.coalesce("e.biosample_ontology.term_name", F.lit("")).alias("biosample"), files.alias("files"))
+    # only lists and objects are parsed as such: a plain name would be read up to its error, which costs more than all the rest
+    within = lambda a, key: F.when(a.contains("{"), F.get_json_object(a, f"$.{key}"))
+    names = lambda f: F.when(f["assembly"].contains("["), F.from_json(f["assembly"], "array<string>"))
+    file_ = lambda f: f.withField("assemblies", F.transform(names(f), lambda a: F.coalesce(within(a, "ncbi_version_name"), a)))
+    experiment = lambda e: F.struct(
+        e["accession"].alias("accession"), e["assay_title"].alias("assay_title"), F.coalesce(within(e["target"], "gene_name"), within(e["target"], "label"), F.lit("")).alias("target"),
+        F.coalesce(e["biosample_ontology"]["term_name"], F.lit("")).alias("biosample"), F.transform(e["files"], file_).alias("files"),
+    )
+    # all of it inside the generator: what is computed after it, a filter further on would compute once more for each mention
+    return pages.select(F.inline(F.transform(F.from_json("value", schema)["@graph"], experiment)))
