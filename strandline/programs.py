@@ -571,7 +571,7 @@ def features_with_nan(spark, sf_dir):
 @query("""WITH p AS (SELECT l_orderkey AS k, l_linenumber AS n, s_nationkey * 100000 + s_suppkey AS c, CAST(l_quantity AS BIGINT) AS q FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
 t AS (SELECT least(a.c, b.c) AS x, greatest(a.c, b.c) AS y, sum(a.q + b.q) AS counts FROM p a JOIN p b ON a.k = b.k AND a.n < b.n GROUP BY 1, 2)
 SELECT 'r' || x // 100000 % 5 AS accession, 'KR' AS norm, 'n' || x // 100000 AS chrom1, x % 100000 * 10 AS bin1, 'n' || y // 100000 AS chrom2, y % 100000 * 10 AS bin2,
-round(CAST(CAST(counts / ((1 + x % 3) / 2.0 * ((1 + y % 3) / 2.0)) AS FLOAT) AS DOUBLE), 2) AS counts FROM t WHERE counts < 30000""")
+round(CAST(CAST(counts / ((1 + x % 3) / 2.0 * ((1 + y % 3) / 2.0)) AS FLOAT) AS DOUBLE), 2) AS counts FROM t""")
 def hic_matrices(spark, sf_dir):
     """Contacts of suppliers as binary files with a normalisation, written by tasks and read back by blocks."""
     path = new_path(spark, "hic")
@@ -579,7 +579,7 @@ def hic_matrices(spark, sf_dir):
     place = s.select(F.col("s_suppkey").alias("l_suppkey"), (F.col("s_nationkey") * 100000 + F.col("s_suppkey")).cast("long").alias("c"))
     side = lambda k: line.join(place, "l_suppkey").select("l_orderkey", F.col("l_linenumber").alias(f"n{k}"), F.col("c").alias(f"c{k}"), F.col("l_quantity").cast("long").alias(f"q{k}"))
     pairs = side(1).join(side(2), "l_orderkey").where("n1 < n2")
-    cells = pairs.groupBy(F.least("c1", "c2").alias("c1"), F.greatest("c1", "c2").alias("c2")).agg(F.sum(F.col("q1") + F.col("q2")).alias("counts")).where("counts < 30000")
+    cells = pairs.groupBy(F.least("c1", "c2").alias("c1"), F.greatest("c1", "c2").alias("c2")).agg(F.sum(F.col("q1") + F.col("q2")).alias("counts"))
     chrom, bin_ = (lambda c: F.floor(F.col(c) / 100000)), (lambda c: F.col(c) % 100000)
     named = cells.select(F.concat(F.lit("r"), (chrom("c1") % 5).cast("string")).alias("accession"), chrom("c1").alias("one"), bin_("c1").alias("x"), chrom("c2").alias("two"), bin_("c2").alias("y"), "counts")
     n, size = (1 + (m or 0) for m in place.agg(F.max(chrom("c")), F.max(bin_("c"))).first())
@@ -587,4 +587,5 @@ def hic_matrices(spark, sf_dir):
     values = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda j: (1 + (F.col("id") * 100000 + j) % 3) / 2)
     vectors = each.select("accession", F.lit("KR").alias("norm"), F.col("id").alias("chrom"), values.alias("values"))
     hic.write_hic(named, vectors, path, [(f"n{k}", size * 10) for k in range(n)], 10, whole=True)
-    return hic.read_hic(spark, path, ["KR"]).select("accession", "norm", "chrom1", "bin1", "chrom2", "bin2", F.round(F.col("counts").cast("double"), 2).alias("counts"))
+    counts = F.nullif(F.col("counts").cast("double"), F.lit(float("nan")))  # NaN: not known
+    return hic.read_hic(spark, path, ["KR"]).select("accession", "norm", "chrom1", "bin1", "chrom2", "bin2", F.round(counts, 2).alias("counts"))

@@ -131,7 +131,7 @@ def index(file, place: int, n: int) -> np.ndarray:
 
 
 def decode(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bins of both axes and counts of a block."""
+    """Bins of both axes and counts of a block.  Entries of one cell that follow each other are the parts of its count, and are added up."""
     data = zlib.decompress(block)
     n, x0, y0, whole, kind = struct.unpack_from("<iiibb", data)
     value, at = (("<i2", 2) if whole == 0 else ("<f4", 4)), 14
@@ -148,7 +148,12 @@ def decode(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             ys.append(np.full(m, y + y0, np.int64))
             counts.append(part["v"].astype(np.float32))
         none = np.empty(0, np.int64)
-        return np.concatenate([none, *xs]), np.concatenate([none, *ys]), np.concatenate([np.empty(0, np.float32), *counts])
+        x, y, v = np.concatenate([none, *xs]), np.concatenate([none, *ys]), np.concatenate([np.empty(0, np.float32), *counts])
+        again = (np.diff(x) == 0) & (np.diff(y) == 0)
+        if again.any():
+            first = np.flatnonzero(np.append(True, ~again))
+            x, y, v = x[first], y[first], np.add.reduceat(v.astype(np.float64), first)
+        return x, y, v
     if kind != DENSE:
         raise ValueError(f"unknown kind of block: {kind}")
     cells, width = struct.unpack_from("<ih", data, at)
@@ -222,7 +227,7 @@ class HicReader(DataSourceReader):
             for _, place, size in index(file, *p.blocks).tolist():
                 file.seek(place)
                 x, y, v = decode(file.read(size))
-                held.append((x, y, (v / (vectors[0][x] * vectors[1][y])).astype(np.float32) if vectors else v))
+                held.append((x, y, (v / (vectors[0][x] * vectors[1][y]) if vectors else v).astype(np.float32)))
                 if sum(len(h[0]) for h in held) >= BATCH_ROWS:
                     yield batch()
                     held.clear()
@@ -297,21 +302,37 @@ def _footer(matrices: list[tuple[str, int, int]], vectors: list[tuple[str, int,
     return _put("i", len(footer)) + footer
 
 
+def _parts(x: np.ndarray, y: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells with counts that 32 bits hold: a whole count (of 53 bits at most) stands in up to three parts that add up to it."""
+    rest, parts = v.astype(np.float64), []
+    for _ in range(3):
+        parts.append(rest.astype(np.float32))
+        rest = np.nan_to_num(rest - parts[-1])
+    each = np.stack(parts, 1)
+    kept = each != 0
+    kept[:, 0] = True
+    times = kept.sum(1)
+    return np.repeat(x, times), np.repeat(y, times), each[kept]
+
+
 def pack(x: np.ndarray, y: np.ndarray, v: np.ndarray, whole: bool) -> bytes:
-    """A block kept in rows, from its cells sorted by y; with whole counts or real ones."""
-    if whole and len(v) and (v.min() <= NO_COUNT or v.max() > 32767):
-        raise ValueError("a whole count has 16 bits")
+    """A block kept in rows, from its cells sorted by y, x.  Real counts have 32 bits; whole ones 16 where all of the block fit, else 32 and what these cannot hold in parts."""
+    short = whole and bool(((v > NO_COUNT) & (v <= 32767)).all())
+    if whole and not short:
+        x, y, v = _parts(x, y, v)
     new = np.flatnonzero(np.diff(y, prepend=y[0] - 1))
-    lengths, x0, width = np.diff(new, append=len(y)), x.min(), 2 if whole else 3
+    lengths, x0, width = np.diff(new, append=len(y)), x.min(), 2 if short else 3
+    if max(lengths.max(), len(new), x.max() - x0, y[-1] - y[0]) > 32767:
+        raise ValueError("bins and lengths of a block's rows have 16 bits: take fewer block_bins")
     out = np.empty(2 * len(new) + width * len(y), "<i2")
     heads = 2 * np.arange(len(new)) + width * new
     out[heads], out[heads + 1] = y[new] - y[0], lengths
     at = 2 * np.repeat(np.arange(1, len(new) + 1), lengths) + width * np.arange(len(y))
     out[at] = x - x0
-    values = v.astype("<i2" if whole else "<f4").view("<i2").reshape(len(v), -1)
+    values = v.astype("<i2" if short else "<f4").view("<i2").reshape(len(v), -1)
     for k in range(width - 1):
         out[at + 1 + k] = values[:, k]
-    return zlib.compress(_put("iiibbh", len(y), x0, y[0], 0 if whole else 1, ROWS, len(new)) + out.tobytes())
+    return zlib.compress(_put("iiibbh", len(y), x0, y[0], 0 if short else 1, ROWS, len(new)) + out.tobytes())
 
 
 _KEY = ["accession", "one", "two", "block_y", "block_x"]
@@ -351,6 +372,7 @@ def write_hic(cells: DataFrame, vectors: DataFrame, path: str, chroms: list[tupl
     """Files of version 8 at one resolution, one for each accession, as path/accession.hic.
 
     cells: accession, one, x, two, y, counts (numbers of chromosomes, the lesser first, and bins), each cell once; vectors: accession, norm, chrom, values (a value for each bin).
+    With whole, counts are whole numbers of any size up to 53 bits, and are kept exactly; null is a count that is not known, and is read back as NaN.
     Tasks pack blocks, squares of block_bins.  A file's blocks are then sorted to one task and written one by one: it keeps the index of one matrix, and the places of the others.  A
     file gets its name when it is whole.
     """

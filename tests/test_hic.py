@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import random
+import zlib
 
+import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strandline import registry
 from strandline.plans import portal
 from strandline.sources import hic, text
 
@@ -119,3 +123,51 @@ def test_partitions_name_runs_of_the_index(tmp_path):
     with hic.opened(str(tmp_path / "E1.hic")) as file:
         sizes = [hic.index(file, *p.blocks)["size"] for p in parts]
     assert all(s[:-1].sum() < 2000 for s in sizes) and all(s.sum() >= 2000 for s in sizes[:-1])
+
+
+#: Around the ends of 16, 24, 32 and 53 bits, two of them divided by 2.25 and by 1.5 to another number if rounded first, and a count that is not known.
+SIZES = [0, 3, 29_999, 30_000, 32_767, 32_768, -32_767, -32_768, -40_000, 2**24 - 1, 2**24 + 1, 33_554_435, -(2**24) - 1, 2**31 + 129, 2**32 + 257, 2**48 + 2**24 + 1, 2**53 - 1, 1 - 2**53, None]
+
+
+@pytest.mark.parametrize("bins", [1, 4, 1000])
+def test_whole_counts_of_any_size(spark, tmp_path, bins):
+    """No count is too large for a file: what is read back is the count, or the exact count divided, rounded once."""
+    cells = [("E1", a, 2 * k, b, 2 * k + 1 + j, v) for a, b in ((1, 1), (1, 2)) for k, v in enumerate(SIZES) for j in range(2)]
+    rows = spark.createDataFrame(cells, "accession string, one int, x long, two int, y long, counts long").repartition(3)
+    lists = {k: [(1 + (k + j) % 3) / 2 for j in range(2 * len(SIZES) + 2)] for k in (1, 2)}
+    vectors = spark.createDataFrame([("E1", "KR", k, v) for k, v in lists.items()], "accession string, norm string, chrom int, values array<double>")
+    hic.write_hic(rows, vectors, str(tmp_path / "made"), CHROMS[:3], 10, bins, True)
+    got = {(r["norm"], r["chrom2"], r["bin1"], r["bin2"]): r["counts"] for r in hic.read_hic(spark, str(tmp_path / "made"), part_bytes=300).collect()}
+    assert len(got) == 2 * len(cells)
+    for _, a, x, b, y, v in cells:
+        at = (f"chr{b}", 10 * x, 10 * y)
+        expect = [float("nan")] * 2 if v is None else [float(np.float32(v)), float(np.float32(v / (lists[a][x] * lists[b][y])))]
+        assert [str(got["NONE", *at]), str(got["KR", *at])] == [str(e) for e in expect], v
+
+
+def test_counts_are_kept_short_where_they_fit():
+    """Only a block with a count that 16 bits do not hold has longer ones, and a count stands once if 32 bits hold it."""
+    x, y = np.array([5, 7, 5]), np.array([2, 2, 9])
+    for v, entries, kind in (([1, -32_767, 32_767], 3, 0), ([1, 2, 32_768], 3, 1), ([1, 2, 2**24], 3, 1), ([1, 2**24 + 1, 3], 4, 1)):
+        block = hic.pack(x, y, np.array(v), True)
+        head = zlib.decompress(block)
+        assert (int.from_bytes(head[:4], "little"), head[12]) == (entries, kind)
+        assert [c.tolist() for c in hic.decode(block)] == [x.tolist(), y.tolist(), v]
+    with pytest.raises(ValueError, match="block_bins"):
+        hic.pack(np.array([0, 40_000]), np.array([0, 0]), np.array([1, 1]), True)
+
+
+def test_contacts_of_many_lines(spark, tmp_path):
+    """hic_matrices has every pair of suppliers: those with 30,000 and more, and those without a quantity."""
+    amounts = [[14_999, 15_000], [15_000, 15_000, 15_000], [16_384, 16_384], [2, 3, 5], [9_000_000, 9_000_001], [1_500_000_000, 1_600_000_001], [None, 4], [None, None]]
+    lines = [(10 * rep + k, (3 * k + 7 * n) % 20, n, None if q is None else float(q)) for k, qs in enumerate(amounts) for n, q in enumerate(qs) for rep in (0, 1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, k % 7) for k in range(20)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    con = duckdb.connect()
+    for t in ("lineitem", "supplier"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    columns = ["accession", "norm", "chrom1", "bin1", "chrom2", "bin2", "counts"]
+    got = sorted((tuple(r) for r in registry.queries()["hic_matrices"](spark, str(tmp_path)).select(columns).collect()), key=str)
+    assert got == sorted(con.execute(f"SELECT {', '.join(columns)} FROM ({registry.oracle_sql()['hic_matrices']})").fetchall(), key=str)
+    pairs = {tuple(sorted((a[1], b[1]))) for a in lines for b in lines if a[0] == b[0] and a[2] < b[2]}
+    assert len(got) == len(pairs) and sum(r[-1] is None for r in got) == 2 and sum((r[-1] or 0) > 2**31 for r in got) > 0
